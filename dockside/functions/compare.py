@@ -11,13 +11,14 @@ def missing(column: str, blank_is_missing: bool = False) -> Column:
     return test | (F.trim(F.col(column)) == "") if blank_is_missing else test
 
 
-def differs(old: Column, new: Column, null_equals_blank: bool = False) -> Column:
-    """Null-safe inequality; optionally NULL and '' count as the same value."""
-    if null_equals_blank:
-        blank = F.lit("")
-        return F.coalesce(old.cast("string"), blank) != F.coalesce(new.cast("string"), blank)
-    return ~old.eqNullSafe(new)
-
-
 def any_of(conditions) -> Column:
     return reduce(or_, conditions, F.lit(False))
+
+
+def any_differs(pairs, null_equals_blank: bool = False) -> str:
+    """SQL test: some (old, new) pair differs, null-safe; optionally NULL and '' count as the same value."""
+    if null_equals_blank:
+        tests = [f"coalesce(string({old}), '') <> coalesce(string({new}), '')" for old, new in pairs]
+    else:
+        tests = [f"not ({old} <=> {new})" for old, new in pairs]
+    return " or ".join(tests) or "false"

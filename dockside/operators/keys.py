@@ -1,41 +1,57 @@
-"""Surrogate keys: dense, stable across runs, and independent of how Spark partitions the rows."""
+"""Surrogate keys: unique, stable across runs, and independent of how Spark partitions the rows.
+
+Rows are spread over 4096 buckets by a digest of their business key. Bucket ``b`` owns the numbers ``b + 1``,
+``b + 1 + 4096``, ``b + 1 + 2 * 4096``, ... above the highest key in use, and hands them out in digest order. Each
+bucket numbers its own rows, so there is no global counter, no second pass over the rows and no window over more
+than a sliver of them, whatever the distribution of the keys. The price is that keys are not gap-free, as with an
+identity column. A recomputed task or another partition count gives the same keys.
+"""
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 UNKNOWN_KEY = -1
-_BUCKET_DIGITS = 3  # 16 ** 3 = 4096 groups
+BUCKETS = 4096
+_DIGITS = 3  # hexadecimal digits that make 4096
+
+
+def digest_sql(business_key) -> str:
+    return "md5(concat_ws('|', " + ", ".join(f"coalesce(string({c}), '')" for c in business_key) + "))"
+
+
+BUCKET_SQL = f"cast(conv(substring(_digest, 1, {_DIGITS}), 16, 10) as bigint)"
+
+
+def with_bucket(rows: DataFrame, business_key) -> DataFrame:
+    return rows.selectExpr("*", f"{digest_sql(business_key)} as _digest", f"{BUCKET_SQL} as _bucket")
+
 
+def bucket_order(*columns):
+    return Window.partitionBy("_bucket").orderBy("_digest", *columns)
 
-def key_digest(columns) -> Column:
-    """md5 over the business key; its order is the order keys are handed out in."""
-    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
+
+def interleaved(after, rank) -> Column:
+    """The ``rank``-th number of the row's bucket above ``after``."""
+    return (after + (rank - 1) * BUCKETS + F.col("_bucket") + 1).cast("bigint")
 
 
 def assign_keys(rows: DataFrame, business_key, key: str, after: Column | int = 0) -> DataFrame:
-    """Number ``rows`` ``after + 1, after + 2, ...`` in the order of their business-key digest.
-
-    The leading digest digits cut the rows into 4096 groups that are even for any key distribution, so the
-    numbering window never sees more than a sliver of the data. The only global step is a running total over
-    the 4096 group counts. The result depends on the data alone: a recomputed task or another partition count
-    gives the same keys. ``business_key`` must be unique in ``rows``.
-    """
-    digest = key_digest(business_key)
-    bucket = F.substring(digest, 1, _BUCKET_DIGITS)
-    counts = rows.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    """Key every row; ``business_key`` must be unique in ``rows``."""
+    after = F.lit(after) if isinstance(after, int) else after
+    rank = F.row_number().over(bucket_order(*business_key))
+    return with_bucket(rows, business_key).select(interleaved(after, rank).alias(key), *rows.columns)
 
-    within = Window.partitionBy("_bucket").orderBy("_digest", *business_key)
-    numbered = (
-        rows.withColumn("_digest", digest)
-        .withColumn("_bucket", F.substring("_digest", 1, _BUCKET_DIGITS))
-        .withColumn("_rank", F.row_number().over(within))
-    )
-    # at most 4096 rows by construction
-    placed = numbered.join(F.broadcast(offsets), "_bucket")
+
+def assign_dense_keys(rows: DataFrame, business_key, key: str, after: Column | int = 0) -> DataFrame:
+    """Gap-free numbers in digest order, for one more pass over the business keys to count each bucket."""
     after = F.lit(after) if isinstance(after, int) else after
-    surrogate = (after + F.col("_offset") + F.col("_rank")).cast("bigint").alias(key)
-    return placed.select(surrogate, *rows.columns)
+    bucketed = with_bucket(rows, business_key)
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    ranked = bucketed.withColumn("_rank", F.row_number().over(bucket_order(*business_key)))
+    # offsets has at most 4096 rows by construction
+    placed = ranked.join(F.broadcast(offsets), "_bucket")
+    return placed.select((after + F.col("_offset") + F.col("_rank")).cast("bigint").alias(key), *rows.columns)
 
 
 def highest_key(table: DataFrame, key: str) -> Column:
@@ -44,7 +60,7 @@ def highest_key(table: DataFrame, key: str) -> Column:
 
 
 def with_unknown(table: DataFrame, key: str, values: dict) -> DataFrame:
-    """Prepend the unknown member (key -1); columns not named in ``values`` are NULL."""
+    """Add the unknown member (key -1); columns not named in ``values`` are NULL."""
     row = {key: UNKNOWN_KEY, **values}
     columns = [
         (F.lit(row[f.name]) if f.name in row else F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema.fields

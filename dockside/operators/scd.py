@@ -2,14 +2,18 @@
 
 ``update`` adds a ``ChangeType`` column (kept / updated / expired / inserted) that loads count and drop.
 Members missing from the staged rows are kept.
+
+An update shuffles once. The live rows and the staged rows are unioned and sorted inside the surrogate-key
+buckets, which puts both sides of a member next to each other; every row then decides for itself what becomes
+of it, and new rows take their keys from the same sort.
 """
 
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-from dockside.functions.compare import any_of, differs
-from dockside.operators.keys import assign_keys, highest_key, with_unknown
+from dockside.functions.compare import any_differs
+from dockside.operators.keys import BUCKET_SQL, assign_keys, digest_sql, highest_key, interleaved, with_unknown
 
 CHANGE = "ChangeType"
 
@@ -53,140 +57,107 @@ class Dimension:
         return [self.key, *self.business_key, *self.attributes, *self.constants, *extra]
 
 
-def _day(value):
-    return F.lit(value).cast("date")
-
-
-def _new_members(source: DataFrame, dim: Dimension, run_date, start=None) -> DataFrame:
-    """Columns of a member seen for the first time, without its key."""
-    members = source.select(*dim.business_key, *dim.attributes, *([start] if start is not None else []))
-    for name, value in dim.constants.items():
-        members = members.withColumn(name, F.lit(value))
+def _members(source: DataFrame, dim: Dimension, run_date) -> DataFrame:
+    """Staged rows as members seen for the first time: every column of the dimension but the key."""
+    if dim.kind == "insert_only":
+        source = source.where(f"{dim.business_key[0]} is not null").select(*dim.business_key, *dim.attributes).distinct()
+    values = {c: c for c in (*dim.business_key, *dim.attributes)}
+    values |= {name: repr(value).lower() if isinstance(value, bool) else repr(value) for name, value in dim.constants.items()}
     for older in dim.chain[1:]:
-        members = members.withColumn(older, F.col(dim.chain[0]) if dim.seed_chain else F.lit(None).cast(source.schema[dim.chain[0]].dataType))
+        values[older] = dim.chain[0] if dim.seed_chain else f"cast(null as {source.schema[dim.chain[0]].dataType.simpleString()})"
     if dim.stamp:
-        members = members.withColumn(dim.stamp, _day(run_date))
+        values[dim.stamp] = _day(run_date)
     if dim.kind == "versioned":
-        members = members.withColumn(dim.end, F.lit(None).cast("date")).withColumn(dim.current, F.lit(True))
-    return members
+        values |= {dim.start: dim.first_start or _day(run_date), dim.end: "cast(null as date)", dim.current: "true"}
+    return source.selectExpr(*[f"{value} as {name}" for name, value in values.items()])
 
 
-def _first_start(dim: Dimension, run_date):
-    return (F.col(dim.first_start) if dim.first_start else _day(run_date)).alias(dim.start)
+def _day(value) -> str:
+    return f"date'{value}'"
 
 
 def first_load(source: DataFrame, dim: Dimension, run_date) -> DataFrame:
     """Key every source member; versioned dimensions open one version each."""
-    start = _first_start(dim, run_date) if dim.kind == "versioned" else None
-    if dim.kind == "insert_only":
-        source = source.select(*dim.business_key, *dim.attributes).distinct()
-    table = assign_keys(_new_members(source, dim, run_date, start), dim.business_key, dim.key).select(*dim.columns)
+    table = assign_keys(_members(source, dim, run_date), dim.business_key, dim.key).select(*dim.columns)
     return with_unknown(table, dim.key, dim.unknown) if dim.unknown else table
 
 
 def update(current: DataFrame, source: DataFrame, dim: Dimension, run_date) -> DataFrame:
     """Next state of the whole dimension plus ``ChangeType``."""
-    steps = {"overwrite": _overwrite, "versioned": _versioned, "previous_value": _previous_value, "insert_only": _insert_only}
-    return steps[dim.kind](current, source, dim, run_date)
-
-
-def _staged(source: DataFrame, columns) -> DataFrame:
-    return source.select(*[F.col(c).alias(f"_s_{c}") for c in columns], F.lit(True).alias("_seen"))
+    versioned = dim.kind == "versioned"
+    live = current.where(dim.current) if versioned else current
+    rows = _paired(live, _members(source, dim, run_date), dim)
+
+    tracked = () if dim.kind == "insert_only" else dim.tracked or dim.attributes
+    today = _day(run_date)
+    opened = f"if(_staged, _other.{dim.start}, {dim.start})"
+    rows = rows.selectExpr(
+        "*",
+        f"_both and ({_changed(dim, tracked)}) as _differs",
+        f"_differs and {opened} < {today} as _expire" if versioned else "false as _expire",
+        "_staged and (not _both or _expire) as _fresh",
+    )
+    so_far = f"over (partition by _bucket order by {_order(dim)} rows unbounded preceding)"
+    rows = rows.selectExpr("*", f"sum(int(_fresh)) {so_far} as _rank").where("_fresh or not _staged")
+
+    next_value = {"overwrite": _overwrite, "versioned": _version, "previous_value": _shift, "insert_only": _keep}[dim.kind]
+    result = rows.select(
+        F.when(F.col("_fresh"), interleaved(highest_key(current, dim.key), F.col("_rank"))).otherwise(F.col(dim.key)).alias(dim.key),
+        *[F.expr(f"if(_fresh, {c}, {next_value(c, dim, today)}) as {c}") for c in dim.columns[1:]],
+        F.expr(f"case when _fresh then 'inserted' when _expire then 'expired' when _differs then 'updated' else 'kept' end as {CHANGE}"),
+    )
+    if versioned:
+        past = current.where(f"not {dim.current}").selectExpr(*dim.columns, f"'kept' as {CHANGE}")
+        result = past.unionByName(result)
+    return result
 
 
-def _matched(current: DataFrame, source: DataFrame, dim: Dimension, columns) -> DataFrame:
-    on = [F.col(c) == F.col(f"_s_{c}") for c in dim.business_key]
-    return current.join(_staged(source, [*dim.business_key, *columns]), on, "left")
+def _order(dim: Dimension) -> str:
+    return ", ".join(["_digest", *dim.business_key, "_staged"])
 
 
-def _changed(dim: Dimension, columns):
-    tests = any_of(differs(F.col(c), F.col(f"_s_{c}"), dim.null_equals_blank) for c in columns)
-    return F.coalesce(F.col("_seen"), F.lit(False)) & tests
+def _paired(live: DataFrame, members: DataFrame, dim: Dimension) -> DataFrame:
+    """Live and staged rows in one frame; ``_other`` is the same member on the other side, if there (``_both``)."""
+    digest, bucket = digest_sql(dim.business_key), BUCKET_SQL
+    old = live.selectExpr(*dim.columns, "false as _staged", f"{digest} as _digest", f"{bucket} as _bucket")
+    new = members.selectExpr("*", "true as _staged", f"{digest} as _digest", f"{bucket} as _bucket")
+    side = f"struct(_staged, {', '.join(dim.columns[1:])})"
+    order = f"over (partition by _bucket order by {_order(dim)})"
+    same = " and ".join(["_other._staged <> _staged", *[f"_other.{c} = {c}" for c in dim.business_key]])
+    return old.unionByName(new, allowMissingColumns=True).selectExpr(
+        "*", f"if(_staged, lag({side}) {order}, lead({side}) {order}) as _other"
+    ).selectExpr("*", f"coalesce({same}, false) as _both")
 
 
-def _inserted(current: DataFrame, source: DataFrame, dim: Dimension, run_date) -> DataFrame:
-    unseen = source.join(current.select(*dim.business_key), list(dim.business_key), "left_anti")
-    start = _first_start(dim, run_date) if dim.kind == "versioned" else None
-    return _new_members(unseen, dim, run_date, start)
+def _changed(dim: Dimension, columns) -> str:
+    return any_differs([(c, f"_other.{c}") for c in columns], dim.null_equals_blank)
 
 
-def _append(kept: DataFrame, new: DataFrame, current: DataFrame, dim: Dimension) -> DataFrame:
-    keyed = assign_keys(new, dim.business_key, dim.key, highest_key(current, dim.key))
-    return kept.unionByName(keyed.select(*dim.columns, F.lit("inserted").alias(CHANGE)))
+def _overwrite(column, dim, today):
+    """Type 1: the staged attributes replace the old ones."""
+    return f"if(_differs, _other.{column}, {column})" if column in dim.attributes else column
 
 
-def _overwrite(current, source, dim, run_date):
-    changed = _changed(dim, dim.tracked or dim.attributes)
-    kept = _matched(current, source, dim, dim.attributes).select(
-        *[
-            F.when(changed, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in dim.attributes else F.col(c)
-            for c in dim.columns
-        ],
-        F.when(changed, "updated").otherwise("kept").alias(CHANGE),
-    )
-    return _append(kept, _inserted(current, source, dim, run_date), current, dim)
+def _version(column, dim, today):
+    """Type 2: close the version. A member that changes twice on one run date has its open version rewritten
+    instead, so no version ends before it starts and a repeated run changes nothing."""
+    if column in dim.attributes:
+        return f"if(_differs and not _expire, _other.{column}, {column})"
+    if column == dim.end:
+        return f"if(_expire, date_add({today}, {dim.end_offset_days}), {column})"
+    return "not _expire" if column == dim.current else column
 
 
-def _previous_value(current, source, dim, run_date):
-    """Shift the chain only when the tracked value itself changed; other tracked columns are overwritten."""
-    shift = _changed(dim, dim.chain[:1])
-    changed = _changed(dim, dim.tracked or dim.chain[:1])
+def _shift(column, dim, today):
+    """Type 3: move the chain one step only when its first value changed; other tracked columns are overwritten."""
+    moved = f"_both and ({_changed(dim, dim.chain[:1])})"
     newer = dict(zip(dim.chain[1:], dim.chain))
-
-    def column(c):
-        if c == dim.chain[0] or (c in dim.tracked and c in dim.attributes):
-            return F.when(changed, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
-        if c in newer:
-            return F.when(shift, F.col(newer[c])).otherwise(F.col(c)).alias(c)
-        if c == dim.stamp:
-            return F.when(shift, _day(run_date)).otherwise(F.col(c)).alias(c)
-        return F.col(c)
-
-    kept = _matched(current, source, dim, dim.attributes).select(
-        *[column(c) for c in dim.columns], F.when(changed, "updated").otherwise("kept").alias(CHANGE)
-    )
-    return _append(kept, _inserted(current, source, dim, run_date), current, dim)
-
-
-def _versioned(current, source, dim, run_date):
-    """Close changed versions and open new ones.
-
-    A member that changes twice on one run date has its open version rewritten, so no version ends before it
-    starts and a repeated run changes nothing.
-    """
-    past = current.where(~F.col(dim.current)).select(*dim.columns, F.lit("kept").alias(CHANGE))
-    live = current.where(F.col(dim.current))
-    changed = _changed(dim, dim.tracked or dim.attributes)
-    matched = _matched(live, source, dim, dim.attributes).withColumn("_changed", changed)
-    rewrite = F.col("_changed") & (F.col(dim.start) >= _day(run_date))
-    expire = F.col("_changed") & (F.col(dim.start) < _day(run_date))
-
-    def column(c):
-        if c in dim.attributes:
-            return F.when(rewrite, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
-        if c == dim.end:
-            return F.when(expire, F.date_add(_day(run_date), dim.end_offset_days)).otherwise(F.col(c)).alias(c)
-        if c == dim.current:
-            return (~expire).alias(c)
-        return F.col(c)
-
-    kept = matched.select(
-        *[column(c) for c in dim.columns],
-        F.when(expire, "expired").when(rewrite, "updated").otherwise("kept").alias(CHANGE),
-    )
-    reopened = matched.where(expire).select(
-        *dim.business_key,
-        *[F.col(f"_s_{c}").alias(c) for c in dim.attributes],
-        _day(run_date).alias(dim.start),
-        F.lit(None).cast("date").alias(dim.end),
-        F.lit(True).alias(dim.current),
-    )
-    fresh = reopened.unionByName(_inserted(live, source, dim, run_date))
-    return _append(past.unionByName(kept), fresh, current, dim)
+    if column == dim.chain[0] or (column in dim.tracked and column in dim.attributes):
+        return f"if(_differs, _other.{column}, {column})"
+    if column in newer:
+        return f"if({moved}, {newer[column]}, {column})"
+    return f"if({moved}, {today}, {column})" if column == dim.stamp else column
 
 
-def _insert_only(current, source, dim, run_date):
-    kept = current.select(*dim.columns, F.lit("kept").alias(CHANGE))
-    distinct = source.select(*dim.business_key, *dim.attributes).distinct()
-    present = distinct.where(F.col(dim.business_key[0]).isNotNull())
-    return _append(kept, _inserted(current, present, dim, run_date), current, dim)
+def _keep(column, dim, today):
+    return column

@@ -6,6 +6,7 @@ share, so the same text feeds the engine and the correctness check. ``<Name>_v1`
 """
 
 import re
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -208,8 +209,8 @@ from events where event_type = 'purchase'""",
 }
 
 
-def with_clause(names, extra: str = "") -> str:
-    """``WITH a_X as (...), ...`` for the named sources and whatever they refer to."""
+def with_clause(names) -> str:
+    """``a_X as (...), ...`` for the named sources and whatever they refer to."""
     ordered: list[str] = []
 
     def visit(name: str) -> None:
@@ -220,14 +221,28 @@ def with_clause(names, extra: str = "") -> str:
 
     for name in names:
         visit(name)
-    parts = [f"a_{name} as ({SOURCES[name]})" for name in ordered]
-    return ",\n".join(([extra] if extra else []) + parts)
+    return ",\n".join(f"a_{name} as ({SOURCES[name]})" for name in ordered)
+
+
+_base_views: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def _base_view(spark: SparkSession, directory: str, table: str) -> str:
+    """Temporary view over one Parquet table; its schema is read once per session."""
+    known = _base_views.setdefault(spark, {})
+    if (directory, table) not in known:
+        view = f"base_{len(known)}_{table}"
+        spark.read.parquet(f"{directory}/{table}.parquet").createOrReplaceTempView(view)
+        known[directory, table] = view
+    return known[directory, table]
 
 
 def source(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """One operational table, derived from the Parquet tables in ``directory``."""
-    views = ", ".join(f"{table} as (select * from parquet.`{directory}/{table}.parquet`)" for table in BASE_TABLES)
-    return spark.sql(f"WITH {with_clause([name], views)} SELECT * FROM a_{name}")
+    body = f"{with_clause([name])} SELECT * FROM a_{name}"
+    tables = [t for t in BASE_TABLES if re.search(rf"\b{t}\b", body)]
+    views = [f"{t} as (select * from {_base_view(spark, directory, t)})" for t in tables]
+    return spark.sql("WITH " + ", ".join([*views, body]))
 
 
 class Sources:
