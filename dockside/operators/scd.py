@@ -103,7 +103,7 @@ def update(current: DataFrame, source: DataFrame, dim: Dimension, run_date) -> D
     next_value = {"overwrite": _overwrite, "versioned": _version, "previous_value": _shift, "insert_only": _keep}[dim.kind]
     result = rows.select(
         F.when(F.col("_fresh"), interleaved(highest_key(current, dim.key), F.col("_rank"))).otherwise(F.col(dim.key)).alias(dim.key),
-        *[F.expr(f"if(_fresh, {c}, {next_value(c, dim, today)}) as {c}") for c in dim.columns[1:]],
+        *[F.expr(f"if(_fresh, {_first_value(c, dim, today)}, {next_value(c, dim, today)}) as {c}") for c in dim.columns[1:]],
         F.expr(f"case when _fresh then 'inserted' when _expire then 'expired' when _differs then 'updated' else 'kept' end as {CHANGE}"),
     )
     if versioned:
@@ -133,6 +133,11 @@ def _changed(dim: Dimension, columns) -> str:
     return any_differs([(c, f"_other.{c}") for c in columns], dim.null_equals_blank)
 
 
+def _first_value(column, dim, today):
+    """A new row is the staged one, except that a further version of a known member starts today."""
+    return f"if(_both, {today}, {column})" if dim.kind == "versioned" and column == dim.start else column
+
+
 def _overwrite(column, dim, today):
     """Type 1: the staged attributes replace the old ones."""
     return f"if(_differs, _other.{column}, {column})" if column in dim.attributes else column
