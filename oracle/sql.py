@@ -3,7 +3,7 @@
 Written from the load definitions, not from the Spark plans: dimension updates are joins here, snapshots count
 distinct ids over the raw line rows, as-of lookups are correlated maxima. Names in the text resolve by prefix:
 ``a_`` operational tables, ``e_`` dimensions after the first load, ``u_`` after the update with their change
-types, ``d_`` dimensions as the facts see them, ``v_`` the validity ranges of a versioned dimension.
+types, ``d_`` dimensions as the facts see them, ``v_`` a versioned dimension by the day each version applies from.
 """
 
 import re
@@ -133,12 +133,10 @@ def update_sql(name: str) -> str:
 
 
 def _versions(name: str, start: str) -> str:
+    """Versions by the day they apply from; the first one applies from the beginning of time."""
     dim = _spec(name)
-    over = f"over (partition by {', '.join(dim.business_key)} order by {start})"
-    return (
-        f"select *, case when row_number() {over} = 1 then date '0001-01-01' else {start} end as valid_from, "
-        f"coalesce(lead({start}) {over} - 1, date '9999-12-31') as valid_to from d_{name}"
-    )
+    first = f"row_number() over (partition by {', '.join(dim.business_key)} order by {start}) = 1"
+    return f"select *, case when {first} then date '0001-01-01' else {start} end as valid_from from d_{name}"
 
 
 _DAYS = f"""select cast(t.day as date) as FullDate, row_number() over (order by t.day) as DateKey, row_number() over (order by t.day) as DimDateID
@@ -178,7 +176,7 @@ def compose(body: str) -> str:
                 ordered.append(name)
 
     visit(body)
-    parts = [f"{name} as ({_cte(name)})" for name in ordered]
+    parts = [f"{name} as materialized ({_cte(name)})" for name in ordered]
     sources = dict.fromkeys(re.findall(r"\ba_(\w+)\b", body + " ".join(parts)))
     if sources:
         parts.insert(0, with_clause(sources))
@@ -212,10 +210,10 @@ def invoice_lines(t, discount="l.DiscountPercent"):
   {rate} as EffectiveRate, l.InvoiceLineID as SourceInvoiceLineID
 from {t('InvoiceLine')} l join {t('Invoice')} i on l.InvoiceID = i.InvoiceID join d_DimInvoice di on i.InvoiceNumber = di.InvoiceNumber
 join {t('Contract')} ct on i.ContractID = ct.ContractID join {t('Customer')} cu on ct.CustomerID = cu.CustomerID
-join v_DimCustomer c on cu.CustomerCode = c.CustomerCode and i.InvoiceDate between c.valid_from and c.valid_to
+asof join v_DimCustomer c on cu.CustomerCode = c.CustomerCode and i.InvoiceDate >= c.valid_from
 join d_DimServiceType sv on l.ServiceTypeID = sv.SourceServiceTypeID join d_Days dd on i.InvoiceDate = dd.FullDate
-left join (select a.TaxID, b.* from {t('Tax')} a join v_DimTax b on a.TaxName = b.TaxName and a.TaxType = b.TaxType and a.EffectiveFrom = b.EffectiveFrom) x
-  on l.TaxID = x.TaxID and i.InvoiceDate between x.valid_from and x.valid_to"""
+asof left join (select a.TaxID, b.* from {t('Tax')} a join v_DimTax b on a.TaxName = b.TaxName and a.TaxType = b.TaxType and a.EffectiveFrom = b.EffectiveFrom) x
+  on l.TaxID = x.TaxID and i.InvoiceDate >= x.valid_from"""
 
 
 def payments(t):
@@ -224,7 +222,7 @@ def payments(t):
   case when p.Amount >= i.TotalAmount then 1 else 0 end as IsFullPayment, 0 as PartialPaymentCount, p.PaymentID as SourcePaymentID
 from {t('Payment')} p join {t('Invoice')} i on p.InvoiceID = i.InvoiceID join d_DimInvoice di on i.InvoiceNumber = di.InvoiceNumber
 join {t('Contract')} ct on i.ContractID = ct.ContractID join {t('Customer')} cu on ct.CustomerID = cu.CustomerID
-join v_DimCustomer c on cu.CustomerCode = c.CustomerCode and p.PaymentDate between c.valid_from and c.valid_to
+asof join v_DimCustomer c on cu.CustomerCode = c.CustomerCode and p.PaymentDate >= c.valid_from
 join d_DimPaymentMethod pm on p.PaymentMethod = pm.PaymentMethodName join d_Days dd on p.PaymentDate = dd.FullDate"""
 
 
@@ -245,7 +243,7 @@ left join (select ct.CustomerID{cycle}, {month} as SnapshotDate, sum(p.Amount) a
   from {t('Payment')} p join {t('Invoice')} i on p.InvoiceID = i.InvoiceID join {t('Contract')} ct on i.ContractID = ct.ContractID group by all) p
   on n.CustomerID = p.CustomerID and n.SnapshotDate = p.SnapshotDate{same}
 {repeat} join {t('Customer')} cu on n.CustomerID = cu.CustomerID
-join v_DimCustomer c on cu.CustomerCode = c.CustomerCode and n.SnapshotDate between c.valid_from and c.valid_to
+asof join v_DimCustomer c on cu.CustomerCode = c.CustomerCode and n.SnapshotDate >= c.valid_from
 join {t('BillingCycle')} bc on {billing} = bc.BillingCycleID join d_DimBillingCycle dbc on bc.CycleName = dbc.CycleName join d_Days dd on n.SnapshotDate = dd.FullDate"""
 
 
@@ -256,7 +254,7 @@ def invoice_lifecycle(t):
   w.f - i.InvoiceDate as FirstPaymentDelay, w.l - i.InvoiceDate as FinalPaymentDelay, w.l - i.InvoiceDate as DaysToClose
 from {t('Invoice')} i join d_DimInvoice di on i.InvoiceNumber = di.InvoiceNumber join {t('Contract')} ct on i.ContractID = ct.ContractID
 join {t('Customer')} cu on ct.CustomerID = cu.CustomerID join d_DimContract dc on ct.ContractNumber = dc.ContractNumber
-join v_DimCustomer c on cu.CustomerCode = c.CustomerCode and i.InvoiceDate between c.valid_from and c.valid_to
+asof join v_DimCustomer c on cu.CustomerCode = c.CustomerCode and i.InvoiceDate >= c.valid_from
 join d_Days d1 on i.InvoiceDate = d1.FullDate join d_Days d2 on i.DueDate = d2.FullDate
 left join (select InvoiceID, min(PaymentDate) as f, max(PaymentDate) as l from {t('Payment')} group by InvoiceID) w on i.InvoiceID = w.InvoiceID
 left join d_Days d3 on w.f = d3.FullDate left join d_Days d4 on w.l = d4.FullDate left join {t('Payment')} p on i.InvoiceID = p.InvoiceID
@@ -265,7 +263,7 @@ group by di.DimInvoiceID, c.DimCustomerID, dc.DimContractID, d1.DimDateID, d2.Di
 
 def contract_activations(t):
     return f"""select dd.DimDateID, c.DimCustomerID, dc.DimContractID from {t('Contract')} ct join {t('Customer')} cu on ct.CustomerID = cu.CustomerID
-join v_DimCustomer c on cu.CustomerCode = c.CustomerCode and ct.StartDate between c.valid_from and c.valid_to
+asof join v_DimCustomer c on cu.CustomerCode = c.CustomerCode and ct.StartDate >= c.valid_from
 join d_DimContract dc on ct.ContractNumber = dc.ContractNumber join d_Days dd on ct.StartDate = dd.FullDate"""
 
 
@@ -353,13 +351,13 @@ left join (select EmployeeID, count(*) as n, min(StartDate) as hired,
   from a_EmploymentHistory y group by EmployeeID) h on m.EmployeeID = h.EmployeeID"""
 
 
-def cargo_operations(t, how="join"):
+def cargo_operations(t, how="asof join"):
     return f"""select dd.DateKey, dd.FullDate, sh.ShipSK, dp.PortSK, dc.ContainerSK, de.EquipmentSK, coalesce(em.EmployeeSK, -1) as EmployeeSK, co.OperationType, co.Quantity,
   cast(co.WeightKG as decimal(10,2)) as WeightKG, co.OperationDateTime, oa.AssignmentID as SourceAssignmentID
 from {t('CargoOperation')} co join {t('PortCall')} pc on co.PortCallID = pc.PortCallID join {t('Voyage')} vo on pc.VoyageID = vo.VoyageID
-join d_Days dd on cast(co.OperationDateTime as date) = dd.FullDate join v_DimShip sh on vo.ShipID = sh.ShipID and dd.FullDate between sh.valid_from and sh.valid_to
+join d_Days dd on cast(co.OperationDateTime as date) = dd.FullDate asof join v_DimShip sh on vo.ShipID = sh.ShipID and dd.FullDate >= sh.valid_from
 join d_DimPort dp on pc.PortID = dp.PortID join d_DimContainer dc on co.ContainerID = dc.ContainerID join {t('OperationEquipmentAssignment')} oa on co.CargoOpID = oa.CargoOpID
-join d_DimEquipment de on oa.EquipmentID = de.EquipmentID {how} v_DimPortEmployee em on oa.EmployeeID = em.EmployeeID and dd.FullDate between em.valid_from and em.valid_to"""
+join d_DimEquipment de on oa.EquipmentID = de.EquipmentID {how} v_DimPortEmployee em on oa.EmployeeID = em.EmployeeID and dd.FullDate >= em.valid_from"""
 
 
 def port_call_snapshot(t):
@@ -377,12 +375,12 @@ from {t('CargoOperation')} co join {t('PortCall')} pc on co.PortCallID = pc.Port
 join d_DimPort dp on pc.PortID = dp.PortID group by dp.PortSK, c.ContainerTypeID"""
 
 
-def equipment_assignments(t, how="join"):
+def equipment_assignments(t, how="asof join"):
     return f"""select dd.DateKey, de.EquipmentSK, coalesce(em.EmployeeSK, -1) as EmployeeSK, dp.PortSK, dc.ContainerTypeID, oa.AssignmentID as SourceAssignmentID
 from {t('OperationEquipmentAssignment')} oa join {t('CargoOperation')} co on oa.CargoOpID = co.CargoOpID join {t('PortCall')} pc on co.PortCallID = pc.PortCallID
 join d_Days dd on cast(oa.StartTime as date) = dd.FullDate join d_DimEquipment de on oa.EquipmentID = de.EquipmentID join d_DimPort dp on pc.PortID = dp.PortID
 join d_DimContainer dc on co.ContainerID = dc.ContainerID
-{how} v_DimPortEmployee em on oa.EmployeeID = em.EmployeeID and dd.FullDate between em.valid_from and em.valid_to"""
+{how} v_DimPortEmployee em on oa.EmployeeID = em.EmployeeID and dd.FullDate >= em.valid_from"""
 
 
 FACT_SQL = {
@@ -447,10 +445,10 @@ where MonthDateKey < (select min(DateKey) from d_Days where FullDate >= {month})
 select *, 'inserted' as ChangeType from ({monthly_performance(_dated('Attendance', 'AttendanceDate', f'>= {month}'), as_of_employee=True)})"""
     found["FactEmployeeLifecycle"] = _lifecycle_update()
     found["FactCargoOperationTransactional"] = _kept_and_new(
-        cargo_operations(_before("CargoOperation", "OperationEquipmentAssignment")), cargo_operations(_now, "left join"), ["SourceAssignmentID"]
+        cargo_operations(_before("CargoOperation", "OperationEquipmentAssignment")), cargo_operations(_now, "asof left join"), ["SourceAssignmentID"]
     )
     found["FactEquipmentAssignment"] = _kept_and_new(
-        equipment_assignments(_before("CargoOperation", "OperationEquipmentAssignment")), equipment_assignments(_now, "left join"), ["SourceAssignmentID"]
+        equipment_assignments(_before("CargoOperation", "OperationEquipmentAssignment")), equipment_assignments(_now, "asof left join"), ["SourceAssignmentID"]
     )
     found["FactContainerMovementsAcc"] = f"select *, 'inserted' as ChangeType from ({container_movements(_now)})"
     old_calls = port_call_snapshot(_before("PortCall"))
