@@ -14,6 +14,13 @@ def unseen(current: DataFrame, built: DataFrame, keys) -> DataFrame:
     return built.join(current.select(*keys), list(keys), "left_anti").select(*built.columns)
 
 
+def unloaded(staged: DataFrame, current: DataFrame, source_id: str, loaded_as: str) -> DataFrame:
+    """Staged rows whose source id no fact row carries. Filtering before the fact is built means the dimension
+    lookups only ever see new rows."""
+    loaded = current.select(F.col(loaded_as).alias(source_id))
+    return staged.join(loaded, source_id, "left_anti")
+
+
 def append_unseen(current: DataFrame, built: DataFrame, keys) -> DataFrame:
     return _tag(current, "kept").unionByName(_tag(unseen(current, built, keys), "inserted"))
 
@@ -27,10 +34,10 @@ def append(current: DataFrame, built: DataFrame) -> DataFrame:
     return _tag(current, "kept").unionByName(_tag(built, "inserted"))
 
 
-def beyond_highest(current: DataFrame, built: DataFrame, key: str) -> DataFrame:
-    """Append built rows above the highest ``key`` already loaded."""
-    highest = current.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
-    return append(current, built.where(F.col(key) > highest))
+def beyond_latest(staged: DataFrame, day, current: DataFrame, loaded_day: str) -> DataFrame:
+    """Staged rows dated after the latest day already loaded; all of them if nothing is."""
+    latest = current.agg(F.coalesce(F.max(loaded_day), F.lit("0001-01-01").cast("date"))).scalar()
+    return staged.where(day > latest)
 
 
 def replace_period(current: DataFrame, built: DataFrame, key: str, first_key) -> DataFrame:

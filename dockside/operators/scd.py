@@ -82,13 +82,13 @@ def first_load(source: DataFrame, dim: Dimension, run_date) -> DataFrame:
     return with_unknown(table, dim.key, dim.unknown) if dim.unknown else table
 
 
-def update(current: DataFrame, source: DataFrame, dim: Dimension, run_date) -> DataFrame:
-    """Next state of the whole dimension plus ``ChangeType``."""
+def update(current: DataFrame, source: DataFrame, dim: Dimension, run_date, compare: bool = True) -> DataFrame:
+    """Next state of the whole dimension plus ``ChangeType``; without ``compare`` only unseen members are added."""
     versioned = dim.kind == "versioned"
     live = current.where(dim.current) if versioned else current
     rows = _paired(live, _members(source, dim, run_date), dim)
 
-    tracked = () if dim.kind == "insert_only" else dim.tracked or dim.attributes
+    tracked = (dim.tracked or dim.attributes) if compare and dim.kind != "insert_only" else ()
     today = _day(run_date)
     opened = f"if(_staged, _other.{dim.start}, {dim.start})"
     rows = rows.selectExpr(
@@ -100,10 +100,11 @@ def update(current: DataFrame, source: DataFrame, dim: Dimension, run_date) -> D
     so_far = f"over (partition by _bucket order by {_order(dim)} rows unbounded preceding)"
     rows = rows.selectExpr("*", f"sum(int(_fresh)) {so_far} as _rank").where("_fresh or not _staged")
 
-    next_value = {"overwrite": _overwrite, "versioned": _version, "previous_value": _shift, "insert_only": _keep}[dim.kind]
+    steps = {"overwrite": _overwrite, "versioned": _version, "previous_value": _shift, "insert_only": _keep}
+    next_value = steps[dim.kind if compare else "insert_only"]
     result = rows.select(
         F.when(F.col("_fresh"), interleaved(highest_key(current, dim.key), F.col("_rank"))).otherwise(F.col(dim.key)).alias(dim.key),
-        *[F.expr(f"if(_fresh, {_first_value(c, dim, today)}, {next_value(c, dim, today)}) as {c}") for c in dim.columns[1:]],
+        *[F.expr(f"if(_fresh, {_first_value(c, dim, today)}, {next_value(c, dim, today)}) as `{c}`") for c in dim.columns[1:]],
         F.expr(f"case when _fresh then 'inserted' when _expire then 'expired' when _differs then 'updated' else 'kept' end as {CHANGE}"),
     )
     if versioned:

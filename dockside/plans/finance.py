@@ -11,6 +11,7 @@ from dockside.functions.dates import month_start
 from dockside.operators import increment
 from dockside.operators.lookup import date_keys, key_lookup, version_lookup
 from dockside.operators.scd import Dimension
+from dockside.sources.overlay import Overlay
 
 MONEY = "decimal(18,4)"
 
@@ -230,13 +231,18 @@ REFERENCE_KEYS = {
 
 
 def update_invoice_lines(current, s, d, reference_keys: bool = False) -> DataFrame:
-    keys = REFERENCE_KEYS["FactInvoiceLineTransaction"] if reference_keys else ("SourceInvoiceLineID",)
-    return increment.append_unseen(current, invoice_lines(s, d, missing_discount=0), keys)
+    if reference_keys:
+        built = invoice_lines(s, d, missing_discount=0)
+        return increment.append_unseen(current, built, REFERENCE_KEYS["FactInvoiceLineTransaction"])
+    fresh = increment.unloaded(s["InvoiceLine"], current, "InvoiceLineID", "SourceInvoiceLineID")
+    return increment.append(current, invoice_lines(Overlay(s, InvoiceLine=fresh), d, missing_discount=0))
 
 
 def update_payments(current, s, d, reference_keys: bool = False) -> DataFrame:
-    keys = REFERENCE_KEYS["FactCustomerPaymentTransaction"] if reference_keys else ("SourcePaymentID",)
-    return increment.append_unseen(current, payments(s, d), keys)
+    if reference_keys:
+        return increment.append_unseen(current, payments(s, d), REFERENCE_KEYS["FactCustomerPaymentTransaction"])
+    fresh = increment.unloaded(s["Payment"], current, "PaymentID", "SourcePaymentID")
+    return increment.append(current, payments(Overlay(s, Payment=fresh), d))
 
 
 def update_billing_snapshot(current, s, d, reference_keys: bool = False) -> DataFrame:

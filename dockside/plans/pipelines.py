@@ -1,0 +1,215 @@
+"""The ordered loads: staging, dimensions and facts of each mart, for the first time and incrementally.
+
+Every step reads what earlier steps published. A failing step stops its pipeline; what was published stays.
+"""
+
+from dataclasses import dataclass
+
+from pyspark.sql import SparkSession, functions as F
+
+from dockside.operators import calendar as cal, scd
+from dockside.operators.quality import duplicate_count, missing_values, validation_report
+from dockside.plans import finance, hr, port
+from dockside.plans.staging import STAGES, stage
+
+MARTS = {"finance": finance, "hr": hr, "port": port}
+HR_CONTROL = "FactTables"
+APPENDED = {
+    "FactInvoiceLineTransaction", "FactCustomerPaymentTransaction", "FactCustomerBillingMonthlySnapshot", "FactCustomerContractActivationFactless",
+    "FactTermination", "FactSalaryPayment", "FactEmployeeAttendance", "FactCargoOperationTransactional", "FactEquipmentAssignment", "FactPortCallPeriodicSnapshot",
+}
+PARTITIONED = {"FactMonthlyEmployeePerformance": "MonthDateKey"}
+
+# Columns that must be filled before a fact's first load: (staged table, columns, primary key to check for repeats)
+FACT_CHECKS = {
+    "FactInvoiceLineTransaction": ("InvoiceLine", ["InvoiceID", "ServiceTypeID", "Quantity", "UnitPrice", "TaxAmount", "NetAmount"], None),
+    "FactCustomerPaymentTransaction": ("Payment", ["InvoiceID", "PaymentDate", "Amount", "PaymentMethod"], None),
+    "FactCustomerBillingMonthlySnapshot": ("Invoice", ["InvoiceDate", "ContractID"], None),
+    "FactInvoiceLifecycleAccumulating": ("Invoice", ["InvoiceDate", "DueDate"], None),
+    "FactCargoOperationTransactional": (
+        "CargoOperation", ["CargoOpID", "PortCallID", "ContainerID", "OperationType", "OperationDateTime"], "CargoOpID",
+    ),
+    "FactEquipmentAssignment": (
+        "OperationEquipmentAssignment", ["AssignmentID", "CargoOpID", "EquipmentID", "EmployeeID", "StartTime"], "AssignmentID",
+    ),
+}
+
+
+@dataclass
+class Run:
+    """One execution: where to publish, the operational tables by name, the run date, the calendar's span."""
+
+    spark: SparkSession
+    warehouse: object
+    sources: object
+    run_date: str
+    run_time: object = None
+    calendar: tuple = ("1990-01-01", "2030-12-31")
+
+
+class _Staged:
+    """Staged tables of one area; a table the area does not stage is read from the source."""
+
+    def __init__(self, run: Run, area: str):
+        self._run, self._area = run, area
+
+    def __getitem__(self, table):
+        name = f"{self._area}.{table}"
+        return self._run.warehouse.table(name) if self._run.warehouse.has(name) else self._run.sources[table]
+
+
+class _Published:
+    def __init__(self, warehouse):
+        self._warehouse = warehouse
+
+    def __getitem__(self, table):
+        return self._warehouse.table(table)
+
+
+def _staging(area):
+    def steps(run: Run):
+        for spec in STAGES.values():
+            if spec.area == area:
+                yield f"{area}.{spec.table}", lambda p, t, spec=spec: _stage_one(run, p, t, spec)
+
+    return steps
+
+
+def _stage_one(run, process, table, spec):
+    rows, report = stage(run.sources[spec.table], spec, run.run_time)
+    run.warehouse.replace(process, table, rows, report)
+
+
+def _span(run: Run):
+    return cal.fixed_span(run.spark, *run.calendar)
+
+
+def _first_calendar(run: Run, table: str):
+    def load(process, name):
+        key, unknown = ("DateKey", True) if table == "DimDateHR" else ("DimDateID", False)
+        if not run.warehouse.has(name):
+            run.warehouse.replace(process, name, cal.calendar(_span(run), key, unknown=unknown))
+        elif unknown:
+            current = run.warehouse.table(name)
+            added = cal.missing_days(_span(run), current, key).withColumn(scd.CHANGE, F.lit("inserted"))
+            run.warehouse.append(process, name, added)
+
+    return load
+
+
+def _dimensions_first(area):
+    module = MARTS[area]
+
+    def steps(run: Run):
+        s, w = _Staged(run, area), run.warehouse
+        if area == "port":
+            for fact in module.FACTS:
+                w.clear("port_dimensions_first", fact)
+        yield ("DimDateHR" if area == "hr" else "DimDate"), _first_calendar(run, "DimDateHR" if area == "hr" else "DimDate")
+        for name, dim in module.DIMENSIONS.items():
+            yield name, lambda p, t, name=name, dim=dim: load(run, s, p, name, dim)
+
+    def load(run, s, process, name, dim):
+        source = module.dimension_source(name, s)
+        if area == "hr" and run.warehouse.has(name):  # safe to repeat: adds what is missing
+            rows = scd.update(run.warehouse.table(name), source, dim, run.run_date, compare=False)
+            return run.warehouse.replace(process, name, rows)
+        report = validation_report(source, dim.business_key, dim.required) if dim.required else None
+        run.warehouse.replace(process, name, scd.first_load(source, dim, run.run_date), report)
+
+    return steps
+
+
+def _dimensions_update(area):
+    module = MARTS[area]
+
+    def steps(run: Run):
+        s, w = _Staged(run, area), run.warehouse
+        if area == "finance":
+            yield "DimDate", extend(run)
+        for name, dim in module.DIMENSIONS.items():
+            yield name, lambda p, t, name=name, dim=dim: w.replace(
+                p, t, scd.update(w.table(name), module.dimension_source(name, s), dim, run.run_date)
+            )
+
+    def extend(run):
+        def load(process, table):
+            added = cal.extend_calendar(run.warehouse.table(table), run.run_date)
+            run.warehouse.append(process, table, added.withColumn(scd.CHANGE, F.lit("inserted")))
+
+        return load
+
+    return steps
+
+
+def _fact_report(name, s):
+    if name == "FactContainerMovementsAcc":
+        return port.container_movement_gaps(s)
+    if name not in FACT_CHECKS:
+        return None
+    table, required, key = FACT_CHECKS[name]
+    report = missing_values(s[table], required)
+    return report.unionByName(duplicate_count(s[table], [key])) if key else report
+
+
+def _facts_first(area):
+    module = MARTS[area]
+
+    def steps(run: Run):
+        s, d, w = _Staged(run, area), _Published(run.warehouse), run.warehouse
+        for name, build in module.FACTS.items():
+            yield name, lambda p, t, name=name, build=build: w.replace(
+                p, t, build(s, d), _fact_report(name, s), PARTITIONED.get(name)
+            )
+
+    return steps
+
+
+def _facts_update(area):
+    module = MARTS[area]
+
+    def steps(run: Run):
+        s, d, w = _Staged(run, area), _Published(run.warehouse), run.warehouse
+        window = dict(last_load=w.last_load(HR_CONTROL), run_date=run.run_date) if area == "hr" else {}
+        for name, build in module.UPDATES.items():
+            yield name, lambda p, t, name=name, build=build: publish(w, p, t, build(w.table(name), s, d, **window))
+        if area == "hr":
+            yield HR_CONTROL, lambda p, t: w.advance(HR_CONTROL, run.run_date)
+
+    def publish(w, process, table, rows):
+        if table in APPENDED:
+            w.append(process, table, rows)
+        elif table in PARTITIONED:
+            w.replace_partitions(process, table, rows, partition_by=PARTITIONED[table])
+        else:
+            w.replace(process, table, rows)
+
+    return steps
+
+
+PIPELINES = {
+    f"{area}_{phase}": build(area)
+    for phase, build in [
+        ("staging", _staging),
+        ("dimensions_first", _dimensions_first),
+        ("facts_first", _facts_first),
+        ("dimensions_update", _dimensions_update),
+        ("facts_update", _facts_update),
+    ]
+    for area in MARTS
+}
+
+
+def run_pipeline(name: str, run: Run) -> list[str]:
+    """Run one pipeline; returns the tables it published."""
+    run.warehouse.note(name, "Start", "In Progress")
+    published = []
+    try:
+        for table, load in PIPELINES[name](run):
+            load(name, table)
+            published.append(table)
+    except Exception as error:
+        run.warehouse.note(name, "Procedure", "Failed", str(error)[:2000])
+        raise
+    run.warehouse.note(name, "Procedure", "Success")
+    return published

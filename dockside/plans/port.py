@@ -6,6 +6,7 @@ from dockside.operators import increment
 from dockside.operators.lookup import date_keys, key_lookup, version_lookup
 from dockside.operators.quality import missing_values
 from dockside.operators.scd import Dimension
+from dockside.sources.overlay import Overlay
 
 _PERIOD = dict(start="EffectiveFrom", end="EffectiveTo")
 
@@ -131,14 +132,25 @@ REFERENCE_KEYS = {
 }
 
 
+def _unassigned(current, s) -> Overlay:
+    """The assignments not loaded yet."""
+    return Overlay(
+        s, OperationEquipmentAssignment=increment.unloaded(s["OperationEquipmentAssignment"], current, "AssignmentID", "SourceAssignmentID")
+    )
+
+
 def update_cargo_operations(current, s, d, reference_keys: bool = False) -> DataFrame:
-    keys = REFERENCE_KEYS["FactCargoOperationTransactional"] if reference_keys else ("SourceAssignmentID",)
-    return increment.append_unseen(current, cargo_operations(s, d, known_employee_only=False), keys)
+    if reference_keys:
+        built = cargo_operations(s, d, known_employee_only=False)
+        return increment.append_unseen(current, built, REFERENCE_KEYS["FactCargoOperationTransactional"])
+    return increment.append(current, cargo_operations(_unassigned(current, s), d, known_employee_only=False))
 
 
 def update_equipment_assignments(current, s, d, reference_keys: bool = False) -> DataFrame:
-    keys = REFERENCE_KEYS["FactEquipmentAssignment"] if reference_keys else ("SourceAssignmentID",)
-    return increment.append_unseen(current, equipment_assignments(s, d, known_employee_only=False), keys)
+    if reference_keys:
+        built = equipment_assignments(s, d, known_employee_only=False)
+        return increment.append_unseen(current, built, REFERENCE_KEYS["FactEquipmentAssignment"])
+    return increment.append(current, equipment_assignments(_unassigned(current, s), d, known_employee_only=False))
 
 
 def update_container_movements(current, s, d) -> DataFrame:
@@ -146,7 +158,12 @@ def update_container_movements(current, s, d) -> DataFrame:
 
 
 def update_port_call_snapshot(current, s, d) -> DataFrame:
-    return increment.beyond_highest(current, port_call_snapshot(s, d), "DateKey")
+    """Calls that arrived after the latest day loaded; only their allocations and operations are counted."""
+    calls = increment.beyond_latest(s["PortCall"], F.col("ArrivalDateTime").cast("date"), current, "FullDate")
+    fresh = {"PortCall": calls}
+    for table in ("BerthAllocation", "CargoOperation"):
+        fresh[table] = s[table].join(calls.select("PortCallID"), "PortCallID", "left_semi")
+    return increment.append(current, port_call_snapshot(Overlay(s, **fresh), d))
 
 
 UPDATES = {

@@ -185,7 +185,7 @@ from events where event_type = 'purchase'""",
     "Container": _CONTAINER.format(owner="case when p_size > 45 then 'ZIM' else p_brand end"),
     "Container_v1": _CONTAINER.format(owner="p_brand") + " where p_partkey in (select l_partkey from lineitem where l_shipdate < date '1995-06-01')",
     "Equipment": _EQUIPMENT.format(model="concat('Model ', s_name)"),
-    "Equipment_v1": _EQUIPMENT.format(model="case when s_acctbal < 1000 then null else concat('Model ', s_name) end") + " where s_acctbal < 8000",
+    "Equipment_v1": _EQUIPMENT.format(model="case when s_acctbal < 1000 then 'Unrated' else concat('Model ', s_name) end") + " where s_acctbal < 8000",
     "Voyage": """select o_orderkey as VoyageID, o_custkey as ShipID, concat('VYG', lpad(cast(o_orderkey as string), 14, '0')) as VoyageNumber,
   cast(o_custkey % 25 as int) as DeparturePortID, cast((o_custkey + 1) % 25 as int) as ArrivalPortID from orders""",
     "PortCall": """select o_orderkey as PortCallID, o_orderkey as VoyageID, cast(o_custkey % 25 as int) as PortID, o_orderdate as ArrivalDateTime,
@@ -203,7 +203,7 @@ from events where event_type = 'purchase'""",
     "OperationEquipmentAssignment_v1": f"select * from a_OperationEquipmentAssignment where StartTime < date '{FINANCE_RUN_2}'",
     "Yard": "select s_suppkey as YardID, s_nationkey as PortID, concat('Yard ', s_name) as Name, case when s_acctbal < 3000 then 'IMPORT' when s_acctbal < 6000 then 'EXPORT' else 'EMPTY' end as UsageType from supplier",
     "YardSlot": _YARD_SLOT.format(block="p_brand"),
-    "YardSlot_v1": _YARD_SLOT.format(block="case when p_size > 40 then null else p_brand end") + " where p_type <> 'PROMO'",
+    "YardSlot_v1": _YARD_SLOT.format(block="case when p_size > 40 then 'Overflow' else p_brand end") + " where p_type <> 'PROMO'",
     "ContainerYardMovement": """select event_id as MovementID, user_id as ContainerID, user_id as YardSlotID,
   case event_type when 'view' then 'IN' when 'click' then 'OUT' else 'RELOCATE' end as MovementType, ts as MovementDateTime from events""",
 }
