@@ -1,6 +1,6 @@
 """The ordered loads: staging, dimensions and facts of each mart, for the first time and incrementally.
 
-Every step reads what earlier steps published. A failing step stops its pipeline; what was published stays.
+Every step reads what earlier steps published. A failing step stops its load; what was published stays.
 """
 
 from dataclasses import dataclass
@@ -187,7 +187,7 @@ def _facts_update(area):
     return steps
 
 
-PIPELINES = {
+LOADS = {
     f"{area}_{phase}": build(area)
     for phase, build in [
         ("staging", _staging),
@@ -200,12 +200,12 @@ PIPELINES = {
 }
 
 
-def run_pipeline(name: str, run: Run) -> list[str]:
-    """Run one pipeline; returns the tables it published."""
+def run_load(name: str, run: Run) -> list[str]:
+    """Run one load; returns the tables it published."""
     run.warehouse.note(name, "Start", "In Progress")
     published = []
     try:
-        for table, load in PIPELINES[name](run):
+        for table, load in LOADS[name](run):
             load(name, table)
             published.append(table)
     except Exception as error:

@@ -13,10 +13,12 @@ from dockside.operators.increment import in_window
 from dockside.operators.keys import assign_dense_keys
 from dockside.operators.lookup import as_of, interval_lookup
 from dockside.plans import finance, hr, port
+from dockside.plans.loads import HR_CONTROL, Run, run_load
 from dockside.plans.staging import STAGES, stage
 from dockside.sources import adapter
 from dockside.sources.adapter import CALENDAR_END, CALENDAR_START, FINANCE_RUN_1, FINANCE_RUN_2, HR_RUN_1, HR_RUN_2, Sources
 from dockside.sources.overlay import Overlay
+from dockside.sources.warehouse import MemoryWarehouse
 
 HR_LAST_LOAD, HR_RUN_DATE, HEADCOUNT_YEAR = "2024-01-15", "2024-01-31", 2026
 MARTS = {"finance": finance, "hr": hr, "port": port}
@@ -190,6 +192,39 @@ def _current_versions(spark, directory):
     return flat(d.where("IsCurrent").select("DimCustomerID", "CustomerCode", "Phone", "Address", "StartDate"))
 
 
+def _load(area, phase, spark, directory):
+    """Rows per table after a whole load, its steps chained without storage in between."""
+    later, earlier = Sources(spark, directory), Sources(spark, directory, "v1")
+    first_day, second_day = RUN_DATES[area]
+    warehouse = MemoryWarehouse()
+
+    def run(step, sources, run_date):
+        return run_load(f"{area}_{step}", Run(spark, warehouse, sources, run_date, calendar=(CALENDAR_START, CALENDAR_END)))
+
+    if phase == "staging":
+        published = run(phase, later, first_day)
+    elif phase.startswith("dimensions"):
+        published = run("dimensions_first", earlier, first_day)
+        if phase == "dimensions_update":
+            published = run(phase, later, second_day)
+    else:
+        run("dimensions_first", later, first_day)
+        published = run("facts_first", later if phase == "facts_first" else _loaded_earlier(area, spark, directory), first_day)
+        if phase == "facts_update":
+            warehouse.advance(HR_CONTROL, HR_LAST_LOAD)
+            published = run(phase, later, HR_RUN_DATE if area == "hr" else second_day)
+    return quality.row_counts({name: warehouse.table(name) for name in published if name != HR_CONTROL})
+
+
+def _loaded_earlier(area, spark, directory):
+    """Sources as the first fact load saw them."""
+    s = Sources(spark, directory)
+    facts = MARTS[area].FACTS
+    replaced = {t: adapter.source(spark, directory, f"{t}_v1") for f in facts if f in _EARLIER for t in _EARLIER[f]}
+    replaced |= {t: in_window(s[t], day, "1900-01-01", HR_LAST_LOAD) for f, (t, day) in _HIGH_WATER.items() if f in facts}
+    return Overlay(s, **replaced)
+
+
 def snake(name: str) -> str:
     name = name.removeprefix("Dim").removeprefix("Fact")
     return "".join(f"_{c.lower()}" if c.isupper() else c for c in name).strip("_")
@@ -231,6 +266,9 @@ def registry() -> dict:
     found["fact_yearly_headcount"] = lambda spark, sf: flat(
         hr.yearly_headcount(Sources(spark, sf), Dimensions(spark, sf, "hr"), HEADCOUNT_YEAR)
     )
+    for area in MARTS:
+        for phase in ("staging", "dimensions_first", "dimensions_update", "facts_first", "facts_update"):
+            found[f"load_{area}_{phase}"] = partial(_load, area, phase)
     found["row_counts"] = _row_counts
     found["orphan_report"] = _orphan_report
     found["duplicate_keys"] = _duplicate_keys

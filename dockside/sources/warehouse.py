@@ -40,7 +40,11 @@ class MemoryWarehouse:
     def replace(self, process, table, rows, report=None, partition_by=None):
         self._tables[table] = rows.drop(CHANGE)
 
-    append = replace_partitions = replace
+    replace_partitions = replace
+
+    def append(self, process, table, rows, report=None):
+        fresh = rows.where(F.col(CHANGE) == "inserted").drop(CHANGE)
+        self._tables[table] = self._tables[table].unionByName(fresh)
 
     def clear(self, process, table):
         self._tables.pop(table, None)
@@ -59,6 +63,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._locations = self._read_locations()
+        self._frames: dict[str, DataFrame] = {}
 
     # --- state
 
@@ -90,11 +95,13 @@ class Warehouse:
         return bool(self._locations.get(table))
 
     def table(self, table: str) -> DataFrame:
-        parts = [self.spark.read.parquet(path) for path in self._locations[table]]
-        result = parts[0]
-        for part in parts[1:]:
-            result = result.unionByName(part)
-        return result
+        """The current state; files are listed and the schema read once per published version."""
+        if table not in self._frames:
+            first, *more = [self.spark.read.parquet(path) for path in self._locations[table]]
+            for part in more:
+                first = first.unionByName(part)
+            self._frames[table] = first
+        return self._frames[table]
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in sorted(self._locations) if self.has(name)}
@@ -127,6 +134,7 @@ class Warehouse:
         if self.has(table):
             self._log(process, "Delete", table, _now(), None, None, "Success", "cleared", None)
             self._locations[table] = []
+            self._frames.pop(table, None)
 
     def note(self, process, operation, status, message=""):
         self._log(process, operation, "*", _now(), None, None, status, message, None)
@@ -156,6 +164,7 @@ class Warehouse:
         except Exception as error:
             self._log(process, "Error", table, started, None, None, "Failed", str(error)[:2000], None)
             raise
+        self._frames.pop(table, None)
         self._log(process, operation, table, started, counts["inserted"], counts["updated"], "Success", "", location)
 
     def _log(self, process, operation, table, started, inserted, updated, status, message, location):

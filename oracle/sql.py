@@ -412,17 +412,19 @@ def _kept_and_new(old: str, new: str, keys) -> str:
 select n.*, 'inserted' as ChangeType from ({new}) n where not exists (select 1 from ({old}) o where {match})"""
 
 
-def _fact_updates() -> dict:
+def _fact_updates(before=None) -> dict:
+    """``before`` maps tables to their state at the first load; by default only the fact's own tables differ."""
+    _before_of = lambda *tables: before or _before(*tables)
     found = {}
-    lines = _before("InvoiceLine")
+    lines = _before_of("InvoiceLine")
     new_lines = invoice_lines(_now, "coalesce(l.DiscountPercent, 0)")
     found["FactInvoiceLineTransaction"] = _kept_and_new(invoice_lines(lines), new_lines, ["SourceInvoiceLineID"])
-    found["FactCustomerPaymentTransaction"] = _kept_and_new(payments(_before("Payment")), payments(_now), ["SourcePaymentID"])
+    found["FactCustomerPaymentTransaction"] = _kept_and_new(payments(_before_of("Payment")), payments(_now), ["SourcePaymentID"])
     found["FactCustomerBillingMonthlySnapshot"] = _kept_and_new(
-        billing_snapshot(_before("Invoice")), billing_snapshot(_now), ["DimCustomerID", "DimDateID", "DimBillingCycleID"]
+        billing_snapshot(_before_of("Invoice")), billing_snapshot(_now), ["DimCustomerID", "DimDateID", "DimBillingCycleID"]
     )
     found["FactCustomerContractActivationFactless"] = _kept_and_new(
-        contract_activations(_before("Contract")), contract_activations(_now), ["DimDateID", "DimCustomerID", "DimContractID"]
+        contract_activations(_before_of("Contract")), contract_activations(_now), ["DimDateID", "DimCustomerID", "DimContractID"]
     )
     moving = ["FirstPaymentDateID", "FinalPaymentDateID", "PaidAmount", "OutstandingAmount", "PaymentCount", "FirstPaymentDelay", "FinalPaymentDelay", "DaysToClose"]
     fixed = ["DimInvoiceID", "DimCustomerID", "DimContractID", "InvoiceDateID", "DueDateID", "TotalAmount"]
@@ -430,7 +432,7 @@ def _fact_updates() -> dict:
     found["FactInvoiceLifecycleAccumulating"] = f"""select {', '.join(f'coalesce(o.{c}, n.{c}) as {c}' for c in fixed)},
   {', '.join(f'case when n.DimInvoiceID is null then o.{c} else n.{c} end as {c}' for c in moving)},
   case when o.DimInvoiceID is null then 'inserted' when n.DimInvoiceID is not null and ({differ}) then 'updated' else 'kept' end as ChangeType
-from ({invoice_lifecycle(_before('Invoice', 'Payment'))}) o full join ({invoice_lifecycle(_now)}) n on o.DimInvoiceID = n.DimInvoiceID"""
+from ({invoice_lifecycle(_before_of('Invoice', 'Payment'))}) o full join ({invoice_lifecycle(_now)}) n on o.DimInvoiceID = n.DimInvoiceID"""
     loaded, window = f"<= date '{HR_LAST_LOAD}'", f"between date '{HR_LAST_LOAD}' + 1 and date '{HR_RUN_DATE}'"
     for fact, table, day, old, new in [
         ("FactTermination", "Termination", "TerminationDate", terminations, terminations),
@@ -445,13 +447,13 @@ where MonthDateKey < (select min(DateKey) from d_Days where FullDate >= {month})
 select *, 'inserted' as ChangeType from ({monthly_performance(_dated('Attendance', 'AttendanceDate', f'>= {month}'), as_of_employee=True)})"""
     found["FactEmployeeLifecycle"] = _lifecycle_update()
     found["FactCargoOperationTransactional"] = _kept_and_new(
-        cargo_operations(_before("CargoOperation", "OperationEquipmentAssignment")), cargo_operations(_now, "asof left join"), ["SourceAssignmentID"]
+        cargo_operations(_before_of("CargoOperation", "OperationEquipmentAssignment")), cargo_operations(_now, "asof left join"), ["SourceAssignmentID"]
     )
     found["FactEquipmentAssignment"] = _kept_and_new(
-        equipment_assignments(_before("CargoOperation", "OperationEquipmentAssignment")), equipment_assignments(_now, "asof left join"), ["SourceAssignmentID"]
+        equipment_assignments(_before_of("CargoOperation", "OperationEquipmentAssignment")), equipment_assignments(_now, "asof left join"), ["SourceAssignmentID"]
     )
     found["FactContainerMovementsAcc"] = f"select *, 'inserted' as ChangeType from ({container_movements(_now)})"
-    old_calls = port_call_snapshot(_before("PortCall"))
+    old_calls = port_call_snapshot(_before_of("PortCall"))
     found["FactPortCallPeriodicSnapshot"] = f"""select *, 'kept' as ChangeType from ({old_calls}) union all by name
 select *, 'inserted' as ChangeType from ({port_call_snapshot(_now)}) where DateKey > (select max(DateKey) from ({old_calls}))"""
     return found
@@ -549,6 +551,27 @@ def _orphans(child, column, parent, parent_column) -> str:
 where c.{column} is not null and not exists (select 1 from a_{parent} p where p.{parent_column} = c.{column})"""
 
 
+def _counts(texts: dict) -> str:
+    return compose(" union all ".join(f"select '{name}' as TableName, count(*) as RowCount from ({text})" for name, text in texts.items()))
+
+
+def _load_counts() -> dict:
+    """Rows per table after a whole load. Its facts meet dimensions loaded once, and every table of the mart in
+    its earlier state before an update."""
+    found = {}
+    earlier = {mart: {t for f in module.FACTS if f in _EARLIER for t in _EARLIER[f]} for mart, module in MARTS.items()}
+    for mart, module in MARTS.items():
+        found[f"load_{mart}_staging"] = _counts({f"{mart}.{s.table}": f"select * from a_{s.table}" for s in STAGES.values() if s.area == mart})
+        days = {"DimDateHR" if mart == "hr" else "DimDate": "select FullDate from d_Days" + (" union all select date '1900-01-01'" if mart == "hr" else "")}
+        found[f"load_{mart}_dimensions_first"] = _counts({**days, **{n: f"select * from e_{n}" for n in module.DIMENSIONS}})
+        found[f"load_{mart}_dimensions_update"] = _counts({**(days if mart == "finance" else {}), **{n: f"select * from u_{n}" for n in module.DIMENSIONS}})
+        found[f"load_{mart}_facts_first"] = _counts({n: FACT_SQL[n](_now) for n in module.FACTS})
+        updates = _fact_updates(_before(*earlier[mart]))
+        updates["FactEmployeeLifecycle"] = "select * from a_Employee"
+        found[f"load_{mart}_facts_update"] = _counts({n: updates[n] for n in module.UPDATES})
+    return found
+
+
 def statements() -> dict[str, str]:
     found = {f"stage_{name}": staging_report(spec) for name, spec in STAGES.items()}
     found |= _calendars()
@@ -566,6 +589,7 @@ def statements() -> dict[str, str]:
             ["DimInvoiceID", "DimCustomerID", "DimServiceTypeID", "Quantity", "UnitPrice", "NetAmount"],
         )
     )
+    found |= _load_counts()
     found["fact_yearly_headcount"] = _merge_with(yearly_headcount())
     tables = dict.fromkeys(spec.table for spec in STAGES.values())
     found["row_counts"] = compose(" union all ".join(f"select '{t}' as TableName, count(*) as RowCount from a_{t}" for t in tables))

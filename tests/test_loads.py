@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dockside.operators.quality import ValidationError
-from dockside.plans.pipelines import PIPELINES, Run, run_pipeline
+from dockside.plans.loads import LOADS, Run, run_load
 from dockside.sources.adapter import Sources
 from dockside.sources.overlay import Overlay
 from dockside.sources.warehouse import Warehouse
@@ -13,7 +13,7 @@ from dockside.sources.warehouse import Warehouse
 def _run_all(spark, warehouse, sources, area, phases, run_date):
     run = Run(spark, warehouse, sources, run_date, run_date + " 02:00:00")
     for phase in phases:
-        run_pipeline(f"{area}_{phase}", run)
+        run_load(f"{area}_{phase}", run)
 
 
 def _counts(warehouse, prefix):
@@ -59,11 +59,11 @@ def test_load_increment_repeat(spark, small, tmp_path, area, days):
 def test_refused_load_keeps_the_last_state(spark, small, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "w"))
     sources = Sources(spark, small)
-    run_pipeline("port_staging", Run(spark, warehouse, sources, "1999-01-01"))
+    run_load("port_staging", Run(spark, warehouse, sources, "1999-01-01"))
     ships = warehouse.table("port.Ship").count()
     bad = Overlay(sources, Ship=sources["Ship"].withColumn("Name", F.lit(" ")))
     with pytest.raises(ValidationError) as refused:
-        run_pipeline("port_staging", Run(spark, warehouse, bad, "1999-01-02"))
+        run_load("port_staging", Run(spark, warehouse, bad, "1999-01-02"))
     assert ("missing", "Name", ships) in refused.value.failures
     again = Warehouse(spark, str(tmp_path / "w"))
     assert again.table("port.Ship").where("trim(Name) <> ''").count() == ships
@@ -72,4 +72,4 @@ def test_refused_load_keeps_the_last_state(spark, small, tmp_path):
 
 
 def test_every_wrapper_exists():
-    assert len(PIPELINES) == 15
+    assert len(LOADS) == 15
