@@ -29,8 +29,11 @@ def validity(dimension: DataFrame, business_key, key: str, start: str = "StartDa
     The first known version reaches back to the beginning of time, so a fact older than the warehouse still
     finds its member, and finds the same one on every later run. A key has one version per run date at most,
     so the window stays small whatever the key.
+
+    The window is partitioned by the key wrapped in a struct on purpose: the join that follows then shuffles the
+    versions by the plain key itself, and only a join fed by two shuffles of its own can have a hot key split.
     """
-    versions = Window.partitionBy(*business_key).orderBy(start, key)
+    versions = Window.partitionBy(F.struct(*business_key)).orderBy(start, key)
     return dimension.select(
         *business_key,
         key,
