@@ -53,14 +53,16 @@ class Dimensions:
 
 
 def flat(df: DataFrame) -> DataFrame:
-    """Flags as 0/1 and ratios at four decimals, so any SQL engine can state the same rows."""
+    """Flags as 0/1, amounts as doubles (ratios at four decimals), days as ISO text: rows every SQL engine states alike."""
     columns = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.BooleanType):
             c = c.cast("int")
-        elif isinstance(f.dataType, T.DecimalType) and f.dataType.scale > 4:
-            c = c.cast("decimal(18,4)")
+        elif isinstance(f.dataType, T.DecimalType):
+            c = (c.cast("decimal(18,4)") if f.dataType.scale > 4 else c).cast("double")
+        elif isinstance(f.dataType, (T.DateType, T.TimestampNTZType)):
+            c = c.cast("string")
         columns.append(c.alias(f.name))
     return df.select(*columns)
 
@@ -174,12 +176,12 @@ def _container_gaps(spark, directory):
 def _asof_lookup(spark, directory):
     s = Sources(spark, directory)
     rows = s["Attendance"].select("AttendanceID", "EmployeeID", "AttendanceDate")
-    return as_of(rows, s["EmploymentHistory"], "EmployeeID", "AttendanceDate", "StartDate", "EmploymentHistoryID", ["EmploymentHistoryID", "DepartmentID"])
+    return flat(as_of(rows, s["EmploymentHistory"], "EmployeeID", "AttendanceDate", "StartDate", "EmploymentHistoryID", ["EmploymentHistoryID", "DepartmentID"]))
 
 
 def _interval_lookup(spark, directory):
     rows = Sources(spark, directory)["Attendance"].select("AttendanceID", "EmployeeID", "AttendanceDate")
-    return interval_lookup(rows, Dimensions(spark, directory, "hr")["DimEmployee"], "EmployeeID", "AttendanceDate", "EmployeeKey", how="left")
+    return flat(interval_lookup(rows, Dimensions(spark, directory, "hr")["DimEmployee"], "EmployeeID", "AttendanceDate", "EmployeeKey", how="left"))
 
 
 def _surrogate_keys(spark, directory):

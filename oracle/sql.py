@@ -183,15 +183,43 @@ def compose(body: str) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
-def _flags(columns, flags) -> str:
-    return ", ".join(f"cast({c} as int) as {c}" if c in flags else c for c in columns)
+# How the checked rows show flags, days and amounts.
+_FLAGS = {"IsCurrent", "IsActive", "IsPaid", "Taxable"}
+_DATES = {
+    "StartDate", "EndDate", "EffectiveFrom", "EffectiveTo", "StartDateActual", "EndDateActual", "CreatedDate", "EffectiveDate",
+    "HireDate", "BirthDate", "FullDate", "OperationDateTime", "AttendanceDate",
+}
+_AMOUNTS = {
+    "FactInvoiceLineTransaction": "UnitPrice GrossAmount DiscountPercent NetAmount TaxAmount EffectiveRate",
+    "FactCustomerPaymentTransaction": "PaymentAmount RemainingAmount",
+    "FactCustomerBillingMonthlySnapshot": "TotalNetAmount TotalTaxAmount TotalDiscount TotalPaid AveragePaymentDelay MaxOutstandingAmount",
+    "FactInvoiceLifecycleAccumulating": "TotalAmount PaidAmount OutstandingAmount",
+    "FactTermination": "SalaryAtTermination",
+    "FactSalaryPayment": "GrossPayAmount BaseAmount BonusAmount DeductionsAmount NetAmount SalaryCostToCompany",
+    "FactMonthlyEmployeePerformance": "TotalHoursWorked AverageDailyHoursWorked MinDailyHoursWorked MaxDailyHoursWorked OvertimeAsPercentage",
+    "FactEmployeeLifecycle": "FinalSalary",
+    "FactCargoOperationTransactional": "WeightKG FullDate OperationDateTime",
+    "FactPortCallPeriodicSnapshot": "FullDate",
+    "FactYearlyHeadcount": "AverageTenureInMonths TurnoverRate AverageAgeOfEmployees",
+}
+
+
+def _shown(column: str) -> str:
+    kind = "int" if column in _FLAGS else "varchar" if column in _DATES else "double"
+    return f"cast({column} as {kind}) as {column}"
+
+
+def _show(text: str, columns) -> str:
+    """``text`` with the named columns in the form they are checked in."""
+    columns = columns.split() if isinstance(columns, str) else list(columns)
+    return f"select * replace ({', '.join(_shown(c) for c in columns)}) from ({text})" if columns else text
 
 
 def _dimension(prefix: str, name: str) -> str:
     dim = _spec(name)
-    flags = {"IsCurrent", "IsActive", "IsPaid", "Taxable"}
     columns = dim.columns + (["ChangeType"] if prefix == "u" else [])
-    return compose(f"select {_flags(columns, flags)} from {prefix}_{name}")
+    special = [c for c in columns if c in _FLAGS or c in _DATES or c == "TaxRate"]
+    return compose(_show(f"select {', '.join(columns)} from {prefix}_{name}", special))
 
 
 # --- facts ------------------------------------------------------------------------------------------------------
@@ -314,7 +342,7 @@ left join (select o.AttendanceID, max_by(e.EmployeeKey, e.StartDate) as Employee
 
 def _months(rel: str) -> str:
     return f"""(select EmployeeID, last_day(AttendanceDate) as MonthEndDate, cast(sum(coalesce(HoursWorked, 0)) * 100 as hugeint) as cents, count(*) as n, min(HoursWorked) as lo,
-  max(HoursWorked) as hi, sum(case when Status = 'Late' then 1 else 0 end) as late, sum(case when Status = 'Absent' then 1 else 0 end) as absent,
+  max(HoursWorked) as hi, count(*) filter (where Status = 'Late') as late, count(*) filter (where Status = 'Absent') as absent,
   EmployeeID as RowID from {rel} group by EmployeeID, last_day(AttendanceDate))"""
 
 
@@ -369,8 +397,8 @@ group by dd.DateKey, dd.FullDate, pc.PortCallID, pc.VoyageID, dp.PortSK, ba.Bert
 
 
 def container_movements(t):
-    return f"""select dp.PortSK, c.ContainerTypeID, sum(case when co.OperationType = 'LOAD' then co.Quantity else 0 end) as TotalLoads,
-  sum(case when co.OperationType = 'UNLOAD' then co.Quantity else 0 end) as TotalUnloads, sum(co.Quantity) as TotalTEU
+    return f"""select dp.PortSK, c.ContainerTypeID, cast(sum(case when co.OperationType = 'LOAD' then co.Quantity else 0 end) as bigint) as TotalLoads,
+  cast(sum(case when co.OperationType = 'UNLOAD' then co.Quantity else 0 end) as bigint) as TotalUnloads, cast(sum(co.Quantity) as bigint) as TotalTEU
 from {t('CargoOperation')} co join {t('PortCall')} pc on co.PortCallID = pc.PortCallID join {t('Container')} c on co.ContainerID = c.ContainerID
 join d_DimPort dp on pc.PortID = dp.PortID group by dp.PortSK, c.ContainerTypeID"""
 
@@ -537,11 +565,14 @@ def _calendars() -> dict:
   except select unnest(generate_series(cast({first} as timestamp), cast({last} as timestamp), interval 1 day))"""
     used = f"(select count(*) from (select unnest(generate_series(cast({first} as timestamp), cast({last} as timestamp), interval 1 day))))"
     return {
-        "dim_date_first": compose(_calendar(*fin, "DimDateID")),
-        "dim_date_hr_first": compose(f"{_calendar(*hrs, 'DateKey')} union all by name {unknown}"),
-        "dim_date_update": compose(_calendar(first, "date '2004-12-31'", "DimDateID")),
+        "dim_date_first": compose(_show(_calendar(*fin, "DimDateID"), "FullDate")),
+        "dim_date_hr_first": compose(_show(f"{_calendar(*hrs, 'DateKey')} union all by name {unknown}", "FullDate")),
+        "dim_date_update": compose(_show(_calendar(first, "date '2004-12-31'", "DimDateID"), "FullDate")),
         "dim_date_missing_days": compose(
-            f"select row_number() over (order by FullDate) + {used} as DimDateID, FullDate, {_CALENDAR_COLUMNS} from (select cast(x as date) as FullDate from ({absent}))"
+            _show(
+                f"select row_number() over (order by FullDate) + {used} as DimDateID, FullDate, {_CALENDAR_COLUMNS} from (select cast(x as date) as FullDate from ({absent}))",
+                "FullDate",
+            )
         ),
     }
 
@@ -580,17 +611,23 @@ def statements() -> dict[str, str]:
         found[f"dim_{snake(name)}_update"] = _dimension("u", name)
     updates = _fact_updates()
     for name, text in FACT_SQL.items():
-        found[f"fact_{FACT_QUERY[name]}_first"] = compose(text(_now))
-        found[f"fact_{FACT_QUERY[name]}_update"] = compose(updates[name]) if not updates[name].startswith("with ") else _merge_with(updates[name])
-    found["fact_billing_snapshot_reference_grain"] = compose(billing_snapshot(_now, reference_grain=True))
+        amounts = _AMOUNTS.get(name, "")
+        found[f"fact_{FACT_QUERY[name]}_first"] = compose(_show(text(_now), amounts))
+        found[f"fact_{FACT_QUERY[name]}_update"] = compose(_show(updates[name], amounts))
+    found["fact_billing_snapshot_reference_grain"] = compose(
+        _show(billing_snapshot(_now, reference_grain=True), _AMOUNTS["FactCustomerBillingMonthlySnapshot"])
+    )
     found["fact_invoice_line_update_reference_keys"] = compose(
-        _kept_and_new(
-            invoice_lines(_before("InvoiceLine")), invoice_lines(_now, "coalesce(l.DiscountPercent, 0)"),
-            ["DimInvoiceID", "DimCustomerID", "DimServiceTypeID", "Quantity", "UnitPrice", "NetAmount"],
+        _show(
+            _kept_and_new(
+                invoice_lines(_before("InvoiceLine")), invoice_lines(_now, "coalesce(l.DiscountPercent, 0)"),
+                ["DimInvoiceID", "DimCustomerID", "DimServiceTypeID", "Quantity", "UnitPrice", "NetAmount"],
+            ),
+            _AMOUNTS["FactInvoiceLineTransaction"],
         )
     )
     found |= _load_counts()
-    found["fact_yearly_headcount"] = _merge_with(yearly_headcount())
+    found["fact_yearly_headcount"] = compose(_show(yearly_headcount(), _AMOUNTS["FactYearlyHeadcount"]))
     tables = dict.fromkeys(spec.table for spec in STAGES.values())
     found["row_counts"] = compose(" union all ".join(f"select '{t}' as TableName, count(*) as RowCount from a_{t}" for t in tables))
     found["orphan_report"] = compose(
@@ -614,21 +651,14 @@ def statements() -> dict[str, str]:
         )
     )
     found["asof_lookup"] = compose(
-        f"""select o.AttendanceID, o.EmployeeID, o.AttendanceDate, h.EmploymentHistoryID, h.DepartmentID from a_Attendance o
+        f"""select o.AttendanceID, o.EmployeeID, cast(o.AttendanceDate as varchar) as AttendanceDate, h.EmploymentHistoryID, h.DepartmentID from a_Attendance o
 {_last_history('AttendanceID', 'AttendanceDate', 'h', 'a_Attendance')}"""
     )
     found["interval_lookup"] = compose(
-        "select o.AttendanceID, o.EmployeeID, o.AttendanceDate, e.EmployeeKey from a_Attendance o left " + _EMPLOYEE_ON.format(day="AttendanceDate")
+        "select o.AttendanceID, o.EmployeeID, cast(o.AttendanceDate as varchar) as AttendanceDate, e.EmployeeKey from a_Attendance o left " + _EMPLOYEE_ON.format(day="AttendanceDate")
     )
     found["surrogate_keys"] = compose(
         "select row_number() over (order by md5(InvoiceLineID)) as InvoiceLineKey, InvoiceLineID from a_InvoiceLine"
     )
-    found["current_versions"] = compose("select DimCustomerID, CustomerCode, Phone, Address, StartDate from d_DimCustomer where IsCurrent")
+    found["current_versions"] = compose("select DimCustomerID, CustomerCode, Phone, Address, cast(StartDate as varchar) as StartDate from d_DimCustomer where IsCurrent")
     return found
-
-
-def _merge_with(text: str) -> str:
-    """Compose a statement that opens with its own WITH."""
-    composed = compose(text)
-    head, _, tail = composed.partition("\nwith ")
-    return f"{head},\n{tail}"
