@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockside.llm import simhash
+from dockside.llm import simhash, toxicity
 from dockside.llm.storage import Scratch
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the network scores at one half or more go."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model, keep_below=0.5)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest id."""
     return simhash.keep_one(spark, docs)
 
 
-STAGES = [("simhash_near_dedup", drop_near_duplicates)]
+STAGES = [("toxicity", drop_toxic), ("simhash_near_dedup", drop_near_duplicates)]
 
 ORACLE_SQL = None  # no stage can be stated in SQL
 

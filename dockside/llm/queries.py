@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockside.llm import simhash
+from dockside.llm import simhash, toxicity
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    docs = _table(spark, directory, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, directory, "labels")))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op6_simhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
     found = simhash.near_duplicates(spark, _table(spark, directory, "documents"))
     return found.select(
@@ -21,7 +29,7 @@ def op6_simhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op1_toxicity, op6_simhash_near_dedup)}
 
 
 def statements() -> dict[str, str]:
