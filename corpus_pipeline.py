@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockside.llm import simhash, toxicity
+from dockside.llm import decontaminate, simhash, toxicity
 from dockside.llm.storage import Scratch
 
 
@@ -19,7 +19,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.keep_one(spark, docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("simhash_near_dedup", drop_near_duplicates)]
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a test item go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+]
 
 ORACLE_SQL = None  # no stage can be stated in SQL
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockside.llm import simhash, toxicity
+from dockside.llm import decontaminate, simhash, toxicity
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -28,8 +28,12 @@ def op6_simhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op9_benchmark_decontamination(spark: SparkSession, directory: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, directory, "documents"), _table(spark, directory, "benchmark"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op6_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op6_simhash_near_dedup, op9_benchmark_decontamination)}
 
 
 def statements() -> dict[str, str]:

@@ -14,10 +14,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from dockside.llm.storage import text_slices
+from dockside.llm.words import read_words, runs
 
 WINDOW, STRIDE = 32, 16
 WORD_BUCKETS, GRAM_BUCKETS, GRAMS = 1 << 14, 1 << 15, (3, 4, 5)
@@ -44,18 +44,9 @@ class Words:
     gram_starts: np.ndarray
 
 
-def read_words(texts: pa.Array) -> Words:
-    """Words between white space, in lower case, letters and digits only; a word without them is left out."""
-    lists = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
-    coded = lists.flatten().dictionary_encode()
-    raw = pc.replace_substring_regex(pc.utf8_lower(coded.dictionary), r"[^\p{L}\p{N}]+", "").dictionary_encode()
-    names = raw.dictionary.to_pylist()
-    ids = raw.indices.to_numpy()[coded.indices.to_numpy()] if len(coded) else np.empty(0, np.int32)
-    empty = names.index("") if "" in names else -1
-    keep = ids != empty
-    offsets = np.asarray(lists.offsets) - lists.offsets[0].as_py()
-    starts = np.concatenate(([0], np.cumsum(keep)))[offsets]
-    return Words(ids[keep].astype(np.int64), starts, *_buckets(names))
+def coded(texts: pa.Array) -> Words:
+    ids, starts, names = read_words(texts)
+    return Words(ids, starts, *_buckets(names.to_pylist()))
 
 
 def _buckets(names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -204,13 +195,13 @@ class Model:
         used = np.unique(windows[windows >= 0])
         g["word"] = (words.word[used], d_x[used, :EMBED])
         owner = np.repeat(np.arange(len(used)), sizes[used])
-        at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes[used]) - sizes[used], sizes[used]) + np.repeat(words.gram_starts[used], sizes[used])
+        at = runs(words.gram_starts[used], sizes[used])
         g["gram"] = (words.gram[at], (d_x[used, EMBED : 2 * EMBED] / np.maximum(sizes[used], 1)[:, None] ** 0.5)[owner])
         return g
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         """The highest window score of each text."""
-        words = read_words(texts)
+        words = coded(texts)
         windows, text = windows_of(words)
         x, _ = self.inputs(words)
         best = np.full(len(texts), -np.inf)
@@ -238,7 +229,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7, rounds: int = ROUN
         model.p["out"][:] = 0
         model.p["bias"][:] = np.log(share / (1 - share))
         return model
-    words = read_words(pa.array(texts, pa.string()))
+    words = coded(pa.array(texts, pa.string()))
     in_text = [np.unique(words.ids[s:e]) for s, e in zip(words.starts, words.starts[1:])]
     model.word_odds = _odds([np.unique(words.word[i]) for i in in_text], labels, WORD_BUCKETS)
     grams = lambda i: np.unique(np.concatenate([words.gram[words.gram_starts[k] : words.gram_starts[k + 1]] for k in i] or [[]])).astype(np.int64)
@@ -273,7 +264,7 @@ def _only(words: Words, chosen: np.ndarray) -> Words:
     """The words ``chosen``, numbered anew; without texts."""
     sizes = np.diff(words.gram_starts)[chosen]
     starts = np.concatenate(([0], np.cumsum(sizes)))
-    at = np.arange(starts[-1]) - np.repeat(starts[:-1], sizes) + np.repeat(words.gram_starts[chosen], sizes)
+    at = runs(words.gram_starts[chosen], sizes)
     return Words(np.empty(0, np.int64), np.zeros(1, np.int64), words.word[chosen], words.gram[at], starts)
 
 
