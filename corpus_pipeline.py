@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockside.llm import decontaminate, simhash, toxicity
+from dockside.llm import decontaminate, secret_scan, simhash, toxicity
 from dockside.llm.storage import Scratch
 
 
@@ -24,10 +24,16 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; what the scan finds in a text is masked in it."""
+    return secret_scan.redact(spark, docs)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("simhash_near_dedup", drop_near_duplicates),
     ("benchmark_decontamination", drop_contaminated),
+    ("secret_scans", redact_secrets),
 ]
 
 ORACLE_SQL = None  # no stage can be stated in SQL

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockside.llm import decontaminate, simhash, toxicity
+from dockside.llm import decontaminate, quality_rules, secret_scan, simhash, toxicity
+from dockside.llm.statements import QUALITY, SECRETS
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -21,6 +22,22 @@ def op1_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op4_secret_scans(spark: SparkSession, directory: str) -> DataFrame:
+    found = secret_scan.scan(spark, _table(spark, directory, "documents"))
+    of = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = secret_scan.listed(F.filter("found", lambda s: s["kind"].isin(*secret_scan.BASE)))
+    return found.select(
+        "doc_id", *map(of, secret_scan.BASE), F.sha2(base, 256).alias("base_sha256"), secret_scan.listed(F.col("found")).alias("spans")
+    )
+
+
+def op5_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
+    judged = quality_rules.judge(_table(spark, directory, "documents").select("doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op6_simhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
     found = simhash.near_duplicates(spark, _table(spark, directory, "documents"))
     return found.select(
@@ -33,8 +50,8 @@ def op9_benchmark_decontamination(spark: SparkSession, directory: str) -> DataFr
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op6_simhash_near_dedup, op9_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_toxicity, op4_secret_scans, op5_quality_rules, op6_simhash_near_dedup, op9_benchmark_decontamination)}
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op4_secret_scans": SECRETS, "op5_quality_rules": QUALITY}

@@ -310,9 +310,9 @@ def score(docs: DataFrame, model: Model, keep_below: float | None = None) -> Dat
     """``docs`` with a column ``score``; with ``keep_below`` the rows of a lower score only, without it.
 
     Null and empty texts have the share of toxic texts in the sample as their score, below one half. Every row has its own
-    score; rows, repeated ones too, keep their order of columns and their values.
+    score; repeated rows have the same, and a column of ``docs`` named score gives way to it.
     """
-    assert "score" not in docs.columns or keep_below is not None, "a column named score would be given twice"
+    docs = docs if keep_below is not None else docs.drop("score")
     at = docs.columns.index("text")
     schema = docs.schema if keep_below is not None else docs.withColumn("score", F.lit(0.0)).schema
 
