@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dockside.llm import decontaminate, secret_scan, simhash, toxicity
+from dockside.llm import decontaminate, pieces, secret_scan, simhash, toxicity
 from dockside.llm.storage import Scratch
 
 
@@ -29,11 +29,17 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return secret_scan.redact(spark, docs)
 
 
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_pieces, pieces, lossless): every document as pieces that decode to its text."""
+    return pieces.encode(docs)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("simhash_near_dedup", drop_near_duplicates),
     ("benchmark_decontamination", drop_contaminated),
     ("secret_scans", redact_secrets),
+    ("sentencepiece", encode_pieces),
 ]
 
 ORACLE_SQL = None  # no stage can be stated in SQL

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockside.llm import decontaminate, quality_rules, secret_scan, simhash, toxicity
+from dockside.llm import decontaminate, pieces, quality_rules, secret_scan, simhash, toxicity
 from dockside.llm.statements import QUALITY, SECRETS
 
 
@@ -22,6 +22,10 @@ def op1_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op2_sentencepiece_dropout(spark: SparkSession, directory: str) -> DataFrame:
+    return pieces.encode(_table(spark, directory, "documents"), digest_only=True)
+
+
 def op4_secret_scans(spark: SparkSession, directory: str) -> DataFrame:
     found = secret_scan.scan(spark, _table(spark, directory, "documents"))
     of = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -50,7 +54,7 @@ def op9_benchmark_decontamination(spark: SparkSession, directory: str) -> DataFr
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op4_secret_scans, op5_quality_rules, op6_simhash_near_dedup, op9_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_toxicity, op2_sentencepiece_dropout, op4_secret_scans, op5_quality_rules, op6_simhash_near_dedup, op9_benchmark_decontamination)}
 
 
 def statements() -> dict[str, str]:
