@@ -24,7 +24,7 @@ WORD_BUCKETS, GRAM_BUCKETS, GRAMS = 1 << 14, 1 << 15, (3, 4, 5)
 EMBED, HIDDEN = 8, 8
 SAMPLE = 1500  # labelled texts of each class that training takes at most
 SAMPLE_CHARS = 20_000  # longer texts are scored whole, but not trained on
-ROUNDS, BATCH, RATE = 6, 128, 0.01
+ROUNDS, MOST_ROUNDS, STEPS, BATCH, RATE = 6, 30, 300, 128, 0.01  # a small sample gets more rounds, up to STEPS steps
 _SLICE = 4 << 20  # bytes of text whose words are coded together
 _CHUNK = 2048  # windows that pass through the network together
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -220,7 +220,7 @@ def _odds(buckets: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarra
     return np.where(there[1] >= 3, np.clip(odds, 0, 5), 0).astype(np.float32)
 
 
-def train(texts: list[str], labels: list[int], seed: int = 7, rounds: int = ROUNDS) -> Model:
+def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     """Fit the network to whole texts and their labels (0 or 1). Without both labels, every score is the label's share."""
     labels = np.asarray(labels, np.int64)
     share = float(np.clip(labels.mean(), 0.01, 0.99)) if len(labels) else 0.01
@@ -239,6 +239,9 @@ def train(texts: list[str], labels: list[int], seed: int = 7, rounds: int = ROUN
     strong = np.append(np.maximum(model.word_odds[words.word], np.maximum.reduceat(model.gram_odds[words.gram], words.gram_starts[:-1])), 0)
     guess = np.sort(strong[windows], axis=1)[:, -3:].sum(axis=1)
     rng, moments, step = np.random.default_rng(seed), {}, 0
+    per_round = -(-(len(texts) + int((labels == 0).sum())) // BATCH)
+    rounds = min(max(ROUNDS, -(-STEPS // per_round)), MOST_ROUNDS)
+    raised = np.clip(2 * (labels == 0).sum() / (labels == 1).sum(), 2, 8)
     for turn in range(rounds):
         x, sizes = model.inputs(words)
         if turn:
@@ -254,7 +257,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7, rounds: int = ROUN
             x, sizes = model.inputs(small := _only(words, local[local >= 0]))
             small_windows = (back.reshape(windows[part].shape) - (local[0] < 0)).astype(np.int64)
             wanted = labels[text[part]].astype(np.float32)
-            weight = np.where(wanted == 1, 2.0, 1.0)
+            weight = np.where(wanted == 1, raised, 1.0)
             g = model.gradients(small, x, sizes, small_windows, wanted, weight)
             _adam(model.p, g, moments, step, RATE * (1 - turn / (rounds + 1)))
     return model
