@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockside.llm import decontaminate, pieces, quality_rules, secret_scan, simhash, toxicity
+from dockside.llm import decontaminate, html_text, pieces, quality_rules, secret_scan, simhash, toxicity
 from dockside.llm.statements import QUALITY, SECRETS
 
 
@@ -53,8 +53,16 @@ def op9_benchmark_decontamination(spark: SparkSession, directory: str) -> DataFr
     return decontaminate.contaminated(_table(spark, directory, "documents"), _table(spark, directory, "benchmark"))
 
 
+def op10_html_extraction(spark: SparkSession, directory: str) -> DataFrame:
+    return html_text.extract(_table(spark, directory, "pages"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_sentencepiece_dropout, op4_secret_scans, op5_quality_rules, op6_simhash_near_dedup, op9_benchmark_decontamination)}
+    found = (
+        op1_toxicity, op2_sentencepiece_dropout, op4_secret_scans, op5_quality_rules, op6_simhash_near_dedup, op9_benchmark_decontamination,
+        op10_html_extraction,
+    )
+    return {f.__name__: f for f in found}
 
 
 def statements() -> dict[str, str]:
