@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockside.llm import decontaminate, html_text, pieces, quality_rules, secret_scan, simhash, toxicity
+from dockside.llm import decontaminate, html_text, line_dedup, pieces, quality_rules, secret_scan, simhash, toxicity
 from dockside.llm.statements import QUALITY, SECRETS
 
 
@@ -49,6 +49,17 @@ def op6_simhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    found = line_dedup.dedup(spark, _table(spark, directory, "documents"))
+    return found.select(
+        "doc_id",
+        "text",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.aggregate("removed", F.lit(0), lambda n, s: n + s["stop"] - s["start"]).cast("long").alias("removed_chars"),
+        F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["stop"])), ",").alias("removed_spans"),
+    )
+
+
 def op9_benchmark_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, directory, "documents"), _table(spark, directory, "benchmark"))
 
@@ -59,8 +70,8 @@ def op10_html_extraction(spark: SparkSession, directory: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_toxicity, op2_sentencepiece_dropout, op4_secret_scans, op5_quality_rules, op6_simhash_near_dedup, op9_benchmark_decontamination,
-        op10_html_extraction,
+        op1_toxicity, op2_sentencepiece_dropout, op4_secret_scans, op5_quality_rules, op6_simhash_near_dedup, op8_substring_dedup,
+        op9_benchmark_decontamination, op10_html_extraction,
     )
     return {f.__name__: f for f in found}
 
