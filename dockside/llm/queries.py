@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockside.llm import decontaminate, html_text, line_dedup, pieces, quality_rules, secret_scan, simhash, toxicity
+from dockside.llm import decontaminate, html_text, line_dedup, pieces, quality_rules, secret_scan, simhash, token_counts, toxicity
 from dockside.llm.statements import QUALITY, SECRETS
+from dockside.llm.storage import Scratch
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -26,6 +27,16 @@ def op2_sentencepiece_dropout(spark: SparkSession, directory: str) -> DataFrame:
     return pieces.encode(_table(spark, directory, "documents"), digest_only=True)
 
 
+def op3_token_counts(spark: SparkSession, directory: str) -> DataFrame:
+    """Three batches: every document, then without its repeated lines, then without copies; the first is sent twice."""
+    docs, rollups = _table(spark, directory, "documents"), token_counts.Rollups(spark, Scratch(spark, "tokens").path("rollups"))
+    rollups.apply("1-load", token_counts.counted(docs))
+    rollups.apply("2-revise", token_counts.counted(token_counts.revised(docs)))
+    rollups.apply("1-load", token_counts.counted(docs))
+    rollups.apply("3-copies", deleted=token_counts.copies(docs))
+    return rollups.totals()
+
+
 def op4_secret_scans(spark: SparkSession, directory: str) -> DataFrame:
     found = secret_scan.scan(spark, _table(spark, directory, "documents"))
     of = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -70,7 +81,7 @@ def op10_html_extraction(spark: SparkSession, directory: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_toxicity, op2_sentencepiece_dropout, op4_secret_scans, op5_quality_rules, op6_simhash_near_dedup, op8_substring_dedup,
+        op1_toxicity, op2_sentencepiece_dropout, op3_token_counts, op4_secret_scans, op5_quality_rules, op6_simhash_near_dedup, op8_substring_dedup,
         op9_benchmark_decontamination, op10_html_extraction,
     )
     return {f.__name__: f for f in found}
