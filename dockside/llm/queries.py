@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockside.llm import decontaminate, html_text, line_dedup, pieces, quality_rules, secret_scan, simhash, token_counts, toxicity
+from dockside.llm import decontaminate, html_text, licenses, line_dedup, pieces, quality_rules, secret_scan, simhash, token_counts, toxicity
 from dockside.llm.statements import QUALITY, SECRETS
 from dockside.llm.storage import Scratch
 
@@ -60,6 +60,10 @@ def op6_simhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op7_license_scans(spark: SparkSession, directory: str) -> DataFrame:
+    return licenses.scan(_table(spark, directory, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
     found = line_dedup.dedup(spark, _table(spark, directory, "documents"))
     return found.select(
@@ -81,8 +85,8 @@ def op10_html_extraction(spark: SparkSession, directory: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_toxicity, op2_sentencepiece_dropout, op3_token_counts, op4_secret_scans, op5_quality_rules, op6_simhash_near_dedup, op8_substring_dedup,
-        op9_benchmark_decontamination, op10_html_extraction,
+        op1_toxicity, op2_sentencepiece_dropout, op3_token_counts, op4_secret_scans, op5_quality_rules, op6_simhash_near_dedup, op7_license_scans,
+        op8_substring_dedup, op9_benchmark_decontamination, op10_html_extraction,
     )
     return {f.__name__: f for f in found}
 
