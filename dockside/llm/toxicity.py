@@ -125,13 +125,14 @@ class Model:
     def inputs(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """One row per distinct word, and a last row of zeros for places beyond a text's end."""
         sizes = np.diff(words.gram_starts)
-        starts = np.minimum(words.gram_starts[:-1], max(len(words.gram) - 1, 0))
         out = np.zeros((len(words.word) + 1, 2 * EMBED + 2), np.float32)
-        if len(words.word):
-            out[:-1, :EMBED] = self.p["word"][words.word]
-            out[:-1, EMBED : 2 * EMBED] = np.add.reduceat(self.p["gram"][words.gram], starts, axis=0) / np.maximum(sizes, 1)[:, None] ** 0.5
-            out[:-1, -2] = self.word_odds[words.word]
-            out[:-1, -1] = np.maximum.reduceat(self.gram_odds[words.gram], starts)
+        some = np.nonzero(sizes)[0]  # the rest have no letter
+        out[:-1, :EMBED] = self.p["word"][words.word]
+        out[:-1, -2] = self.word_odds[words.word]
+        if len(some):
+            starts = words.gram_starts[some]
+            out[some, EMBED : 2 * EMBED] = np.add.reduceat(self.p["gram"][words.gram], starts, axis=0) / sizes[some][:, None] ** 0.5
+            out[some, -1] = np.maximum.reduceat(self.gram_odds[words.gram], starts)
         return out, sizes
 
     def run(self, x: np.ndarray, windows: np.ndarray, keep: bool = False):
@@ -236,7 +237,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     model.gram_odds = _odds([grams(i) for i in in_text], labels, GRAM_BUCKETS)
     windows, text = windows_of(words)
     # before the first round: the window whose words' label counts say most
-    strong = np.append(np.maximum(model.word_odds[words.word], np.maximum.reduceat(model.gram_odds[words.gram], words.gram_starts[:-1])), 0)
+    strong = model.inputs(words)[0][:, -2:].max(axis=1)
     guess = np.sort(strong[windows], axis=1)[:, -3:].sum(axis=1)
     rng, moments, step = np.random.default_rng(seed), {}, 0
     per_round = -(-(len(texts) + int((labels == 0).sum())) // BATCH)
