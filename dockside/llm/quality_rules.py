@@ -33,7 +33,7 @@ THRESHOLDS = [
 
 
 def _with(value: Column, use) -> Column:
-    """``use(value)``, with the value computed once."""
+    """``use(value)``, with the value computed once, also where a filter further on has the optimiser put expressions together."""
     return F.transform(F.array(value), use)[0]
 
 
@@ -77,7 +77,7 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.size(F.filter("_words", lambda w: lowered(w).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
         F.size(lines).cast("long").alias("n_lines"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        _repeated(F.col("_words")).cast("long").alias("n_repeat_words"),
+        _with(F.col("_words"), _repeated).cast("long").alias("n_repeat_words"),
     )
 
 
