@@ -3,7 +3,7 @@
 A page becomes lines: the texts between block tags, each with the tags met in it. Lines inside menus, headers, footers,
 sidebars, notices, adverts, forms and comments (known by element, role or class) have ratio 0. The text-to-tag ratios of the
 page's lines are smoothed by a Gaussian, lines at or above one standard deviation form the content clusters, and the clusters
-choose the content region: the article (or main element) that holds them, else the innermost element that holds nearly all
+choose the content region: the article (or main element) that holds them, else the innermost container that holds nearly all
 their text. The region's lines are the text, short ones too; what lies in a menu, form and so on inside it stays out.
 """
 
@@ -29,6 +29,7 @@ BLOCK = set(
     figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu nav noframes
     object ol optgroup option p pre section select summary table tbody td textarea tfoot th thead title tr ul video""".split()
 )
+CONTAINER = {"", *"html body main article section div center table tbody tr td".split()}
 #: Elements whose text is never part of an article.
 OUT = set(
     """head title script style noscript template iframe object svg canvas audio video nav menu footer aside form fieldset legend
@@ -69,7 +70,7 @@ class Page(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.parent, self.out, self.home = [-1], [False], [-1]  # home: the outermost article or main around an element
+        self.tag, self.parent, self.out, self.home = [""], [-1], [False], [-1]  # home: the outermost article or main around an element
         self.stack: list[tuple[str, int]] = [("", 0)]
         self.lines: list[tuple[int, str, int]] = []  # element, text, tags
         self.parts, self.tags, self.at = [], 0, None
@@ -107,6 +108,7 @@ class Page(HTMLParser):
             self._close("header")
         own, above = dict(attrs), self.stack[-1][1]
         number = len(self.parent)
+        self.tag.append(tag)
         self.parent.append(above)
         self.out.append(self.out[above] or self._excluded(tag, own))
         home = self.home[above]
@@ -183,13 +185,12 @@ def main_text(html: str | None) -> str:
 
 
 def _region(page: Page, weight: np.ndarray) -> int:
-    """The innermost element that holds ``HOLDS`` of the weight."""
+    """The innermost container that holds ``HOLDS`` of the weight; those that do lie in one another."""
     total = np.zeros(len(page.parent))
     np.add.at(total, [e for e, _, _ in page.lines], weight)
     for e in range(len(total) - 1, 0, -1):  # children come after their parents
         total[page.parent[e]] += total[e]
-    held = np.nonzero(total >= HOLDS * total[0])[0]
-    return int(held[-1])  # those that hold so much lie in one another
+    return max(e for e in np.nonzero(total >= HOLDS * total[0])[0].tolist() if page.tag[e] in CONTAINER)
 
 
 def _below(page: Page, region: int) -> np.ndarray:

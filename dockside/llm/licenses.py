@@ -118,7 +118,7 @@ class Index:
             words, matches = self._word[starts[d] : starts[d + 1]].tolist(), []
             last: dict[int, int] = {}
             for t, diagonal in sorted(set(hits)):
-                band = max(4, len(self.words[t]) // 10)
+                band = max(2, len(self.words[t]) // 10)
                 if t in last and diagonal <= last[t] + band:
                     continue  # within the band of the one before
                 last[t] = diagonal

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockside.llm.storage import Scratch, text_slices
 
-UNIT_WORDS = 6
-LEAST_WORDS = 25  # 1: every repeated line goes, whatever its length
+UNIT_WORDS = 4
+LEAST_WORDS = 20  # 1: every repeated line goes, whatever its length
 _CUT = re.compile(r"\n|(?<=[.!?])[^\S\n]+|[^\S\n]+(?=[A-ZÀ-ÖØ-Þ])")
 
 

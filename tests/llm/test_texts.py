@@ -116,7 +116,7 @@ def plain_removals(rows, least):
 
 @pytest.mark.parametrize("least", [1, line_dedup.LEAST_WORDS])
 def test_repeated_units_leave_all_but_the_first(spark, small, least):
-    passage = "Every unit of this passage stands in two documents. It has several sentences of some length. They are cut one by one, and they all go together in the end."
+    passage = "Every unit of this passage stands in two documents. It has several sentences of some length. They are cut one by one, and they all go together in the end. A last one makes it long."
     docs = awkward(spark).unionByName(awkward(spark, [(40, f"before it {passage} After it."), (41, f"Other words\nthat end here {passage} And others follow that nobody has.")]))
     docs = docs.select("doc_id", "text", "own").unionByName(spark.read.parquet(f"{small}/documents.parquet").selectExpr("doc_id + 100 as doc_id", "text", "0L own"))
     got = line_dedup.dedup(spark, docs, least).collect()
