@@ -95,7 +95,8 @@ def dedup(spark: SparkSession, docs: DataFrame, least: int = LEAST_WORDS) -> Dat
     first = table.groupBy("a", "b").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n_all"), F.count("doc_id").alias("n_named")
     )
-    first = first.where("last > first or n_named between 1 and n_all - 1").select("a", "b", "first")
+    # a table of its own: joined straight after the aggregate, a common line's units could not be split among tasks
+    first = scratch.keep(first.where("last > first or n_named between 1 and n_all - 1").select("a", "b", "first"), "first")
     unit = F.struct("n", "start", "stop", "words").alias("unit")
     later = table.join(first, ["a", "b"]).where("doc_id > first or doc_id is null").select("own", unit)
     repeated = later.unionByName(table.where("again").select("own", unit)).groupBy("own").agg(F.collect_set("unit").alias("repeated"))
