@@ -34,15 +34,24 @@ def append(current: DataFrame, built: DataFrame) -> DataFrame:
     return _tag(current, "kept").unionByName(_tag(built, "inserted"))
 
 
-def beyond_latest(staged: DataFrame, day, current: DataFrame, loaded_day: str) -> DataFrame:
-    """Staged rows dated after the latest day already loaded; all of them if nothing is."""
+def open_or_unseen(staged: DataFrame, day, key: str, current: DataFrame, loaded_day: str) -> DataFrame:
+    """Staged rows of the latest day already loaded or a later one, and older ones whose ``key`` is not loaded."""
     latest = current.agg(F.coalesce(F.max(loaded_day), F.lit("0001-01-01").cast("date"))).scalar()
-    return staged.where(day > latest)
+    loaded = current.select(F.col(key).alias("_loaded")).distinct()
+    marked = staged.join(loaded, staged[key] == F.col("_loaded"), "left")
+    return marked.where((day >= latest) | F.col("_loaded").isNull()).select(*staged.columns)
 
 
-def replace_period(current: DataFrame, built: DataFrame, key: str, first_key) -> DataFrame:
-    """Drop everything from ``first_key`` on and put the rebuilt period in its place."""
-    return _tag(current.where(F.col(key) < first_key), "kept").unionByName(_tag(built, "inserted"))
+def replace_keys(current: DataFrame, built: DataFrame, keys, gone: DataFrame) -> DataFrame:
+    """Rows of ``current`` whose ``keys`` stand in ``gone`` give way to the built rows; the others are kept."""
+    kept = current.join(gone.select(*keys).distinct(), list(keys), "left_anti").select(*current.columns)
+    return _tag(kept, "kept").unionByName(_tag(built, "inserted"))
+
+
+def replace_period(current: DataFrame, built: DataFrame, key: str, period: DataFrame) -> DataFrame:
+    """Put the rebuilt period in the place of the rows whose ``key`` is among the period's day keys. Without a day of the
+    calendar in the period nothing is dropped; the keys need not be in the order of the days."""
+    return replace_keys(current, built, [key], period)
 
 
 def merge(current: DataFrame, built: DataFrame, keys, updates) -> DataFrame:

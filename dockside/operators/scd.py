@@ -124,7 +124,7 @@ def _paired(live: DataFrame, members: DataFrame, dim: Dimension) -> DataFrame:
     new = members.selectExpr("*", "true as _staged", f"{digest} as _digest", f"{bucket} as _bucket")
     side = f"struct(_staged, {', '.join(dim.columns[1:])})"
     order = f"over (partition by _bucket order by {_order(dim)})"
-    same = " and ".join(["_other._staged <> _staged", *[f"_other.{c} = {c}" for c in dim.business_key]])
+    same = " and ".join(["_other._staged <> _staged", *[f"_other.{c} <=> {c}" for c in dim.business_key]])
     return old.unionByName(new, allowMissingColumns=True).selectExpr(
         "*", f"if(_staged, lag({side}) {order}, lead({side}) {order}) as _other"
     ).selectExpr("*", f"coalesce({same}, false) as _both")

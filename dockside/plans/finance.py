@@ -79,8 +79,8 @@ def _tax_versions(s, d) -> DataFrame:
     return s["Tax"].select("TaxID", *key).join(d["DimTax"].select(*key, "DimTaxID", "StartDate"), key)
 
 
-def invoice_lines(s, d, missing_discount=None) -> DataFrame:
-    """Transaction fact, one row per invoice line; ``missing_discount`` replaces a NULL discount."""
+def invoice_lines(s, d) -> DataFrame:
+    """Transaction fact, one row per invoice line; a NULL discount is 0."""
     header = key_lookup(_invoices(s), d["DimInvoice"], "InvoiceNumber", "DimInvoiceID")
     header = version_lookup(header, d["DimCustomer"], "CustomerCode", "InvoiceDate", "DimCustomerID")
     header = header.join(date_keys(d["DimDate"], "DimDateID", InvoiceDate="DimDateID")["InvoiceDate"], "InvoiceDate")
@@ -89,9 +89,7 @@ def invoice_lines(s, d, missing_discount=None) -> DataFrame:
     lines = key_lookup(lines, services, "ServiceTypeID", "DimServiceTypeID")
     lines = version_lookup(lines, _tax_versions(s, d), "TaxID", "InvoiceDate", "DimTaxID", how="left")
     quantity, net = F.col("Quantity"), F.col("NetAmount").cast(MONEY)
-    discount = F.col("DiscountPercent").cast("decimal(6,4)")
-    if missing_discount is not None:
-        discount = F.coalesce(discount, F.lit(missing_discount).cast("decimal(6,4)"))
+    discount = F.coalesce(F.col("DiscountPercent"), F.lit(0)).cast("decimal(6,4)")
     return lines.select(
         "DimInvoiceID", "DimCustomerID", "DimServiceTypeID", "DimTaxID", "DimDateID",
         quantity.alias("Quantity"),
@@ -225,29 +223,31 @@ FACTS = {
 # Columns that recognise a row when the source id is left out of account.
 REFERENCE_KEYS = {
     "FactInvoiceLineTransaction": ("DimInvoiceID", "DimCustomerID", "DimServiceTypeID", "Quantity", "UnitPrice", "NetAmount"),
-    "FactCustomerPaymentTransaction": ("DimInvoiceID", "DimCustomerID", "PaymentAmount", "DimDateID"),
-    "FactCustomerBillingMonthlySnapshot": ("DimCustomerID", "DimDateID"),
 }
 
 
 def update_invoice_lines(current, s, d, reference_keys: bool = False) -> DataFrame:
     if reference_keys:
-        built = invoice_lines(s, d, missing_discount=0)
+        built = invoice_lines(s, d)
         return increment.append_unseen(current, built, REFERENCE_KEYS["FactInvoiceLineTransaction"])
     fresh = increment.unloaded(s["InvoiceLine"], current, "InvoiceLineID", "SourceInvoiceLineID")
-    return increment.append(current, invoice_lines(Overlay(s, InvoiceLine=fresh), d, missing_discount=0))
+    return increment.append(current, invoice_lines(Overlay(s, InvoiceLine=fresh), d))
 
 
-def update_payments(current, s, d, reference_keys: bool = False) -> DataFrame:
-    if reference_keys:
-        return increment.append_unseen(current, payments(s, d), REFERENCE_KEYS["FactCustomerPaymentTransaction"])
+def update_payments(current, s, d) -> DataFrame:
     fresh = increment.unloaded(s["Payment"], current, "PaymentID", "SourcePaymentID")
     return increment.append(current, payments(Overlay(s, Payment=fresh), d))
 
 
-def update_billing_snapshot(current, s, d, reference_keys: bool = False) -> DataFrame:
-    keys = REFERENCE_KEYS["FactCustomerBillingMonthlySnapshot"] if reference_keys else ("DimCustomerID", "DimDateID", "DimBillingCycleID")
-    return increment.append_unseen(current, billing_snapshot(s, d), keys)
+def update_billing_snapshot(current, s, d) -> DataFrame:
+    """The latest loaded month, which was still open, is counted anew; later months come in, and older rows not loaded yet."""
+    keys, days = ["DimCustomerID", "DimDateID", "DimBillingCycleID"], d["DimDate"].select("DimDateID", F.col("FullDate").alias("_month"))
+    latest = current.join(days, "DimDateID").agg(F.coalesce(F.max("_month"), F.lit("0001-01-01").cast("date"))).scalar()
+    period = days.where(F.col("_month") >= latest).select("DimDateID")
+    built = billing_snapshot(s, d)
+    late = increment.unseen(current, built.join(period, "DimDateID", "left_anti").select(*built.columns), keys)
+    again = built.join(period, "DimDateID", "left_semi").select(*built.columns)
+    return increment.replace_period(current, again.unionByName(late), "DimDateID", period)
 
 
 def update_invoice_lifecycle(current, s, d) -> DataFrame:

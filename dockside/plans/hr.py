@@ -83,7 +83,7 @@ def terminations(s, d) -> DataFrame:
         rows = key_lookup(rows, d[name], column, key, "left", unknown=True)
     zero = F.lit(0)
     return rows.select(
-        "TerminationDateKey", "EmployeeKey", "DepartmentKey", "JobTitleKey", "TerminationReasonKey",
+        F.col("TerminationID").alias("SourceTerminationID"), "TerminationDateKey", "EmployeeKey", "DepartmentKey", "JobTitleKey", "TerminationReasonKey",
         F.coalesce(F.date_diff("TerminationDate", "_hired"), zero).alias("TenureInDays"),
         F.coalesce(month_boundaries("_hired", "TerminationDate"), zero).alias("TenureInMonths"),
         F.coalesce(F.col("Salary"), zero).cast(PAY).alias("SalaryAtTermination"),
@@ -100,7 +100,7 @@ def salary_payments(s, d) -> DataFrame:
     bonus = F.coalesce(F.col("Bonus"), F.lit(0))
     gross = F.col("Amount") + bonus
     return rows.select(
-        "PaymentDateKey", "EmployeeKey", "DepartmentKey", "JobTitleKey",
+        F.col("SalaryPaymentID").alias("SourceSalaryPaymentID"), "PaymentDateKey", "EmployeeKey", "DepartmentKey", "JobTitleKey",
         gross.cast(PAY).alias("GrossPayAmount"),
         F.col("Amount").cast(PAY).alias("BaseAmount"),
         bonus.cast(PAY).alias("BonusAmount"),
@@ -111,18 +111,11 @@ def salary_payments(s, d) -> DataFrame:
 
 
 def attendance(s, d) -> DataFrame:
-    """Factless fact with a status; days outside every employee version are left out."""
-    rows = interval_lookup(s["Attendance"], d["DimEmployee"], "EmployeeID", "AttendanceDate", "EmployeeKey")
-    return _on_day(rows, d, "AttendanceDate", "AttendanceDateKey").select(
-        "AttendanceDateKey", "EmployeeKey", F.col("Status").alias("AttendanceStatus")
-    )
-
-
-def attendance_as_of(s, d) -> DataFrame:
-    """As ``attendance``, but with the last version started by that day, and -1 where there is none."""
+    """Factless fact with a status, for the last employee version started by that day; -1 where there is none."""
     rows = as_of(s["Attendance"], d["DimEmployee"], "EmployeeID", "AttendanceDate", "StartDate", "EmployeeKey", ["EmployeeKey"])
     return _on_day(rows, d, "AttendanceDate", "AttendanceDateKey").select(
-        "AttendanceDateKey", F.coalesce("EmployeeKey", F.lit(-1)).alias("EmployeeKey"), F.col("Status").alias("AttendanceStatus")
+        F.col("AttendanceID").alias("SourceAttendanceID"), "AttendanceDateKey",
+        F.coalesce("EmployeeKey", F.lit(-1)).alias("EmployeeKey"), F.col("Status").alias("AttendanceStatus"),
     )
 
 
@@ -156,9 +149,11 @@ def _performance_columns(rows, d, s):
 
 
 def monthly_performance(s, d) -> DataFrame:
-    """Periodic snapshot per employee and month end; aggregated before any dimension is looked up."""
-    rows = interval_lookup(_monthly_hours(s["Attendance"]), d["DimEmployee"], "EmployeeID", "MonthEndDate", "EmployeeKey")
-    return _performance_columns(rows, d, s)
+    """Periodic snapshot per employee and month end; aggregated before any dimension is looked up. The employee version is
+    the last one started by the month's end, -1 where there is none."""
+    hours = _monthly_hours(s["Attendance"])
+    rows = as_of(hours, d["DimEmployee"], "EmployeeID", "MonthEndDate", "StartDate", "EmployeeKey", ["EmployeeKey"])
+    return _performance_columns(rows.withColumn("EmployeeKey", F.coalesce("EmployeeKey", F.lit(-1))), d, s)
 
 
 def _latest_terminations(s) -> DataFrame:
@@ -237,7 +232,7 @@ def yearly_headcount(s, d, last_year: int) -> DataFrame:
         F.count_distinct(F.when(~F.col("_free"), F.col("EmployeeID"))).alias("InvoluntaryTerminationsCount"),
     )
     # every department appears in every year: repeat the few years per department as an array
-    wanted = departments.withColumn("_years", F.lit(1)).select("DepartmentKey").withColumn(
+    wanted = departments.select("DepartmentKey").withColumn(
         "Year", F.explode(years.agg(F.collect_set("Year")).scalar())
     )
     rows = wanted.join(years, "Year")
@@ -262,29 +257,32 @@ FACTS = {
 }
 
 
+def _fresh(current, s, table, day, source_id, run_date) -> DataFrame:
+    """Staged rows up to the run date that no fact row carries: late rows come in, and a repeated run adds nothing."""
+    return increment.unloaded(s[table].where(F.col(day) <= F.lit(run_date).cast("date")), current, source_id, f"Source{source_id}")
+
+
 def update_terminations(current, s, d, last_load, run_date) -> DataFrame:
-    fresh = increment.in_window(s["Termination"], "TerminationDate", last_load, run_date)
+    fresh = _fresh(current, s, "Termination", "TerminationDate", "TerminationID", run_date)
     return increment.append(current, terminations(Overlay(s, Termination=fresh), d))
 
 
 def update_salary_payments(current, s, d, last_load, run_date) -> DataFrame:
-    fresh = increment.in_window(s["SalaryPayment"], "PaymentDate", last_load, run_date)
+    fresh = _fresh(current, s, "SalaryPayment", "PaymentDate", "SalaryPaymentID", run_date)
     return increment.append(current, salary_payments(Overlay(s, SalaryPayment=fresh), d))
 
 
 def update_attendance(current, s, d, last_load, run_date) -> DataFrame:
-    fresh = increment.in_window(s["Attendance"], "AttendanceDate", last_load, run_date)
-    return increment.append(current, attendance_as_of(Overlay(s, Attendance=fresh), d))
+    fresh = _fresh(current, s, "Attendance", "AttendanceDate", "AttendanceID", run_date)
+    return increment.append(current, attendance(Overlay(s, Attendance=fresh), d))
 
 
 def update_monthly_performance(current, s, d, last_load, run_date) -> DataFrame:
     """Rebuild the month of the run date; the date filter reaches the attendance scan."""
     first = F.trunc(F.lit(run_date).cast("date"), "MM")
-    hours = _monthly_hours(s["Attendance"].where(F.col("AttendanceDate") >= first))
-    rows = as_of(hours, d["DimEmployee"], "EmployeeID", "MonthEndDate", "StartDate", "EmployeeKey", ["EmployeeKey"])
-    rows = rows.withColumn("EmployeeKey", F.coalesce("EmployeeKey", F.lit(-1)))
-    first_key = d["DimDateHR"].where(F.col("FullDate") >= first).agg(F.min("DateKey")).scalar()
-    return increment.replace_period(current, _performance_columns(rows, d, s), "MonthDateKey", first_key)
+    built = monthly_performance(Overlay(s, Attendance=s["Attendance"].where(F.col("AttendanceDate") >= first)), d)
+    period = d["DimDateHR"].where(F.col("FullDate") >= first).select(F.col("DateKey").alias("MonthDateKey"))
+    return increment.replace_period(current, built, "MonthDateKey", period)
 
 
 def update_employee_lifecycle(current, s, d, last_load, run_date) -> DataFrame:
@@ -293,10 +291,10 @@ def update_employee_lifecycle(current, s, d, last_load, run_date) -> DataFrame:
     days = date_keys(d["DimDateHR"], "DateKey", HireDate="HireDateKey")["HireDate"]
     unseen = (
         d["DimEmployee"].where("IsCurrent").select("EmployeeID", "EmployeeKey")
-        .join(current.select("EmployeeKey"), "EmployeeKey", "left_anti").join(hired, "EmployeeID").join(days, "HireDate")
+        .join(current.select("EmployeeKey"), "EmployeeKey", "left_anti").join(hired, "EmployeeID").join(days, "HireDate", "left")
     )
     zero, unknown = F.lit(0).cast("bigint"), F.lit(-1).cast("bigint")
-    added = unseen.select("EmployeeKey", "HireDateKey", zero.alias("TotalPromotionsCount"), zero.alias("TotalTrainingsCompleted"), F.lit(True).alias("_added"))
+    added = unseen.select("EmployeeKey", F.coalesce("HireDateKey", unknown).alias("HireDateKey"), zero.alias("TotalPromotionsCount"), zero.alias("TotalTrainingsCompleted"), F.lit(True).alias("_added"))
     rows = current.withColumn("_added", F.lit(False)).unionByName(added, allowMissingColumns=True)
 
     gone = _latest_terminations(s)

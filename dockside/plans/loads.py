@@ -1,6 +1,6 @@
 """The ordered loads: staging, dimensions and facts of each mart, for the first time and incrementally.
 
-Every step reads what earlier steps published. A failing step stops its load; what was published stays.
+Every step reads what earlier steps published. A failing step stops its load, and nothing of that load is published.
 """
 
 from dataclasses import dataclass
@@ -15,11 +15,21 @@ from dockside.plans.staging import STAGES, stage
 MARTS = {"finance": finance, "hr": hr, "port": port}
 HR_CONTROL = "FactTables"
 APPENDED = {
-    "FactInvoiceLineTransaction", "FactCustomerPaymentTransaction", "FactCustomerBillingMonthlySnapshot", "FactCustomerContractActivationFactless",
-    "FactTermination", "FactSalaryPayment", "FactEmployeeAttendance", "FactCargoOperationTransactional", "FactEquipmentAssignment", "FactPortCallPeriodicSnapshot",
+    "FactInvoiceLineTransaction", "FactCustomerPaymentTransaction", "FactCustomerContractActivationFactless",
+    "FactTermination", "FactSalaryPayment", "FactEmployeeAttendance", "FactCargoOperationTransactional", "FactEquipmentAssignment",
 }
 PARTITIONED = {"FactMonthlyEmployeePerformance": "MonthDateKey"}
 
+# The days that facts look up: a calendar covers all of them, however early or late.
+DAYS = {
+    "finance": [("Invoice", "InvoiceDate"), ("Invoice", "DueDate"), ("Payment", "PaymentDate"), ("Contract", "StartDate")],
+    "hr": [
+        ("Attendance", "AttendanceDate"), ("SalaryPayment", "PaymentDate"), ("Termination", "TerminationDate"), ("Employee", "HireDate"),
+        ("EmployeeTraining", "TrainingDate"),
+    ],
+    "port": [("CargoOperation", "OperationDateTime"), ("PortCall", "ArrivalDateTime"), ("OperationEquipmentAssignment", "StartTime")],
+}
+
 # Columns that must be filled before a fact's first load: (staged table, columns, primary key to check for repeats)
 FACT_CHECKS = {
     "FactInvoiceLineTransaction": ("InvoiceLine", ["InvoiceID", "ServiceTypeID", "Quantity", "UnitPrice", "TaxAmount", "NetAmount"], None),
@@ -30,21 +40,22 @@ FACT_CHECKS = {
         "CargoOperation", ["CargoOpID", "PortCallID", "ContainerID", "OperationType", "OperationDateTime"], "CargoOpID",
     ),
     "FactEquipmentAssignment": (
-        "OperationEquipmentAssignment", ["AssignmentID", "CargoOpID", "EquipmentID", "EmployeeID", "StartTime"], "AssignmentID",
+        "OperationEquipmentAssignment", ["AssignmentID", "CargoOpID", "EquipmentID", "StartTime"], "AssignmentID",
     ),
 }
 
 
 @dataclass
 class Run:
-    """One execution: where to publish, the operational tables by name, the run date, the calendar's span."""
+    """One execution: where to publish, the operational tables by name, the run date, the calendar's span (by default that of
+    the staged days and the run date)."""
 
     spark: SparkSession
     warehouse: object
     sources: object
     run_date: str
     run_time: object = None
-    calendar: tuple = ("1990-01-01", "2030-12-31")
+    calendar: tuple | None = None
 
 
 class _Staged:
@@ -80,21 +91,30 @@ def _stage_one(run, process, table, spec):
     run.warehouse.replace(process, table, rows, report)
 
 
-def _span(run: Run):
-    return cal.fixed_span(run.spark, *run.calendar)
+def _span(run: Run, area: str):
+    if run.calendar:
+        return cal.fixed_span(run.spark, *run.calendar)
+    staged, today = _Staged(run, area), cal.fixed_span(run.spark, run.run_date, run.run_date)
+    return cal.date_span([*((staged[table], column) for table, column in DAYS[area]), (today, "StartDate")])
+
 
+def _calendar(run: Run, area: str):
+    """The area's calendar over every staged day; days that a calendar in use lacks are added to it."""
 
-def _first_calendar(run: Run, table: str):
     def load(process, name):
-        key, unknown = ("DateKey", True) if table == "DimDateHR" else ("DimDateID", False)
+        key, unknown = ("DateKey", True) if area == "hr" else ("DimDateID", False)
         if not run.warehouse.has(name):
-            run.warehouse.replace(process, name, cal.calendar(_span(run), key, unknown=unknown))
-        elif unknown:
-            current = run.warehouse.table(name)
-            added = cal.missing_days(_span(run), current, key).withColumn(scd.CHANGE, F.lit("inserted"))
+            run.warehouse.replace(process, name, cal.calendar(_span(run, area), key, unknown=unknown))
+        else:
+            added = cal.missing_days(_span(run, area), run.warehouse.table(name), key).withColumn(scd.CHANGE, F.lit("inserted"))
             run.warehouse.append(process, name, added)
 
-    return load
+    return ("DimDateHR" if area == "hr" else "DimDate"), load
+
+
+def _key_report(source, dim):
+    """Repeated and missing business keys, which would give a member two rows; insert-only members are distinct by themselves."""
+    return None if dim.kind == "insert_only" else validation_report(source, dim.business_key, dim.required or dim.business_key)
 
 
 def _dimensions_first(area):
@@ -105,16 +125,16 @@ def _dimensions_first(area):
         if area == "port":
             for fact in module.FACTS:
                 w.clear("port_dimensions_first", fact)
-        yield ("DimDateHR" if area == "hr" else "DimDate"), _first_calendar(run, "DimDateHR" if area == "hr" else "DimDate")
+        yield _calendar(run, area)
         for name, dim in module.DIMENSIONS.items():
             yield name, lambda p, t, name=name, dim=dim: load(run, s, p, name, dim)
 
     def load(run, s, process, name, dim):
         source = module.dimension_source(name, s)
+        report = _key_report(source, dim)
         if area == "hr" and run.warehouse.has(name):  # safe to repeat: adds what is missing
             rows = scd.update(run.warehouse.table(name), source, dim, run.run_date, compare=False)
-            return run.warehouse.replace(process, name, rows)
-        report = validation_report(source, dim.business_key, dim.required) if dim.required else None
+            return run.warehouse.replace(process, name, rows, report)
         run.warehouse.replace(process, name, scd.first_load(source, dim, run.run_date), report)
 
     return steps
@@ -125,19 +145,13 @@ def _dimensions_update(area):
 
     def steps(run: Run):
         s, w = _Staged(run, area), run.warehouse
-        if area == "finance":
-            yield "DimDate", extend(run)
+        yield _calendar(run, area)
         for name, dim in module.DIMENSIONS.items():
-            yield name, lambda p, t, name=name, dim=dim: w.replace(
-                p, t, scd.update(w.table(name), module.dimension_source(name, s), dim, run.run_date)
-            )
-
-    def extend(run):
-        def load(process, table):
-            added = cal.extend_calendar(run.warehouse.table(table), run.run_date)
-            run.warehouse.append(process, table, added.withColumn(scd.CHANGE, F.lit("inserted")))
+            yield name, lambda p, t, name=name, dim=dim: load(run, s, w, p, name, dim)
 
-        return load
+    def load(run, s, w, process, name, dim):
+        source = module.dimension_source(name, s)
+        w.replace(process, name, scd.update(w.table(name), source, dim, run.run_date), _key_report(source, dim))
 
     return steps
 
@@ -161,6 +175,8 @@ def _facts_first(area):
             yield name, lambda p, t, name=name, build=build: w.replace(
                 p, t, build(s, d), _fact_report(name, s), PARTITIONED.get(name)
             )
+        if area == "hr":
+            yield HR_CONTROL, lambda p, t: w.advance(HR_CONTROL, run.run_date)
 
     return steps
 
@@ -172,17 +188,19 @@ def _facts_update(area):
         s, d, w = _Staged(run, area), _Published(run.warehouse), run.warehouse
         window = dict(last_load=w.last_load(HR_CONTROL), run_date=run.run_date) if area == "hr" else {}
         for name, build in module.UPDATES.items():
-            yield name, lambda p, t, name=name, build=build: publish(w, p, t, build(w.table(name), s, d, **window))
+            yield name, lambda p, t, name=name, build=build: publish(
+                w, p, t, build(w.table(name), s, d, **window), _fact_report(name, s)
+            )
         if area == "hr":
             yield HR_CONTROL, lambda p, t: w.advance(HR_CONTROL, run.run_date)
 
-    def publish(w, process, table, rows):
+    def publish(w, process, table, rows, report):
         if table in APPENDED:
-            w.append(process, table, rows)
+            w.append(process, table, rows, report)
         elif table in PARTITIONED:
-            w.replace_partitions(process, table, rows, partition_by=PARTITIONED[table])
+            w.replace_partitions(process, table, rows, report, partition_by=PARTITIONED[table])
         else:
-            w.replace(process, table, rows)
+            w.replace(process, table, rows, report)
 
     return steps
 
@@ -205,11 +223,12 @@ def run_load(name: str, run: Run) -> list[str]:
     run.warehouse.note(name, "Start", "In Progress")
     published = []
     try:
-        for table, load in LOADS[name](run):
-            load(name, table)
-            published.append(table)
+        with run.warehouse.together():
+            for table, load in LOADS[name](run):
+                load(name, table)
+                published.append(table)
+            run.warehouse.note(name, "Procedure", "Success")
     except Exception as error:
-        run.warehouse.note(name, "Procedure", "Failed", str(error)[:2000])
+        run.warehouse.note(name, "Procedure", "Failed", str(error))
         raise
-    run.warehouse.note(name, "Procedure", "Success")
     return published

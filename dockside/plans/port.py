@@ -44,16 +44,13 @@ def _calls(s, d) -> DataFrame:
     return key_lookup(calls, d["DimPort"], "PortID", "PortSK").select("PortCallID", "ShipID", "PortSK")
 
 
-def _employee(rows, d, day, how):
-    rows = version_lookup(rows, d["DimPortEmployee"], "EmployeeID", day, "EmployeeSK", "EffectiveFrom", how)
+def _employee(rows, d, day):
+    rows = version_lookup(rows, d["DimPortEmployee"], "EmployeeID", day, "EmployeeSK", "EffectiveFrom", "left")
     return rows.withColumn("EmployeeSK", F.coalesce("EmployeeSK", F.lit(-1)))
 
 
-def cargo_operations(s, d, known_employee_only: bool = True) -> DataFrame:
-    """Transaction fact, one row per equipment assignment of a cargo operation.
-
-    Without ``known_employee_only`` an assignment with no known employee is kept under key -1.
-    """
+def cargo_operations(s, d) -> DataFrame:
+    """Transaction fact, one row per equipment assignment of a cargo operation; no known employee is key -1."""
     operations = s["CargoOperation"].join(_calls(s, d), "PortCallID")
     operations = operations.withColumn("FullDate", F.col("OperationDateTime").cast("date"))
     operations = operations.join(date_keys(d["DimDate"], "DimDateID", FullDate="DateKey")["FullDate"], "FullDate")
@@ -61,7 +58,7 @@ def cargo_operations(s, d, known_employee_only: bool = True) -> DataFrame:
     operations = key_lookup(operations, d["DimContainer"], "ContainerID", "ContainerSK")
     rows = s["OperationEquipmentAssignment"].select("AssignmentID", "CargoOpID", "EquipmentID", "EmployeeID").join(operations, "CargoOpID")
     rows = key_lookup(rows, d["DimEquipment"], "EquipmentID", "EquipmentSK")
-    rows = _employee(rows, d, "FullDate", "inner" if known_employee_only else "left")
+    rows = _employee(rows, d, "FullDate")
     return rows.select(
         "DateKey", "FullDate", "ShipSK", "PortSK", "ContainerSK", "EquipmentSK", "EmployeeSK", "OperationType", "Quantity",
         F.col("WeightKG").cast("decimal(10,2)").alias("WeightKG"), "OperationDateTime",
@@ -107,7 +104,7 @@ def container_movement_gaps(s) -> DataFrame:
     return missing_values(joined, ["CargoOpID", "OperationType", "Quantity", "CallPortID", "BoxTypeID"])
 
 
-def equipment_assignments(s, d, known_employee_only: bool = True) -> DataFrame:
+def equipment_assignments(s, d) -> DataFrame:
     """Factless fact: equipment worked on a day, by whom, where, on which kind of container."""
     operations = s["CargoOperation"].select("CargoOpID", "PortCallID", "ContainerID")
     operations = operations.join(_calls(s, d).select("PortCallID", "PortSK"), "PortCallID")
@@ -115,7 +112,7 @@ def equipment_assignments(s, d, known_employee_only: bool = True) -> DataFrame:
     rows = s["OperationEquipmentAssignment"].withColumn("WorkDate", F.col("StartTime").cast("date"))
     rows = rows.join(date_keys(d["DimDate"], "DimDateID", WorkDate="DateKey")["WorkDate"], "WorkDate")
     rows = key_lookup(rows, d["DimEquipment"], "EquipmentID", "EquipmentSK").join(operations, "CargoOpID")
-    rows = _employee(rows, d, "WorkDate", "inner" if known_employee_only else "left")
+    rows = _employee(rows, d, "WorkDate")
     return rows.select("DateKey", "EquipmentSK", "EmployeeSK", "PortSK", "ContainerTypeID", F.col("AssignmentID").alias("SourceAssignmentID"))
 
 
@@ -126,12 +123,6 @@ FACTS = {
     "FactEquipmentAssignment": equipment_assignments,
 }
 
-REFERENCE_KEYS = {
-    "FactCargoOperationTransactional": ("OperationDateTime", "ShipSK", "PortSK", "ContainerSK"),
-    "FactEquipmentAssignment": ("DateKey", "EquipmentSK", "EmployeeSK", "PortSK", "ContainerTypeID"),
-}
-
-
 def _unassigned(current, s) -> Overlay:
     """The assignments not loaded yet."""
     return Overlay(
@@ -139,18 +130,12 @@ def _unassigned(current, s) -> Overlay:
     )
 
 
-def update_cargo_operations(current, s, d, reference_keys: bool = False) -> DataFrame:
-    if reference_keys:
-        built = cargo_operations(s, d, known_employee_only=False)
-        return increment.append_unseen(current, built, REFERENCE_KEYS["FactCargoOperationTransactional"])
-    return increment.append(current, cargo_operations(_unassigned(current, s), d, known_employee_only=False))
+def update_cargo_operations(current, s, d) -> DataFrame:
+    return increment.append(current, cargo_operations(_unassigned(current, s), d))
 
 
-def update_equipment_assignments(current, s, d, reference_keys: bool = False) -> DataFrame:
-    if reference_keys:
-        built = equipment_assignments(s, d, known_employee_only=False)
-        return increment.append_unseen(current, built, REFERENCE_KEYS["FactEquipmentAssignment"])
-    return increment.append(current, equipment_assignments(_unassigned(current, s), d, known_employee_only=False))
+def update_equipment_assignments(current, s, d) -> DataFrame:
+    return increment.append(current, equipment_assignments(_unassigned(current, s), d))
 
 
 def update_container_movements(current, s, d) -> DataFrame:
@@ -158,12 +143,13 @@ def update_container_movements(current, s, d) -> DataFrame:
 
 
 def update_port_call_snapshot(current, s, d) -> DataFrame:
-    """Calls that arrived after the latest day loaded; only their allocations and operations are counted."""
-    calls = increment.beyond_latest(s["PortCall"], F.col("ArrivalDateTime").cast("date"), current, "FullDate")
+    """Calls of the latest loaded day and later ones are counted anew, and older calls that are not loaded come in; only the
+    allocations and operations of these calls are read."""
+    calls = increment.open_or_unseen(s["PortCall"], F.col("ArrivalDateTime").cast("date"), "PortCallID", current, "FullDate")
     fresh = {"PortCall": calls}
     for table in ("BerthAllocation", "CargoOperation"):
         fresh[table] = s[table].join(calls.select("PortCallID"), "PortCallID", "left_semi")
-    return increment.append(current, port_call_snapshot(Overlay(s, **fresh), d))
+    return increment.replace_keys(current, port_call_snapshot(Overlay(s, **fresh), d), ["PortCallID"], calls)
 
 
 UPDATES = {

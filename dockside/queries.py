@@ -215,7 +215,35 @@ def _load(area, phase, spark, directory):
         if phase == "facts_update":
             warehouse.advance(HR_CONTROL, HR_LAST_LOAD)
             published = run(phase, later, HR_RUN_DATE if area == "hr" else second_day)
-    return quality.row_counts({name: warehouse.table(name) for name in published if name != HR_CONTROL})
+    tables = [name for name in published if name != HR_CONTROL and (phase != "dimensions_update" or area == "finance" or not name.startswith("DimDate"))]
+    return quality.row_counts({name: warehouse.table(name) for name in tables})
+
+
+def _two_nights(spark, directory):
+    """HR facts by source row after a first load, a nightly update and the same update again; each row counts once."""
+    s, warehouse = Sources(spark, directory), MemoryWarehouse()
+    early = _loaded_earlier("hr", spark, directory)
+    for step, sources, day in [
+        ("dimensions_first", s, HR_RUN_1), ("facts_first", early, HR_LAST_LOAD), ("facts_update", s, HR_RUN_DATE), ("facts_update", s, HR_RUN_DATE),
+    ]:
+        run_load(f"hr_{step}", Run(spark, warehouse, sources, day, calendar=(CALENDAR_START, CALENDAR_END)))
+    result = None
+    for fact, source_id in [("FactTermination", "TerminationID"), ("FactSalaryPayment", "SalaryPaymentID"), ("FactEmployeeAttendance", "AttendanceID")]:
+        rows = warehouse.table(fact).groupBy(F.col(f"Source{source_id}").cast("string").alias("SourceID")).agg(F.count(F.lit(1)).alias("FactRows"))
+        rows = rows.select(F.lit(fact).alias("Fact"), "SourceID", "FactRows")
+        result = rows if result is None else result.unionByName(rows)
+    return result
+
+
+def _shifted_days(spark, directory):
+    """Payments per day after whole loads of invoices and payments dated 36 years later: the calendar covers them."""
+    s, warehouse = Sources(spark, directory), MemoryWarehouse()
+    later = lambda table, *days: s[table].withColumns({c: F.add_months(c, 12 * 36) for c in days})
+    moved = Overlay(s, Invoice=later("Invoice", "InvoiceDate", "DueDate"), Payment=later("Payment", "PaymentDate"))
+    for step in ("dimensions_first", "facts_first"):
+        run_load(f"finance_{step}", Run(spark, warehouse, moved, FINANCE_RUN_1))
+    rows = warehouse.table("FactCustomerPaymentTransaction").join(warehouse.table("DimDate"), "DimDateID")
+    return flat(rows.groupBy("FullDate").agg(F.count(F.lit(1)).alias("Payments"), F.sum("PaymentAmount").alias("Paid")))
 
 
 def _loaded_earlier(area, spark, directory):
@@ -271,6 +299,8 @@ def registry() -> dict:
     for area in MARTS:
         for phase in ("staging", "dimensions_first", "dimensions_update", "facts_first", "facts_update"):
             found[f"load_{area}_{phase}"] = partial(_load, area, phase)
+    found["hr_facts_after_two_nights"] = _two_nights
+    found["finance_payments_shifted_days"] = _shifted_days
     found["row_counts"] = _row_counts
     found["orphan_report"] = _orphan_report
     found["duplicate_keys"] = _duplicate_keys

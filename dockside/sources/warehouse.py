@@ -1,10 +1,13 @@
 """Where loads are published: Parquet directories on shared storage, with the audit log saying which are current.
 
 A load writes a directory of its own and then logs it. A table is what its last logged replacement wrote plus the
-appends logged since, so readers never see a half-written load and a failed one leaves the last state in place.
+appends logged since; a replaced period is an append that says which keys of the older directories it supersedes. No
+directory is written twice. Steps that run ``together`` are logged as one entry, so readers see all of them or none.
 """
 
+import contextlib
 import datetime as dt
+import json
 import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -16,7 +19,6 @@ AUDIT_SCHEMA = (
     "LogID bigint, ProcessName string, OperationType string, TargetTable string, StartTime timestamp, EndTime timestamp, "
     "RecordsInserted bigint, RecordsUpdated bigint, Status string, Message string, Location string"
 )
-CONTROL_SCHEMA = "ProcessName string, LastLoadDate date"
 NEVER_LOADED = dt.date(1900, 1, 1)
 
 
@@ -40,7 +42,12 @@ class MemoryWarehouse:
     def replace(self, process, table, rows, report=None, partition_by=None):
         self._tables[table] = rows.drop(CHANGE)
 
-    replace_partitions = replace
+    def replace_partitions(self, process, table, rows, report=None, partition_by=None):
+        self.replace(process, table, rows)
+
+    @contextlib.contextmanager
+    def together(self):
+        yield
 
     def append(self, process, table, rows, report=None):
         fresh = rows.where(F.col(CHANGE) == "inserted").drop(CHANGE)
@@ -62,6 +69,7 @@ class MemoryWarehouse:
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._pending: list | None = None
         self._locations = self._read_locations()
         self._frames: dict[str, DataFrame] = {}
 
@@ -72,7 +80,9 @@ class Warehouse:
         return self._read("_audit", AUDIT_SCHEMA)
 
     def control(self) -> DataFrame:
-        return self._read("_control", CONTROL_SCHEMA)
+        """The high-water marks, from the log."""
+        marks = self.audit().where("Status = 'Success' and OperationType = 'Control'")
+        return marks.selectExpr("TargetTable as ProcessName", "cast(Message as date) as LastLoadDate")
 
     def _read(self, name, schema):
         path = f"{self.root}/{name}"
@@ -81,26 +91,40 @@ class Warehouse:
         return self.spark.read.schema(schema).parquet(path) if exists else self.spark.createDataFrame([], schema)
 
     def _read_locations(self):
-        """Current directories per table, from the log of successful loads (one row per load, not per data row)."""
-        found: dict[str, list[str]] = {}
-        loads = self.audit().where("Status = 'Success' and OperationType in ('Replace', 'Append', 'Delete')").orderBy("LogID")
-        for row in loads.select("TargetTable", "OperationType", "Location").collect():
-            if row.OperationType == "Append":
-                found.setdefault(row.TargetTable, []).append(row.Location)
+        """Current directories per table and the keys that later periods supersede in each, from the log of successful loads
+        (one row per load, not per data row)."""
+        found: dict[str, list[tuple]] = {}
+        loads = self.audit().where("Status = 'Success' and OperationType in ('Replace', 'Append', 'Partition', 'Delete')").orderBy("LogID")
+        for row in loads.select("TargetTable", "OperationType", "Location", "Message").collect():
+            if row.OperationType in ("Append", "Partition"):
+                gone = json.loads(row.Message) if row.OperationType == "Partition" else None
+                found[row.TargetTable] = self._with(found.get(row.TargetTable, []), row.Location, gone)
             else:
-                found[row.TargetTable] = [row.Location] if row.Location else []
+                found[row.TargetTable] = [(row.Location, ())] if row.Location else []
         return found
 
+    @staticmethod
+    def _with(locations, location, gone=None):
+        """The directories with one more; ``gone`` (column, values) is superseded in those before."""
+        before = [(path, (*hidden, (gone[0], tuple(gone[1])))) for path, hidden in locations] if gone else locations
+        return [*before, (location, ())]
+
     def has(self, table: str) -> bool:
         return bool(self._locations.get(table))
 
     def table(self, table: str) -> DataFrame:
-        """The current state; files are listed and the schema read once per published version."""
+        """The current state: one read of all directories that hide the same keys; listed once per published version."""
         if table not in self._frames:
-            first, *more = [self.spark.read.parquet(path) for path in self._locations[table]]
-            for part in more:
-                first = first.unionByName(part)
-            self._frames[table] = first
+            groups: dict[tuple, list[str]] = {}
+            for path, hidden in self._locations[table]:
+                groups.setdefault(hidden, []).append(path)
+            state = None
+            for hidden, paths in groups.items():
+                part = self.spark.read.parquet(*paths)
+                for column, values in hidden:
+                    part = part.where(~F.col(column).isin(list(values)) | F.col(column).isNull()) if values else part
+                state = part if state is None else state.unionByName(part)
+            self._frames[table] = state
         return self._frames[table]
 
     def tables(self) -> dict[str, DataFrame]:
@@ -108,27 +132,43 @@ class Warehouse:
 
     # --- loads
 
+    @contextlib.contextmanager
+    def together(self):
+        """Loads inside are seen by one another at once, by others when all have succeeded; a failure takes all of them back."""
+        before, self._pending = dict(self._locations), []
+        try:
+            yield
+            done, self._pending = self._pending, None
+            self._write(done)
+        except Exception:
+            failed = [row for row in self._pending or [] if row[8] == "Failed"]
+            self._pending, self._locations = None, before
+            self._frames.clear()
+            self._write(failed)
+            raise
+
     def replace(self, process, table, rows, report=None, partition_by=None):
         """Publish ``rows`` as the whole table."""
         location = self._new_location(table)
-        self._load(process, "Replace", table, rows, report, location, "errorifexists", partition_by)
-        self._locations[table] = [location]
+        self._load(process, "Replace", table, rows, report, location)
+        self._locations[table] = [(location, ())]
 
     def append(self, process, table, rows, report=None):
         """Publish the inserted rows only; what is loaded already is not rewritten."""
         location = self._new_location(table)
-        self._load(process, "Append", table, rows.where(F.col(CHANGE) == "inserted"), report, location, "errorifexists", None)
-        self._locations.setdefault(table, []).append(location)
+        self._load(process, "Append", table, rows.where(F.col(CHANGE) == "inserted"), report, location)
+        self._locations[table] = self._with(self._locations.get(table, []), location)
 
     def replace_partitions(self, process, table, rows, report=None, partition_by=None):
-        """Overwrite just the partitions the inserted rows fall in; older partitions are not touched."""
+        """Publish the inserted rows in the place of the periods that ``rows`` no longer keeps; nothing older is rewritten.
+        ``partition_by`` names the period's key; the periods replaced (not their rows) are listed in the log."""
         fresh, kept = rows.where(F.col(CHANGE) == "inserted"), rows.where(F.col(CHANGE) != "inserted")
-        stale = self.table(table).select(partition_by).distinct().join(kept.select(partition_by).distinct(), partition_by, "left_anti")
-        if not stale.join(fresh.select(partition_by).distinct(), partition_by, "left_anti").isEmpty():
-            self.replace(process, table, rows, report, partition_by)  # a period lost all its rows
-            return
-        location = self._locations[table][0]
-        self._load(process, "Partition", table, fresh, report, location, "overwrite", partition_by)
+        gone = self.table(table).select(partition_by).distinct().join(kept.select(partition_by).distinct(), partition_by, "left_anti")
+        gone = [partition_by, sorted(r[0] for r in gone.collect() if r[0] is not None)]
+        location = self._new_location(table)
+        self._load(process, "Partition", table, fresh, report, location, json.dumps(gone))
+        self._locations[table] = self._with(self._locations[table], location, gone)
+        self._frames.pop(table, None)
 
     def clear(self, process, table):
         if self.has(table):
@@ -142,34 +182,37 @@ class Warehouse:
     def _new_location(self, table):
         return f"{self.root}/{table}/load={time.time_ns()}"
 
-    def _load(self, process, operation, table, rows, report, location, mode, partition_by):
+    def _load(self, process, operation, table, rows, report, location, message=""):
         started = _now()
         try:
             if report is not None:
                 enforce(table, report)
             tagged = rows if CHANGE in rows.columns else rows.withColumn(CHANGE, F.lit("inserted"))
             seen = Observation()
-            writer = (
-                tagged.observe(
-                    seen,
-                    F.count(F.when(F.col(CHANGE) == "inserted", 1)).alias("inserted"),
-                    F.count(F.when(F.col(CHANGE).isin("updated", "expired"), 1)).alias("updated"),
-                )
-                .drop(CHANGE)
-                .write.mode(mode)
-                .option("partitionOverwriteMode", "dynamic")
+            counted = tagged.observe(
+                seen,
+                F.count(F.when(F.col(CHANGE) == "inserted", 1)).alias("inserted"),
+                F.count(F.when(F.col(CHANGE).isin("updated", "expired"), 1)).alias("updated"),
             )
-            (writer.partitionBy(partition_by) if partition_by else writer).parquet(location)
+            counted.drop(CHANGE).write.mode("errorifexists").parquet(location)
             counts = seen.get
         except Exception as error:
-            self._log(process, "Error", table, started, None, None, "Failed", str(error)[:2000], None)
+            self._log(process, "Error", table, started, None, None, "Failed", str(error), None)
             raise
         self._frames.pop(table, None)
-        self._log(process, operation, table, started, counts["inserted"], counts["updated"], "Success", "", location)
+        self._log(process, operation, table, started, counts["inserted"], counts["updated"], "Success", message, location)
 
     def _log(self, process, operation, table, started, inserted, updated, status, message, location):
         row = (time.time_ns(), process, operation, table, started, _now(), inserted, updated, status, message, location)
-        self.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/_audit")
+        if self._pending is None:
+            self._write([row])
+        else:
+            self._pending.append(row)
+
+    def _write(self, rows):
+        """One entry of the log: a single file."""
+        if rows:
+            self.spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/_audit")
 
     # --- high-water mark
 
@@ -178,5 +221,4 @@ class Warehouse:
         return day or NEVER_LOADED
 
     def advance(self, process, day):
-        day = dt.date.fromisoformat(day) if isinstance(day, str) else day
-        self.spark.createDataFrame([(process, day)], CONTROL_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/_control")
+        self._log("control", "Control", process, _now(), None, None, "Success", str(day), None)

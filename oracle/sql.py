@@ -231,10 +231,10 @@ def _half_up(numerator: str, denominator: str, digits: int, total: int) -> str:
     return f"cast(sign({numerator}) * ({scaled}) / {10 ** digits} as decimal({total},{digits}))"
 
 
-def invoice_lines(t, discount="l.DiscountPercent"):
+def invoice_lines(t):
     rate = _half_up("cast(l.NetAmount * 100 as hugeint)", "100 * l.Quantity", 4, 18)
     return f"""select di.DimInvoiceID, c.DimCustomerID, sv.DimServiceTypeID, x.DimTaxID, dd.DimDateID, l.Quantity, l.UnitPrice,
-  cast(l.Quantity * l.UnitPrice as decimal(18,4)) as GrossAmount, {discount} as DiscountPercent, l.NetAmount, l.TaxAmount,
+  cast(l.Quantity * l.UnitPrice as decimal(18,4)) as GrossAmount, coalesce(l.DiscountPercent, 0) as DiscountPercent, l.NetAmount, l.TaxAmount,
   {rate} as EffectiveRate, l.InvoiceLineID as SourceInvoiceLineID
 from {t('InvoiceLine')} l join {t('Invoice')} i on l.InvoiceID = i.InvoiceID join d_DimInvoice di on i.InvoiceNumber = di.InvoiceNumber
 join {t('Contract')} ct on i.ContractID = ct.ContractID join {t('Customer')} cu on ct.CustomerID = cu.CustomerID
@@ -306,7 +306,7 @@ _EMPLOYEE_ON = "join d_DimEmployee e on o.EmployeeID = e.EmployeeID and o.{day}
 
 def terminations(t):
     rel = t("Termination")
-    return f"""select dd.DateKey as TerminationDateKey, e.EmployeeKey, coalesce(dp.DepartmentKey, -1) as DepartmentKey, coalesce(j.JobTitleKey, -1) as JobTitleKey,
+    return f"""select o.TerminationID as SourceTerminationID, dd.DateKey as TerminationDateKey, e.EmployeeKey, coalesce(dp.DepartmentKey, -1) as DepartmentKey, coalesce(j.JobTitleKey, -1) as JobTitleKey,
   coalesce(r.TerminationReasonKey, -1) as TerminationReasonKey, coalesce(o.TerminationDate - f.hired, 0) as TenureInDays,
   coalesce(date_diff('month', f.hired, o.TerminationDate), 0) as TenureInMonths, coalesce(h.Salary, 0) as SalaryAtTermination,
   case when o.TerminationReason in ('Resignation', 'Retirement') then 1 else 0 end as IsVoluntary
@@ -319,7 +319,7 @@ left join d_DimTerminationReason r on o.TerminationReason = r.TerminationReason"
 
 def salary_payments(t):
     rel = t("SalaryPayment")
-    return f"""select dd.DateKey as PaymentDateKey, e.EmployeeKey, coalesce(dp.DepartmentKey, -1) as DepartmentKey, coalesce(j.JobTitleKey, -1) as JobTitleKey,
+    return f"""select o.SalaryPaymentID as SourceSalaryPaymentID, dd.DateKey as PaymentDateKey, e.EmployeeKey, coalesce(dp.DepartmentKey, -1) as DepartmentKey, coalesce(j.JobTitleKey, -1) as JobTitleKey,
   cast(o.Amount + coalesce(o.Bonus, 0) as decimal(15,2)) as GrossPayAmount, o.Amount as BaseAmount, coalesce(o.Bonus, 0) as BonusAmount,
   coalesce(o.Deductions, 0) as DeductionsAmount, o.NetAmount, cast((o.Amount + coalesce(o.Bonus, 0)) * 1.23 as decimal(15,2)) as SalaryCostToCompany
 from {rel} o {_EMPLOYEE_ON.format(day='PaymentDate')} join d_Days dd on o.PaymentDate = dd.FullDate
@@ -328,13 +328,8 @@ left join d_DimDepartment dp on h.DepartmentID = dp.DepartmentID left join d_Dim
 
 
 def attendance(t):
-    return f"""select dd.DateKey as AttendanceDateKey, e.EmployeeKey, o.Status as AttendanceStatus
-from {t('Attendance')} o {_EMPLOYEE_ON.format(day='AttendanceDate')} join d_Days dd on o.AttendanceDate = dd.FullDate"""
-
-
-def attendance_as_of(t):
     rel = t("Attendance")
-    return f"""select dd.DateKey as AttendanceDateKey, coalesce(e.EmployeeKey, -1) as EmployeeKey, o.Status as AttendanceStatus
+    return f"""select o.AttendanceID as SourceAttendanceID, dd.DateKey as AttendanceDateKey, coalesce(e.EmployeeKey, -1) as EmployeeKey, o.Status as AttendanceStatus
 from {rel} o join d_Days dd on o.AttendanceDate = dd.FullDate
 left join (select o.AttendanceID, max_by(e.EmployeeKey, e.StartDate) as EmployeeKey from {rel} o
   join d_DimEmployee e on e.EmployeeID = o.EmployeeID and e.StartDate <= o.AttendanceDate group by o.AttendanceID) e on o.AttendanceID = e.AttendanceID"""
@@ -346,14 +341,11 @@ def _months(rel: str) -> str:
   EmployeeID as RowID from {rel} group by EmployeeID, last_day(AttendanceDate))"""
 
 
-def monthly_performance(t, as_of_employee=False):
+def monthly_performance(t):
     rel = _months(t("Attendance"))
     overtime = _half_up("(o.cents - 800 * o.n)", "o.cents", 4, 18)
-    if as_of_employee:
-        employee = f"""left join (select o.RowID, o.MonthEndDate, max_by(e.EmployeeKey, e.StartDate) as EmployeeKey from {rel} o
+    employee = f"""left join (select o.RowID, o.MonthEndDate, max_by(e.EmployeeKey, e.StartDate) as EmployeeKey from {rel} o
   join d_DimEmployee e on e.EmployeeID = o.EmployeeID and e.StartDate <= o.MonthEndDate group by all) e on o.RowID = e.RowID and o.MonthEndDate = e.MonthEndDate"""
-    else:
-        employee = _EMPLOYEE_ON.format(day="MonthEndDate")
     return f"""select dd.DateKey as MonthDateKey, coalesce(e.EmployeeKey, -1) as EmployeeKey, coalesce(dp.DepartmentKey, -1) as DepartmentKey,
   cast(o.cents / 100 as decimal(10,2)) as TotalHoursWorked, {_half_up('o.cents', 'o.n * 100', 2, 10)} as AverageDailyHoursWorked,
   cast(o.lo as decimal(10,2)) as MinDailyHoursWorked, cast(o.hi as decimal(10,2)) as MaxDailyHoursWorked, o.late as LateDaysCount, o.absent as AbsentDaysCount,
@@ -379,13 +371,13 @@ left join (select EmployeeID, count(*) as n, min(StartDate) as hired,
   from a_EmploymentHistory y group by EmployeeID) h on m.EmployeeID = h.EmployeeID"""
 
 
-def cargo_operations(t, how="asof join"):
+def cargo_operations(t):
     return f"""select dd.DateKey, dd.FullDate, sh.ShipSK, dp.PortSK, dc.ContainerSK, de.EquipmentSK, coalesce(em.EmployeeSK, -1) as EmployeeSK, co.OperationType, co.Quantity,
   cast(co.WeightKG as decimal(10,2)) as WeightKG, co.OperationDateTime, oa.AssignmentID as SourceAssignmentID
 from {t('CargoOperation')} co join {t('PortCall')} pc on co.PortCallID = pc.PortCallID join {t('Voyage')} vo on pc.VoyageID = vo.VoyageID
 join d_Days dd on cast(co.OperationDateTime as date) = dd.FullDate asof join v_DimShip sh on vo.ShipID = sh.ShipID and dd.FullDate >= sh.valid_from
 join d_DimPort dp on pc.PortID = dp.PortID join d_DimContainer dc on co.ContainerID = dc.ContainerID join {t('OperationEquipmentAssignment')} oa on co.CargoOpID = oa.CargoOpID
-join d_DimEquipment de on oa.EquipmentID = de.EquipmentID {how} v_DimPortEmployee em on oa.EmployeeID = em.EmployeeID and dd.FullDate >= em.valid_from"""
+join d_DimEquipment de on oa.EquipmentID = de.EquipmentID asof left join v_DimPortEmployee em on oa.EmployeeID = em.EmployeeID and dd.FullDate >= em.valid_from"""
 
 
 def port_call_snapshot(t):
@@ -403,12 +395,12 @@ from {t('CargoOperation')} co join {t('PortCall')} pc on co.PortCallID = pc.Port
 join d_DimPort dp on pc.PortID = dp.PortID group by dp.PortSK, c.ContainerTypeID"""
 
 
-def equipment_assignments(t, how="asof join"):
+def equipment_assignments(t):
     return f"""select dd.DateKey, de.EquipmentSK, coalesce(em.EmployeeSK, -1) as EmployeeSK, dp.PortSK, dc.ContainerTypeID, oa.AssignmentID as SourceAssignmentID
 from {t('OperationEquipmentAssignment')} oa join {t('CargoOperation')} co on oa.CargoOpID = co.CargoOpID join {t('PortCall')} pc on co.PortCallID = pc.PortCallID
 join d_Days dd on cast(oa.StartTime as date) = dd.FullDate join d_DimEquipment de on oa.EquipmentID = de.EquipmentID join d_DimPort dp on pc.PortID = dp.PortID
 join d_DimContainer dc on co.ContainerID = dc.ContainerID
-{how} v_DimPortEmployee em on oa.EmployeeID = em.EmployeeID and dd.FullDate >= em.valid_from"""
+asof left join v_DimPortEmployee em on oa.EmployeeID = em.EmployeeID and dd.FullDate >= em.valid_from"""
 
 
 FACT_SQL = {
@@ -445,12 +437,13 @@ def _fact_updates(before=None) -> dict:
     _before_of = lambda *tables: before or _before(*tables)
     found = {}
     lines = _before_of("InvoiceLine")
-    new_lines = invoice_lines(_now, "coalesce(l.DiscountPercent, 0)")
-    found["FactInvoiceLineTransaction"] = _kept_and_new(invoice_lines(lines), new_lines, ["SourceInvoiceLineID"])
+    found["FactInvoiceLineTransaction"] = _kept_and_new(invoice_lines(lines), invoice_lines(_now), ["SourceInvoiceLineID"])
     found["FactCustomerPaymentTransaction"] = _kept_and_new(payments(_before_of("Payment")), payments(_now), ["SourcePaymentID"])
-    found["FactCustomerBillingMonthlySnapshot"] = _kept_and_new(
-        billing_snapshot(_before_of("Invoice")), billing_snapshot(_now), ["DimCustomerID", "DimDateID", "DimBillingCycleID"]
-    )
+    old_months = billing_snapshot(_before_of("Invoice"))
+    closed = f"""(select DimDateID from d_Days where FullDate < (select max(x.FullDate) from ({old_months}) o join d_Days x on o.DimDateID = x.DimDateID))"""
+    found["FactCustomerBillingMonthlySnapshot"] = f"""select *, 'kept' as ChangeType from ({old_months}) where DimDateID in {closed} union all by name
+select n.*, 'inserted' as ChangeType from ({billing_snapshot(_now)}) n where n.DimDateID not in {closed} or not exists (select 1 from ({old_months}) o
+  where o.DimCustomerID = n.DimCustomerID and o.DimDateID = n.DimDateID and o.DimBillingCycleID = n.DimBillingCycleID)"""
     found["FactCustomerContractActivationFactless"] = _kept_and_new(
         contract_activations(_before_of("Contract")), contract_activations(_now), ["DimDateID", "DimCustomerID", "DimContractID"]
     )
@@ -465,25 +458,27 @@ from ({invoice_lifecycle(_before_of('Invoice', 'Payment'))}) o full join ({invoi
     for fact, table, day, old, new in [
         ("FactTermination", "Termination", "TerminationDate", terminations, terminations),
         ("FactSalaryPayment", "SalaryPayment", "PaymentDate", salary_payments, salary_payments),
-        ("FactEmployeeAttendance", "Attendance", "AttendanceDate", attendance, attendance_as_of),
+        ("FactEmployeeAttendance", "Attendance", "AttendanceDate", attendance, attendance),
     ]:
         found[fact] = f"""select *, 'kept' as ChangeType from ({old(_dated(table, day, loaded))}) union all by name
 select *, 'inserted' as ChangeType from ({new(_dated(table, day, window))})"""
     month = f"date_trunc('month', date '{HR_RUN_DATE}')"
     found["FactMonthlyEmployeePerformance"] = f"""select *, 'kept' as ChangeType from ({monthly_performance(_dated('Attendance', 'AttendanceDate', loaded))})
 where MonthDateKey < (select min(DateKey) from d_Days where FullDate >= {month}) union all by name
-select *, 'inserted' as ChangeType from ({monthly_performance(_dated('Attendance', 'AttendanceDate', f'>= {month}'), as_of_employee=True)})"""
+select *, 'inserted' as ChangeType from ({monthly_performance(_dated('Attendance', 'AttendanceDate', f'>= {month}'))})"""
     found["FactEmployeeLifecycle"] = _lifecycle_update()
     found["FactCargoOperationTransactional"] = _kept_and_new(
-        cargo_operations(_before_of("CargoOperation", "OperationEquipmentAssignment")), cargo_operations(_now, "asof left join"), ["SourceAssignmentID"]
+        cargo_operations(_before_of("CargoOperation", "OperationEquipmentAssignment")), cargo_operations(_now), ["SourceAssignmentID"]
     )
     found["FactEquipmentAssignment"] = _kept_and_new(
-        equipment_assignments(_before_of("CargoOperation", "OperationEquipmentAssignment")), equipment_assignments(_now, "asof left join"), ["SourceAssignmentID"]
+        equipment_assignments(_before_of("CargoOperation", "OperationEquipmentAssignment")), equipment_assignments(_now), ["SourceAssignmentID"]
     )
     found["FactContainerMovementsAcc"] = f"select *, 'inserted' as ChangeType from ({container_movements(_now)})"
     old_calls = port_call_snapshot(_before_of("PortCall"))
-    found["FactPortCallPeriodicSnapshot"] = f"""select *, 'kept' as ChangeType from ({old_calls}) union all by name
-select *, 'inserted' as ChangeType from ({port_call_snapshot(_now)}) where DateKey > (select max(DateKey) from ({old_calls}))"""
+    found["FactPortCallPeriodicSnapshot"] = f"""select *, 'kept' as ChangeType from ({old_calls})
+where cast(FullDate as date) < (select max(FullDate) from ({old_calls})) union all by name
+select *, 'inserted' as ChangeType from ({port_call_snapshot(_now)}) where FullDate >= (select max(FullDate) from ({old_calls}))
+  or PortCallID not in (select PortCallID from ({old_calls}))"""
     return found
 
 
@@ -491,8 +486,8 @@ def _lifecycle_update() -> str:
     old = employee_lifecycle(_before("Employee", "Termination", "EmployeeTraining"), "e_DimEmployee")
     return f"""with old as ({old}), step1 as (
   select *, false as added from old union all by name
-  select e.EmployeeKey, dd.DateKey as HireDateKey, 0 as TotalPromotionsCount, 0 as TotalTrainingsCompleted, true as added
-  from d_DimEmployee e join a_Employee m on e.EmployeeID = m.EmployeeID join d_Days dd on m.HireDate = dd.FullDate
+  select e.EmployeeKey, coalesce(dd.DateKey, -1) as HireDateKey, 0 as TotalPromotionsCount, 0 as TotalTrainingsCompleted, true as added
+  from d_DimEmployee e join a_Employee m on e.EmployeeID = m.EmployeeID left join d_Days dd on m.HireDate = dd.FullDate
   where e.IsCurrent and e.EmployeeKey not in (select EmployeeKey from old)),
 gone as (select x.EmployeeID, x.TerminationDate, coalesce(dd.DateKey, -1) as dk, coalesce(r.TerminationReasonKey, -1) as rk,
     (select h.Salary from a_EmploymentHistory h where h.EmployeeID = x.EmployeeID and h.StartDate <= x.TerminationDate order by h.StartDate desc, h.EmploymentHistoryID desc limit 1) as salary
@@ -620,13 +615,26 @@ def statements() -> dict[str, str]:
     found["fact_invoice_line_update_reference_keys"] = compose(
         _show(
             _kept_and_new(
-                invoice_lines(_before("InvoiceLine")), invoice_lines(_now, "coalesce(l.DiscountPercent, 0)"),
+                invoice_lines(_before("InvoiceLine")), invoice_lines(_now),
                 ["DimInvoiceID", "DimCustomerID", "DimServiceTypeID", "Quantity", "UnitPrice", "NetAmount"],
             ),
             _AMOUNTS["FactInvoiceLineTransaction"],
         )
     )
     found |= _load_counts()
+    upto = f"<= date '{HR_RUN_DATE}'"
+    nights = [
+        ("FactTermination", "TerminationID", terminations(_dated("Termination", "TerminationDate", upto))),
+        ("FactSalaryPayment", "SalaryPaymentID", salary_payments(_dated("SalaryPayment", "PaymentDate", upto))),
+        ("FactEmployeeAttendance", "AttendanceID", attendance(_dated("Attendance", "AttendanceDate", upto))),
+    ]
+    once = "select '{0}' as Fact, cast(Source{1} as varchar) as SourceID, count(*) as FactRows from ({2}) group by all"
+    # the load keys its dimensions once: by e_, not by the versions of two loads
+    found["hr_facts_after_two_nights"] = compose(" union all ".join(once.format(*n) for n in nights).replace("d_DimEmployee", "e_DimEmployee"))
+    found["finance_payments_shifted_days"] = compose(
+        f"""select cast(cast(dd.FullDate + interval 36 year as date) as varchar) as FullDate, count(*) as Payments, cast(sum(p.PaymentAmount) as double) as Paid
+from ({payments(_now)}) p join d_Days dd on p.DimDateID = dd.DimDateID group by dd.FullDate"""
+    )
     found["fact_yearly_headcount"] = compose(_show(yearly_headcount(), _AMOUNTS["FactYearlyHeadcount"]))
     tables = dict.fromkeys(spec.table for spec in STAGES.values())
     found["row_counts"] = compose(" union all ".join(f"select '{t}' as TableName, count(*) as RowCount from a_{t}" for t in tables))
