@@ -138,7 +138,7 @@ def near_duplicates(
     root = roots(links(classes.select("fp"), radius), scratch)
     rooted = classes.join(root, classes.fp == root.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = scratch.keep(rooted, "rooted")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    least = scratch.keep(rooted.groupBy("root").agg(F.min("least").alias("component")), "least")
     component = rooted.select("fp", "root").join(least, "root").select("fp", "component")
     return rows.join(component, "fp").select("id", "fp", "component")
 
