@@ -21,6 +21,7 @@ from dockside.sources.overlay import Overlay
 from dockside.sources.warehouse import MemoryWarehouse
 
 HR_LAST_LOAD, HR_RUN_DATE, HEADCOUNT_YEAR = "2024-01-15", "2024-01-31", 2026
+STAGED_AT = "2024-01-31 02:00:00"
 MARTS = {"finance": finance, "hr": hr, "port": port}
 RUN_DATES = {"finance": (FINANCE_RUN_1, FINANCE_RUN_2), "hr": (HR_RUN_1, HR_RUN_2), "port": (FINANCE_RUN_1, FINANCE_RUN_2)}
 
@@ -72,6 +73,13 @@ def _staging(name, spark, directory):
     return stage(Sources(spark, directory)[spec.table], spec)[1]
 
 
+def _staged(name, spark, directory):
+    """The rows a load stages, types widened and load time stamped, as text."""
+    spec = STAGES[name]
+    rows = stage(Sources(spark, directory)[spec.table], spec, STAGED_AT)[0]
+    return rows.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns])
+
+
 def _dimension_first(mart, name, spark, directory):
     return flat(Dimensions(spark, directory, mart, state=1)[name])
 
@@ -280,6 +288,7 @@ FACT_QUERY = {
 
 def registry() -> dict:
     found = {f"stage_{name}": partial(_staging, name) for name in STAGES}
+    found |= {f"staged_{name}": partial(_staged, name) for name in STAGES}
     found["dim_date_first"] = partial(_calendar_first, "DimDateID", False)
     found["dim_date_hr_first"] = partial(_calendar_first, "DateKey", True)
     found["dim_date_update"] = _calendar_update

@@ -154,7 +154,7 @@ from lineitem where l_returnflag in ('A', 'R')""",
     "JobTitle_v1": _JOB_TITLE.format(category="case o_orderpriority when '5-LOW' then 'Operational' else 'Administrative' end") + " where o_orderpriority <> '3-MEDIUM'",
     "EmploymentHistory": """select o_orderkey as EmploymentHistoryID, o_custkey as EmployeeID, cast(substr(o_orderpriority, 1, 1) as int) as JobTitleID,
   case o_orderstatus when 'F' then 0 when 'O' then 1 else 2 end as DepartmentID, cast(o_orderdate as date) + 9000 as StartDate,
-  case when o_orderstatus = 'O' then null else cast(o_orderdate as date) + 9190 end as EndDate, cast(o_totalprice / 100 as decimal(15,2)) as Salary,
+  case when o_orderstatus = 'O' then null else cast(o_orderdate as date) + 9190 end as EndDate, cast(cast(floor(o_totalprice) as bigint) * cast(0.01 as decimal(3,2)) as decimal(15,2)) as Salary,
   case when o_orderstatus = 'F' then 'Contract' else 'Permanent' end as EmploymentType
 from orders where o_custkey in (select user_id from events)""",
     "Termination": _TERMINATION.format(cut="true"),

@@ -11,7 +11,7 @@ import re
 from dockside.operators.keys import BUCKETS
 from dockside.plans import finance, hr, port
 from dockside.plans.staging import STAGES
-from dockside.queries import _EARLIER, FACT_QUERY, HEADCOUNT_YEAR, HR_LAST_LOAD, HR_RUN_DATE, MARTS, RUN_DATES, snake
+from dockside.queries import _EARLIER, FACT_QUERY, HEADCOUNT_YEAR, HR_LAST_LOAD, HR_RUN_DATE, MARTS, RUN_DATES, STAGED_AT, snake
 from dockside.sources.adapter import CALENDAR_END, CALENDAR_START, SOURCES, with_clause
 
 MART_OF = {name: mart for mart, module in MARTS.items() for name in module.DIMENSIONS}
@@ -539,6 +539,13 @@ def staging_report(spec) -> str:
     return compose(" union all ".join(parts))
 
 
+def staged_rows(spec) -> str:
+    widened = ", ".join(f"cast({c} as {t.replace('timestamp_ntz', 'timestamp').replace('string', 'varchar')}) as {c}" for c, t in spec.types.items())
+    rows = f"select * replace ({widened}) from a_{spec.table}" if widened else f"select * from a_{spec.table}"
+    stamp = f", '{STAGED_AT}' as LoadDate" if spec.load_date else ""
+    return compose(f"select columns(*)::varchar{stamp} from ({rows})")
+
+
 def _calendar(start: str, end: str, key: str, first: str = "1") -> str:
     return f"select row_number() over (order by FullDate) - 1 + {first} as {key}, FullDate, {_CALENDAR_COLUMNS} from (select cast(unnest(generate_series(cast({start} as timestamp), cast({end} as timestamp), interval 1 day)) as date) as FullDate)"
 
@@ -600,6 +607,7 @@ def _load_counts() -> dict:
 
 def statements() -> dict[str, str]:
     found = {f"stage_{name}": staging_report(spec) for name, spec in STAGES.items()}
+    found |= {f"staged_{name}": staged_rows(spec) for name, spec in STAGES.items()}
     found |= _calendars()
     for name in MART_OF:
         found[f"dim_{snake(name)}_first"] = _dimension("e", name)
