@@ -29,11 +29,12 @@ def op2_sentencepiece_dropout(spark: SparkSession, directory: str) -> DataFrame:
 
 def op3_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     """Three batches: every document, then without its repeated lines, then without copies; the first is sent twice."""
-    docs, rollups = _table(spark, directory, "documents"), token_counts.Rollups(spark, Scratch(spark, "tokens").path("rollups"))
+    docs, scratch = _table(spark, directory, "documents"), Scratch(spark, "tokens")
+    rollups = token_counts.Rollups(spark, scratch.path("rollups"))
     rollups.apply("1-load", token_counts.counted(docs))
     rollups.apply("2-revise", token_counts.counted(token_counts.revised(docs)))
     rollups.apply("1-load", token_counts.counted(docs))
-    rollups.apply("3-copies", deleted=token_counts.copies(docs))
+    rollups.apply("3-copies", deleted=token_counts.copies(docs, scratch))
     return rollups.totals()
 
 

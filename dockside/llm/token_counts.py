@@ -17,7 +17,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockside.llm.storage import text_slices
+from dockside.llm.storage import Scratch, text_slices
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's texts fall into words before merging: a fixed value that belongs to the vocabulary.
@@ -124,10 +124,11 @@ class Rollups:
         return True
 
 
-def copies(docs: DataFrame) -> DataFrame:
+def copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(key): documents whose text a document with a smaller id has; null texts and ids are no copies."""
     named = docs.where("doc_id is not null and text is not null").select("doc_id", F.sha2("text", 256).alias("digest"))
-    first = named.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    # a table of its own: joined straight after the aggregate, the copies of one text could not be split among tasks
+    first = scratch.keep(named.groupBy("digest").agg(F.min("doc_id").alias("first")), "first")
     later = named.join(first, "digest").where("doc_id > first")
     return later.select(F.col("doc_id").cast("string").alias("key")).distinct()
 

@@ -50,6 +50,14 @@ def coded(texts: pa.Array) -> Words:
 
 
 def _buckets(names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word buckets, n-gram buckets, and where each word's n-grams begin; some thousand words at a time."""
+    parts = [_some_buckets(names[k : k + 8 * _CHUNK]) for k in range(0, len(names), 8 * _CHUNK)] or [_some_buckets([])]
+    before = np.cumsum([0, *[len(gram) for _, gram, _ in parts]])
+    starts = [s[:-1] + b for (_, _, s), b in zip(parts, before)]
+    return np.concatenate([w for w, _, _ in parts]), np.concatenate([g for _, g, _ in parts]), np.concatenate([*starts, before[-1:]])
+
+
+def _some_buckets(names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     codes = np.frombuffer("".join(f"\x02{n}\x03" for n in names).encode("utf-32-le"), np.uint32).astype(np.uint64)
     lengths = np.fromiter((len(n) + 2 for n in names), np.int64, len(names))
     starts = np.concatenate(([0], np.cumsum(lengths)))
@@ -69,7 +77,7 @@ def _buckets(names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         owner.append(np.searchsorted(starts, at, side="right") - 1)
     gram, owner = np.concatenate(found), np.concatenate(owner)
     order = np.argsort(owner, kind="stable")
-    return word.astype(np.int64), gram[order].astype(np.int64), np.searchsorted(owner[order], np.arange(len(names) + 1))
+    return word.astype(np.int32), gram[order].astype(np.int32), np.searchsorted(owner[order], np.arange(len(names) + 1))
 
 
 def windows_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -129,10 +137,12 @@ class Model:
         some = np.nonzero(sizes)[0]  # the rest have no letter
         out[:-1, :EMBED] = self.p["word"][words.word]
         out[:-1, -2] = self.word_odds[words.word]
-        if len(some):
-            starts = words.gram_starts[some]
-            out[some, EMBED : 2 * EMBED] = np.add.reduceat(self.p["gram"][words.gram], starts, axis=0) / sizes[some][:, None] ** 0.5
-            out[some, -1] = np.maximum.reduceat(self.gram_odds[words.gram], starts)
+        for at in range(0, len(some), 8 * _CHUNK):
+            part = some[at : at + 8 * _CHUNK]
+            begin, end = words.gram_starts[part[0]], words.gram_starts[part[-1] + 1]
+            gram, starts = words.gram[begin:end], words.gram_starts[part] - begin
+            out[part, EMBED : 2 * EMBED] = np.add.reduceat(self.p["gram"][gram], starts, axis=0) / sizes[part][:, None] ** 0.5
+            out[part, -1] = np.maximum.reduceat(self.gram_odds[gram], starts)
         return out, sizes
 
     def run(self, x: np.ndarray, windows: np.ndarray, keep: bool = False):
@@ -211,7 +221,7 @@ class Model:
         return np.where(np.isfinite(best), _sigmoid(best), self.empty)
 
 
-def _odds(buckets: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
+def _odds(buckets: Iterator[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
     """Smoothed log odds of label 1 given a bucket, against those of all texts; 0 where label 1 has under three texts."""
     there = np.zeros((2, size))
     for b, label in zip(buckets, labels):
@@ -232,9 +242,9 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
         return model
     words = coded(pa.array(texts, pa.string()))
     in_text = [np.unique(words.ids[s:e]) for s, e in zip(words.starts, words.starts[1:])]
-    model.word_odds = _odds([np.unique(words.word[i]) for i in in_text], labels, WORD_BUCKETS)
-    grams = lambda i: np.unique(np.concatenate([words.gram[words.gram_starts[k] : words.gram_starts[k + 1]] for k in i] or [[]])).astype(np.int64)
-    model.gram_odds = _odds([grams(i) for i in in_text], labels, GRAM_BUCKETS)
+    model.word_odds = _odds((np.unique(words.word[i]) for i in in_text), labels, WORD_BUCKETS)
+    sizes = np.diff(words.gram_starts)
+    model.gram_odds = _odds((np.unique(words.gram[runs(words.gram_starts[i], sizes[i])]) for i in in_text), labels, GRAM_BUCKETS)
     windows, text = windows_of(words)
     # before the first round: the window whose words' label counts say most
     strong = model.inputs(words)[0][:, -2:].max(axis=1)

@@ -232,7 +232,7 @@ def _two_nights(spark, directory):
     s, warehouse = Sources(spark, directory), MemoryWarehouse()
     early = _loaded_earlier("hr", spark, directory)
     for step, sources, day in [
-        ("dimensions_first", s, HR_RUN_1), ("facts_first", early, HR_LAST_LOAD), ("facts_update", s, HR_RUN_DATE), ("facts_update", s, HR_RUN_DATE),
+        ("dimensions_first", Sources(spark, directory, "v1"), HR_RUN_1), ("facts_first", early, HR_LAST_LOAD), ("facts_update", s, HR_RUN_DATE), ("facts_update", s, HR_RUN_DATE),
     ]:
         run_load(f"hr_{step}", Run(spark, warehouse, sources, day, calendar=(CALENDAR_START, CALENDAR_END)))
     result = None
