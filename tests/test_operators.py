@@ -171,7 +171,9 @@ def test_increment_techniques(spark):
     assert sorted((r.k, r.ChangeType) for r in increment.append_unseen(current, make((2, 99), (3, 30)), ["k"]).collect()) == [(1, "kept"), (2, "kept"), (3, "inserted")]
     merged = sorted((r.k, r.v, r.ChangeType) for r in increment.merge(current, make((2, 21), (3, 30)), ["k"], ["v"]).collect())
     assert merged == [(1, 10, "kept"), (2, 21, "updated"), (3, 30, "inserted")]
-    replaced = sorted((r.k, r.v) for r in increment.replace_period(current, make((2, 22), (2, 23)), "k", 2).collect())
+    replaced = sorted((r.k, r.v) for r in increment.replace_period(current, make((2, 22), (2, 23)), "k", make((2, 0))).collect())
     assert replaced == [(1, 10), (2, 22), (2, 23)]
+    assert increment.replace_period(current, make(), "k", make()).drop("ChangeType").exceptAll(current).isEmpty()
+    assert increment.replace_period(current, make(), "k", make()).count() == current.count()  # a period without a known day drops nothing
     dated = spark.createDataFrame([(day(f"2024-01-0{i}"),) for i in range(1, 6)], "d date")
     assert [str(r.d) for r in increment.in_window(dated, "d", "2024-01-02", "2024-01-04").collect()] == ["2024-01-03", "2024-01-04"]

@@ -93,5 +93,5 @@ def test_filters_and_columns_reach_the_staged_files(spark, small, tmp_path):
     tables = {name.removeprefix("hr."): table for name, table in warehouse.tables().items()}
     current = hr.attendance(tables, tables)
     plan = plan_of(hr.update_attendance(current, tables, tables, "2024-01-15", "2024-01-31"))
-    assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(AttendanceDate,2024-01-15\)", plan)
+    assert re.search(r"PushedFilters: \[[^\]]*LessThanOrEqual\(AttendanceDate,2024-01-31\)", plan)
     assert "HoursWorked" not in plan
