@@ -3,11 +3,11 @@ gives the same tables on any cluster. Child rows point at existing parents."""
 
 from pyspark.sql import DataFrame, SparkSession
 
-FIRST_DAY = "2023-01-01"
-# Fixed values
-CONTAINER_TYPES = "20ft Dry,40ft Dry,20ft Reefer,40ft Reefer,40ft HighCube"
-EQUIPMENT_TYPES = "Crane,Forklift,Reach Stacker,Straddle Carrier,Yard Truck"
-USAGE = "IMPORT,EXPORT,EMPTY"
+FIRST_DAY = "2022-03-01"
+CONTAINER_TYPES = "array('Short box', 'Long box', 'Cooled short box', 'Cooled long box', 'Open top')"
+EQUIPMENT_TYPES = "array('Gantry', 'Lift truck', 'Quay tractor', 'Spreader', 'Tower lift')"
+USAGE = "array('INBOUND', 'OUTBOUND', 'STORAGE')"
+MOVES = "array('ARRIVE', 'LEAVE', 'SHIFT')"
 
 
 def _pick(count: int, salt: str, seed: int) -> str:
@@ -16,14 +16,14 @@ def _pick(count: int, salt: str, seed: int) -> str:
 
 
 def _of(values: str, index: str) -> str:
-    return f"element_at(split('{values}', ','), cast({index} as int))"
+    return f"element_at({values}, cast({index} as int))"
 
 
 def port_tables(spark: SparkSession, operations: int = 1_000_000, assignments: int = 1_000_000, movements: int = 200_000, seed: int = 1) -> dict[str, DataFrame]:
     ports, voyages, calls, containers, equipment, employees, ships = 20, 500, 1000, 10_000, 50, 100, 20
     yards, berths, slots = ports * 3, ports * 5, ports * 150
     pick = lambda count, salt: _pick(count, salt, seed)
-    moment = lambda salt: f"timestampadd(SECOND, cast({pick(86400 * 700, salt)} as int), timestamp_ntz'{FIRST_DAY} 00:00:00')"
+    moment = lambda salt: f"timestampadd(SECOND, cast({pick(86400 * 500, salt)} as int), timestamp_ntz'{FIRST_DAY} 00:00:00')"
     day = lambda salt, span: f"date_add(date'{FIRST_DAY}', -cast({pick(span, salt)} as int))"
     # a call belongs to one voyage, a berth and a yard to one port: parents follow from the row number
     port_of = f"pmod(id, {ports}) + 1"
@@ -50,16 +50,16 @@ def port_tables(spark: SparkSession, operations: int = 1_000_000, assignments: i
         "CargoOperation": (
             operations,
             f"id as CargoOpID, {pick(calls, 'call')} as PortCallID, {pick(containers, 'box')} as ContainerID, if({pick(2, 'way')} = 1, 'LOAD', 'UNLOAD') as OperationType, "
-            f"{moment('worked')} as OperationDateTime, cast({pick(5, 'amount')} as int) as Quantity, ({pick(3950, 'weight')} + 49) / 100.0 as WeightKG",
+            f"{moment('worked')} as OperationDateTime, cast({pick(8, 'amount')} as int) as Quantity, ({pick(2400, 'weight')} + 300) / 100.0 as WeightKG",
         ),
         "OperationEquipmentAssignment": (
             assignments,
             f"id as AssignmentID, pmod(id, {operations}) + 1 as CargoOpID, {pick(equipment, 'machine')} as EquipmentID, {pick(employees, 'driver')} as EmployeeID, "
-            f"{moment('start')} as StartTime, timestampadd(MINUTE, cast(9 + {pick(121, 'minutes')} as int), {moment('start')}) as EndTime",
+            f"{moment('start')} as StartTime, timestampadd(MINUTE, cast(4 + {pick(80, 'minutes')} as int), {moment('start')}) as EndTime",
         ),
         "ContainerYardMovement": (
             movements,
-            f"id as MovementID, pmod(id, {containers}) + 1 as ContainerID, pmod(id, {slots}) + 1 as YardSlotID, {_of('IN,OUT,RELOCATE', pick(3, 'move'))} as MovementType, {moment('moved')} as MovementDateTime",
+            f"id as MovementID, pmod(id, {containers}) + 1 as ContainerID, pmod(id, {slots}) + 1 as YardSlotID, {_of(MOVES, pick(3, 'move'))} as MovementType, {moment('moved')} as MovementDateTime",
         ),
     }
     return {name: spark.sql(f"select {text} from range(1, {rows + 1})") for name, (rows, text) in columns.items()}
