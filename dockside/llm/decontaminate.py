@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from dockside.llm.storage import text_slices
+from dockside.llm.storage import small_batches, text_slices
 from dockside.llm.words import read_words, runs
 
 K1, B = 1.2, 0.75
@@ -195,7 +195,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     columns = list(zip(*rows)) or [[]] * len(names)
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-        part = source.mapInArrow(run, schema)
+        part = small_batches(source).mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
     return source.sparkSession.createDataFrame([], schema) if out is None else out
 
@@ -214,5 +214,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                             keep[d] = False
                     yield part.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = small_batches(docs).mapInArrow(run, docs.schema)
     return docs

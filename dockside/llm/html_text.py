@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from dockside.llm.storage import text_slices
+from dockside.llm.storage import small_batches, text_slices
 
 SIGMA, REACH = 1.0, 2  # of the Gaussian, in lines
 HOLDS = 0.9  # share of the clusters' text that the innermost element must hold
@@ -217,4 +217,4 @@ def extract(pages: DataFrame) -> DataFrame:
                     ["page_id", "url", "text", "n_chars"],
                 )
 
-    return source.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return small_batches(source).mapInArrow(run, "page_id long, url string, text string, n_chars long")

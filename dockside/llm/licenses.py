@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from dockside.llm.storage import text_slices
+from dockside.llm.storage import small_batches, text_slices
 from dockside.llm.words import read_words
 
 SHINGLE, WINNOW = 3, 4
@@ -164,4 +164,4 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataF
                     rows += [(own, name, coverage, places[first][0], places[end - 1][1]) for name, coverage, first, end in matches]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 5, kinds)], names)
 
-    return source.mapInArrow(run, schema)
+    return small_batches(source).mapInArrow(run, schema)

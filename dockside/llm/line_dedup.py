@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockside.llm.storage import Scratch, text_slices
+from dockside.llm.storage import Scratch, small_batches, text_slices
 
 UNIT_WORDS = 4
 LEAST_WORDS = 20  # 1: every repeated line goes, whatever its length
@@ -62,7 +62,7 @@ def unit_table(docs: DataFrame) -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.int64(), pa.int64(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def removed_runs(repeated: list[tuple[int, int, int, int]], least: int = LEAST_WORDS) -> list[tuple[int, int]]:
@@ -113,4 +113,4 @@ def dedup(spark: SparkSession, docs: DataFrame, least: int = LEAST_WORDS) -> Dat
                     spans.append([{"start": s, "stop": e} for s, e in gone])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.string()), pa.array(spans, kind)], ["doc_id", "text", "removed"])
 
-    return joined.mapInArrow(run, "doc_id long, text string, removed array<struct<start:int,stop:int>>")
+    return small_batches(joined).mapInArrow(run, "doc_id long, text string, removed array<struct<start:int,stop:int>>")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockside.llm.components import roots
-from dockside.llm.storage import Scratch
+from dockside.llm.storage import Scratch, small_batches
 
 SEED, SHINGLE, RADIUS, BITS = 42, 4, 4, 64
 GROUP_LIMIT = 2048
@@ -61,7 +61,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             values = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, "id long, fp long")
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    return small_batches(source).mapInArrow(run, "id long, fp long")
 
 
 def covering_masks(bits: list[int], radius: int = RADIUS) -> list[int]:

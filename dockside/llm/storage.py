@@ -33,6 +33,20 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
 
+BATCH_ROWS = 1024
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with batches of at most ``BATCH_ROWS`` rows between Spark and Python in its session.
+
+    The default of 10,000 rows suits numbers; as whole texts, such a batch takes more memory than the work on it.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose texts take about ``limit`` bytes together; a longer text makes a slice of its own, whole."""
     if not batch.num_rows:

@@ -17,7 +17,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockside.llm.storage import Scratch, text_slices
+from dockside.llm.storage import Scratch, small_batches, text_slices
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's texts fall into words before merging: a fixed value that belongs to the vocabulary.
@@ -65,7 +65,7 @@ def counted(docs: DataFrame, tokenizers: dict[str, Callable] = TOKENIZERS) -> Da
                     version = pa.array([name] * part.num_rows)
                     yield pa.RecordBatch.from_arrays([*part.columns[:3], version, count(part.column("text"))], ["key", *GROUP, "n_tokens"])
 
-    return source.mapInArrow(run, "key string, source string, lang string, tokenizer string, n_tokens long")
+    return small_batches(source).mapInArrow(run, "key string, source string, lang string, tokenizer string, n_tokens long")
 
 
 class Rollups:

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from dockside.llm.storage import text_slices
+from dockside.llm.storage import small_batches, text_slices
 from dockside.llm.words import read_words, runs
 
 WINDOW, STRIDE = 32, 16
@@ -25,7 +25,7 @@ EMBED, HIDDEN = 8, 8
 SAMPLE = 1500  # labelled texts of each class that training takes at most
 SAMPLE_CHARS = 20_000  # longer texts are scored whole, but not trained on
 ROUNDS, MOST_ROUNDS, STEPS, BATCH, RATE = 6, 30, 300, 128, 0.01  # a small sample gets more rounds, up to STEPS steps
-_SLICE = 4 << 20  # bytes of text whose words are coded together
+_SLICE = 2 << 20  # bytes of text whose words are coded together
 _CHUNK = 2048  # windows that pass through the network together
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -339,4 +339,4 @@ def score(docs: DataFrame, model: Model, keep_below: float | None = None) -> Dat
                 else:
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values)], [*part.schema.names, "score"])
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
