@@ -119,6 +119,27 @@ def test_seeds_vary_and_repeat(own):
     assert len(own.encode([LONG], rate=0.0)[0]) < len(own.encode([LONG], rate=0.1)[0]) < len(own.encode([LONG], rate=1.0)[0])
 
 
+def test_occurrences_of_a_word_vary_within_a_seed(own):
+    ids = own.encode([" ".join(["international"] * 500)])[0]
+    raw, found, word = [own.bytes[own.byte_start[k] :][: own.byte_size[k]].tobytes() for k in ids.tolist()], set(), ()
+    for piece in [*raw, b" "]:
+        if piece.startswith(b" ") and word:
+            found.add(word)
+            word = ()
+        word += (piece,)
+    assert {b"".join(w) for w in found} == {b" international"} and len(found) > 20
+    one, other = (own.encode([f"{head} " + "the " * 50])[0].tolist() for head in ("a", "b"))
+    assert one[-80:] != other[-80:]
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.5])
+def test_shared_merges_are_those_of_each_occurrence(own, rate):
+    text = LONG[:30000] + " 日本 Überraschung" * 4 + " aab" * 50 + (" " + "xy" * 60) * 4
+    words = pieces._WORD.findall(" " + text)
+    key = (pieces.xxhash.xxh64_intdigest(text) + pieces.key_of("7")) & pieces._MASK
+    assert own.encode([text, text], "7", rate)[0].tolist() == own.merge(words, key, rate)[0].tolist() * 2
+
+
 def test_heap_and_arrays_run_the_same_agenda(own, monkeypatch):
     words = sorted({w for w in pieces._WORD.findall(" " + LONG)})[:800] + [" Überraschung", "   日本 ", " " + "aab" * 30]
     side = own.merge(words, pieces.key_of("7"), 0.3)
