@@ -66,7 +66,7 @@ def op7_license_scans(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
-    found = line_dedup.dedup(spark, _table(spark, directory, "documents"))
+    found = line_dedup.dedup(spark, _table(spark, directory, "documents"), lines=True)
     return found.select(
         "doc_id",
         "text",

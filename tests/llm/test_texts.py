@@ -129,6 +129,35 @@ def test_repeated_units_leave_all_but_the_first(spark, small, least):
     assert line_dedup.dedup(spark, awkward(spark, []), least).count() == 0
 
 
+def test_registered_dedup_keeps_each_line_once(spark, small):
+    rows = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    plain = lambda line: " ".join(line.lower().split())
+    first, again = {}, 0
+    for doc, text in sorted(rows.items()):
+        for n, line in enumerate(text.split("\n")):
+            again += first.setdefault(plain(line), (doc, n)) != (doc, n) and bool(line.strip())
+    assert again > 0
+    for r in registry()["op8_substring_dedup"](spark, small).collect():
+        spans = [tuple(map(int, s.split(":"))) for s in r.removed_spans.split(",") if s]
+        assert r.text == line_dedup.without(rows[r.doc_id], spans) and spans == sorted(spans)
+        at = 0
+        for n, line in enumerate(rows[r.doc_id].split("\n")):
+            gone = "".join(line[max(s - at, 0) : max(e - at, 0)] for s, e in spans)
+            if line.strip() and first[plain(line)] != (r.doc_id, n):
+                assert gone.strip() == line.strip()
+            at += len(line) + 1
+
+
+def test_short_lines_go_and_short_parts_of_lines_stay(spark):
+    texts = [
+        (60, "Read more here.\nA line of two sentences here. It comes back with other capitals. \nOnly here"),
+        (61, "read more here.\na line of two sentences here. it comes back with other capitals.\nNothing else here. It comes back with other capitals. So"),
+        (62, "x\n\n x \nx"),
+    ]
+    got = {r.doc_id: r.text for r in line_dedup.dedup(spark, awkward(spark, texts), lines=True).collect()}
+    assert got[60] == texts[0][1] and got[61] == "\n" + texts[1][1].split("\n")[2] and got[62] == "x\n\n"
+
+
 def test_units_cover_every_word():
     for text in (LONG, "a. B c. " * 9, "É x\n\n  y z.\tW"):
         assert " ".join(text[s:e] for s, e, _, _ in line_dedup.units(text)).split() == text.split()
