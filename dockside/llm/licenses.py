@@ -4,12 +4,16 @@ Templates are cut into three-word shingles; of every ``WINNOW`` neighbouring shi
 into an inverted index (shingle -> template and place). Every shingle of a document is looked up, so that a template which
 stands in a text whole is always found. Hits that lie on nearby diagonals make one candidate; it is aligned with the template
 word by word within a band around its diagonal. The share of template words matched in order is the coverage.
+
+Licenses that stand in a text whole have a template for each paragraph (``*-text``), so each paragraph gives a row of its own.
 """
 
 from __future__ import annotations
 
+import operator
 import re
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +28,34 @@ SHINGLE, WINNOW = 3, 4
 COVERAGE = 0.85
 _SLICE = 4 << 20
 
-#: name, text: short notices and the usual headers of public licenses.
+PARAGRAPH = 12  # words that a paragraph's template has at least: headings go with what follows
+
+
+def paragraphs(name: str, text: str) -> list[tuple[str, str]]:
+    """``text`` as templates of one name: its paragraphs, short ones together with the next, the last with the one before."""
+    parts: list[str] = []
+    for paragraph in re.split(r"\n\s*\n", text.strip()):
+        if parts and len(re.findall(r"\S*[^\W_]\S*", parts[-1])) < PARAGRAPH:
+            parts[-1] += "\n\n" + paragraph
+        else:
+            parts.append(paragraph)
+    if len(parts) > 1 and len(re.findall(r"\S*[^\W_]\S*", parts[-1])) < PARAGRAPH:
+        parts[-2:] = ["\n\n".join(parts[-2:])]
+    return [(name, part) for part in parts]
+
+
+_TEXTS = Path(__file__).parent / "license_texts"
+_BODIES = [
+    ("MIT-warranty", 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'),
+    ("BSD-text", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("BSD-text", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-text", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD-text", 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'),
+    ("ISC-warranty", 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'),
+    *[(f"{name}-text", part) for name in ("Apache-2.0", "GPL-3.0", "MPL-2.0") for _, part in paragraphs(name, (_TEXTS / f"{name}.txt").read_text())],
+]
+
+#: name, text: short notices and the usual headers of public licenses, then the paragraphs of whole licenses.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0-header", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
@@ -39,8 +70,16 @@ TEMPLATES = [
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *_BODIES,
 ]
 
+#: Notices that reserve rights instead of granting any.
+NOTICES = [
+    ("All-rights-reserved", "All rights reserved."),
+    ("Proprietary", "Proprietary and confidential."),
+    ("Unauthorized-copying", "Unauthorized copying of this file, via any medium, is strictly prohibited."),
+]
+
 
 def align(template: list[int], words: list[int], diagonal: int, band: int) -> tuple[int, int, int]:
     """(matched, first, end): the most template words matched in order by ``words``, and the words that they span.
@@ -49,18 +88,19 @@ def align(template: list[int], words: list[int], diagonal: int, band: int) -> tu
     the one with the shortest span is taken.
     """
     width, none = 2 * band + 1, (0, 0, 0)  # (matched, -span, first) of the best alignment that ends at or before a place
+    latest = operator.itemgetter(0, 2)  # whatever follows, of two that match as much the one that begins later spans less
     above = [none] * (width + 2)
     best = none
     for i, want in enumerate(template):
         row = [none] * (width + 2)
         for k in range(1, width + 1):
             j = i + diagonal + k - 1 - band
-            take = max(above[k + 1], row[k - 1], key=lambda x: x[:2])
+            take = max(above[k + 1], row[k - 1], key=latest)
             if 0 <= j < len(words) and words[j] == want:
                 matched, _, first = above[k]
                 first = first if matched else j
-                take = max(take, (matched + 1, first - j - 1, first), key=lambda x: x[:2])
-            elif above[k][0] > take[0]:
+                take = max(take, (matched + 1, first - j - 1, first), key=latest)
+            elif latest(above[k]) > latest(take):
                 take = above[k]
             row[k] = take
             best = max(best, take, key=lambda x: x[:2])

@@ -84,6 +84,30 @@ def test_license_lines_of_the_table(spark, small):
     assert got == sorted(want)
 
 
+def test_every_notice_of_the_table(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    got = sorted((r.doc_id, r.start, r.license) for r in licenses.scan(docs, licenses.TEMPLATES + licenses.NOTICES).collect())
+    notices = {name: text for name, text in licenses.TEMPLATES + licenses.NOTICES if len(text) < 80 and not name.endswith("-text")}
+    want = [(r.doc_id, m.start(), name) for r in docs.collect() for name, text in notices.items() for m in re.finditer(re.escape(text), r.text)]
+    assert got == sorted(want) and sum(name == "All-rights-reserved" for _, _, name in got) == 3
+
+
+@pytest.mark.parametrize("name", ["Apache-2.0", "GPL-3.0", "MPL-2.0"])
+def test_whole_licenses_are_covered_to_their_end(spark, name):
+    text = (licenses._TEXTS / f"{name}.txt").read_text()
+    rows = sorted(licenses.scan(awkward(spark, [(35, text)])).collect(), key=lambda r: r.start)
+    assert all(r.coverage == 1 for r in rows) and len(rows) > 20
+    rest = "".join(text[a:b] for a, b in zip([0, *[r.stop for r in rows]], [*[r.start for r in rows], len(text)]))
+    assert not re.search(r"[^\W_]", rest)
+
+
+def test_mit_with_its_warranty_ends_at_its_end(spark):
+    parts = dict(licenses.TEMPLATES)
+    text = f"Copyright (c) 2020 Someone\n\n{parts['MIT-text']}\n\n{parts['MIT-warranty']}"
+    rows = licenses.scan(awkward(spark, [(36, text)])).collect()
+    assert [(r.license, r.coverage) for r in rows] == [("MIT-text", 1), ("MIT-warranty", 1)] and text[rows[1].stop :] in ("", ".")
+
+
 def test_alignment_counts_the_longest_common_order_in_the_band():
     rng = random.Random(5)
     for _ in range(60):
