@@ -34,10 +34,12 @@ def append(current: DataFrame, built: DataFrame) -> DataFrame:
     return _tag(current, "kept").unionByName(_tag(built, "inserted"))
 
 
-def open_or_unseen(staged: DataFrame, day, key: str, current: DataFrame, loaded_day: str) -> DataFrame:
-    """Staged rows of the latest day already loaded or a later one, and older ones whose ``key`` is not loaded."""
+def open_or_unseen(staged: DataFrame, day, key: str, current: DataFrame, loaded_day: str, again: DataFrame | None = None) -> DataFrame:
+    """Staged rows of the latest day already loaded or a later one, and older ones whose ``key`` is not loaded or in ``again``."""
     latest = current.agg(F.coalesce(F.max(loaded_day), F.lit("0001-01-01").cast("date"))).scalar()
     loaded = current.select(F.col(key).alias("_loaded")).distinct()
+    if again is not None:
+        loaded = loaded.join(again.select(F.col(key).alias("_loaded")), "_loaded", "left_anti")
     marked = staged.join(loaded, staged[key] == F.col("_loaded"), "left")
     return marked.where((day >= latest) | F.col("_loaded").isNull()).select(*staged.columns)
 

@@ -240,14 +240,20 @@ def update_payments(current, s, d) -> DataFrame:
 
 
 def update_billing_snapshot(current, s, d) -> DataFrame:
-    """The latest loaded month, which was still open, is counted anew; later months come in, and older rows not loaded yet."""
+    """The latest loaded month, which was still open, is counted anew; later months come in, and so do older rows that are not
+    loaded yet or whose totals a later invoice, line or payment has changed."""
     keys, days = ["DimCustomerID", "DimDateID", "DimBillingCycleID"], d["DimDate"].select("DimDateID", F.col("FullDate").alias("_month"))
     latest = current.join(days, "DimDateID").agg(F.coalesce(F.max("_month"), F.lit("0001-01-01").cast("date"))).scalar()
     period = days.where(F.col("_month") >= latest).select("DimDateID")
     built = billing_snapshot(s, d)
-    late = increment.unseen(current, built.join(period, "DimDateID", "left_anti").select(*built.columns), keys)
-    again = built.join(period, "DimDateID", "left_semi").select(*built.columns)
-    return increment.replace_period(current, again.unionByName(late), "DimDateID", period)
+    totals = [c for c in built.columns if c not in keys]
+    published = current.select(*keys, F.lit(True).alias("_loaded"), *[F.col(c).alias(f"_{c}") for c in totals])
+    same = F.col("_loaded").isNotNull() & F.col("_month").isNull()
+    for c in totals:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    months = days.where(F.col("_month") >= latest)
+    fresh = built.join(published, keys, "left").join(months, "DimDateID", "left").where(~same).select(*built.columns)
+    return increment.replace_keys(current.join(period, "DimDateID", "left_anti").select(*current.columns), fresh, keys, fresh)
 
 
 def update_invoice_lifecycle(current, s, d) -> DataFrame:

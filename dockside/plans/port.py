@@ -142,10 +142,24 @@ def update_container_movements(current, s, d) -> DataFrame:
     return increment.rebuild(container_movements(s, d))
 
 
+def recounted_calls(current, s) -> DataFrame:
+    """PortCallID of the loaded calls whose allocations at a berth or whose operations are no longer as many as published."""
+    zero = F.lit(0).cast("bigint")
+    published = current.select("PortCallID", "BerthID", F.col("AllocationCount").alias("_allocations"), F.col("TotalOps").alias("_ops"))
+    allocations = s["BerthAllocation"].groupBy("PortCallID", "BerthID").agg(F.count("AllocationID").alias("AllocationCount"))
+    operations = s["CargoOperation"].groupBy("PortCallID").agg(F.count("CargoOpID").alias("TotalOps"))
+    counted = current.select("PortCallID").distinct().join(allocations, "PortCallID", "left").join(operations, "PortCallID", "left")
+    counted = counted.withColumn("BerthID", F.coalesce("BerthID", F.lit(-1).cast("bigint")))
+    both = published.join(counted, ["PortCallID", "BerthID"], "full_outer")
+    same = F.col("_allocations").eqNullSafe(F.coalesce("AllocationCount", zero)) & F.col("_ops").eqNullSafe(F.coalesce("TotalOps", zero))
+    return both.where(~same).select("PortCallID").distinct()
+
+
 def update_port_call_snapshot(current, s, d) -> DataFrame:
-    """Calls of the latest loaded day and later ones are counted anew, and older calls that are not loaded come in; only the
-    allocations and operations of these calls are read."""
-    calls = increment.open_or_unseen(s["PortCall"], F.col("ArrivalDateTime").cast("date"), "PortCallID", current, "FullDate")
+    """Calls of the latest loaded day and later ones are counted anew, and so are older calls that are not loaded or whose
+    allocations or operations have changed in number since; the other rows are kept."""
+    day = F.col("ArrivalDateTime").cast("date")
+    calls = increment.open_or_unseen(s["PortCall"], day, "PortCallID", current, "FullDate", recounted_calls(current, s))
     fresh = {"PortCall": calls}
     for table in ("BerthAllocation", "CargoOperation"):
         fresh[table] = s[table].join(calls.select("PortCallID"), "PortCallID", "left_semi")

@@ -137,6 +137,23 @@ def test_same_day_and_late_calls_and_an_open_month(spark, small):
     assert state.join(month, "DimDateID").exceptAll(finance.billing_snapshot(s, d).join(month, "DimDateID")).isEmpty()
 
 
+def test_later_operations_and_payments_reach_older_rows(spark, small):
+    s, d = Sources(spark, small), Dimensions(spark, small, "port")
+    early = Overlay(s, CargoOperation=s["CargoOperation"].where("pmod(hash(CargoOpID), 9) <> 1"), BerthAllocation=s["BerthAllocation"].where("pmod(hash(AllocationID), 8) <> 1"))
+    first, whole = port.port_call_snapshot(early, d), port.port_call_snapshot(s, d)
+    assert not first.exceptAll(whole).isEmpty()
+    state = port.update_port_call_snapshot(first, s, d)
+    assert state.drop("ChangeType").exceptAll(whole).isEmpty() and state.count() == whole.count()
+    assert not state.where("ChangeType = 'kept'").isEmpty()
+    d = Dimensions(spark, small, "finance")
+    early = Overlay(s, Payment=s["Payment"].where("pmod(hash(PaymentID), 9) <> 1"), Invoice=s["Invoice"].where("pmod(hash(InvoiceID), 9) <> 1"))
+    first, whole = finance.billing_snapshot(early, d), finance.billing_snapshot(s, d)
+    assert first.join(whole, first.columns, "left_semi").count() < first.count()
+    state = finance.update_billing_snapshot(first, s, d)
+    assert state.drop("ChangeType").exceptAll(whole).isEmpty() and state.count() == whole.count()
+    assert not state.where("ChangeType = 'kept'").isEmpty()
+
+
 def test_a_replaced_period_an_empty_one_and_many_appends(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "w"))
     table = lambda rows: spark.createDataFrame(rows, "MonthDateKey long, Hours long, ChangeType string")
