@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockside.llm import decontaminate, html_text, licenses, line_dedup, pieces, quality_rules, secret_scan, simhash, token_counts, toxicity
-from dockside.llm.statements import QUALITY, SECRETS
+from dockside.llm import (
+    decontaminate, html_text, licenses, line_dedup, log_bilinear, pieces, prefix_trie, quality_rules, secret_scan, simhash, spelling, token_counts, toxicity,
+)
+from dockside.llm.statements import QUALITY, SECRETS, SPELLING, TRIE
 from dockside.llm.storage import Scratch
 
 
@@ -84,13 +86,26 @@ def op10_html_extraction(spark: SparkSession, directory: str) -> DataFrame:
     return html_text.extract(_table(spark, directory, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, directory: str) -> DataFrame:
+    return spelling.variants(spark, _table(spark, directory, "documents"))
+
+
+def op12_lm_scoring(spark: SparkSession, directory: str) -> DataFrame:
+    return log_bilinear.score(spark, _table(spark, directory, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, directory: str) -> DataFrame:
+    return prefix_trie.trie(spark, _table(spark, directory, "conversations"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_toxicity, op2_sentencepiece_dropout, op3_token_counts, op4_secret_scans, op5_quality_rules, op6_simhash_near_dedup, op7_license_scans,
-        op8_substring_dedup, op9_benchmark_decontamination, op10_html_extraction,
+        op8_substring_dedup, op9_benchmark_decontamination, op10_html_extraction, op11_spelling_variants, op12_lm_scoring,
+        op13_conversation_trie,
     )
     return {f.__name__: f for f in found}
 
 
 def statements() -> dict[str, str]:
-    return {"op4_secret_scans": SECRETS, "op5_quality_rules": QUALITY}
+    return {"op4_secret_scans": SECRETS, "op5_quality_rules": QUALITY, "op11_spelling_variants": SPELLING, "op13_conversation_trie": TRIE}
