@@ -13,6 +13,7 @@ it, from which follow the centroids; the stored jumps also give the path from a
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,27 +31,21 @@ def subtree_sums(nodes: DataFrame, values: Sequence[str], scratch: Scratch, loca
     """
     values = list(values)
     open_ = scratch.keep(nodes.select("id", F.col("parent").alias("up"), *[F.col(v).cast("long").alias(v) for v in values]), "forest-0")
-    done, paths, cuts, turn = [], [], [], 0
-    totals = []
+    done, paths, cuts, totals, turn = [], [], [], [], 0
     while True:
-        jumps = _jumps(open_, scratch, turn)
-        placed = scratch.keep(open_.join(jumps[-1].select("id", "top", "below"), "id"), f"placed-{turn}")
-        # a component's total goes to the centroid that it hung on
-        hung = placed.where("id = top").select("top", F.col("below").alias("_size"))
-        sized = placed.join(hung, "top")
-        parts = placed.groupBy("top").agg(*[F.sum(v).alias(v) for v in values])
-        totals.append(scratch.keep(parts, f"totals-{turn}"))
+        steps, tops, below = _jumps(open_, scratch, turn)
+        placed = scratch.keep(open_.join(tops, "id").join(below, "id", "left").withColumn("below", 1 + F.coalesce("below", F.lit(0))), f"placed-{turn}")
+        sized = placed.join(placed.where("id = top").select("top", F.col("below").alias("_size")), "top")
+        totals.append(scratch.keep(placed.groupBy("top").agg(*[F.sum(v).alias(v) for v in values]), f"totals-{turn}"))
         small = sized.where(F.col("_size") <= local)
         done.append(scratch.keep(_decomposed(small.select("top", "id", "up", *values), values), f"sums-{turn}"))
         large = sized.where(F.col("_size") > local)
-        centroids = scratch.keep(
-            large.where(2 * F.col("below") >= F.col("_size")).groupBy("top").agg(F.min_by(F.struct("id", "up", *values), "below").alias("c")).select("top", "c.*"),
-            f"centroids-{turn}",
-        )
+        chosen = large.where(2 * F.col("below") >= F.col("_size")).groupBy("top").agg(F.min_by(F.struct("id", "up", *values), "below").alias("c"))
+        centroids = scratch.keep(chosen.select("top", "c.*"), f"centroids-{turn}")
         if centroids.isEmpty():
             break
         cuts.append(centroids)
-        paths.append(_above(centroids.select("id", F.col("id").alias("at")), jumps, scratch, turn))
+        paths.append(_above(centroids.select("id", F.col("id").alias("at")), steps, scratch, turn))
         gone = centroids.select(F.col("id").alias("_gone"))
         rest = large.join(gone, F.col("id") == F.col("_gone"), "left_anti")
         marked = rest.join(gone, F.col("up") == F.col("_gone"), "left")
@@ -59,26 +54,34 @@ def subtree_sums(nodes: DataFrame, values: Sequence[str], scratch: Scratch, loca
     return _added(nodes, values, done, paths, cuts, totals, scratch)
 
 
-def _jumps(forest: DataFrame, scratch: Scratch, turn: int) -> list[DataFrame]:
-    """Tables (id, up, top, below), the k-th with the node 2^k steps up, the farthest node that far, the nodes less than 2^k below."""
-    tables = [scratch.keep(forest.select("id", "up", F.coalesce("up", "id").alias("top"), F.lit(1).cast("long").alias("below")), f"jumps-{turn}-0")]
-    while not tables[-1].where("up is not null").isEmpty():
-        now = tables[-1]
-        under = now.where("up is not null").groupBy(F.col("up").alias("_at")).agg(F.sum("below").alias("_under"))
-        there = now.select(F.col("id").alias("_at"), F.col("up").alias("_up"), F.col("top").alias("_top"))
-        further = now.join(there, F.col("up") == F.col("_at"), "left").drop("_at").join(under, F.col("id") == F.col("_at"), "left")
-        further = further.select(
-            "id", F.col("_up").alias("up"), F.coalesce("_top", "top").alias("top"), (F.col("below") + F.coalesce("_under", F.lit(0))).alias("below")
-        )
-        tables.append(scratch.keep(further, f"jumps-{turn}-{len(tables)}"))
-    return tables
+def _jumps(forest: DataFrame, scratch: Scratch, turn: int) -> tuple[list[DataFrame], DataFrame, DataFrame]:
+    """(steps, tops, below): ``steps[k]`` has (id, up) with the node 2^k steps up, for nodes that have one; ``tops`` (id, top) for
+    all; ``below(id, below)`` how many nodes are below those that have any.
 
-
-def _above(starts: DataFrame, jumps: list[DataFrame], scratch: Scratch, turn: int) -> DataFrame:
+    A node leaves the rounds as soon as it has reached its top, so a few deep branches do not keep the others busy.
+    """
+    first = scratch.keep(forest.select("id", "up", F.coalesce("up", "id").alias("top"), F.lit(1).cast("long").alias("size")), f"jumps-{turn}-0")
+    going, arrived = first.where("up is not null"), first.where("up is null").select("id", "top")
+    steps, unders = [], []
+    while not going.isEmpty():
+        k = len(steps)
+        steps.append(going.select("id", "up"))
+        unders.append(scratch.keep(going.groupBy(F.col("up").alias("id")).agg(F.sum("size").alias("below")), f"under-{turn}-{k}"))
+        there = arrived.withColumn("_up", F.lit(None).cast("long")).unionByName(going.select("id", "top", F.col("up").alias("_up")))
+        there = there.select(F.col("id").alias("_at"), F.col("top").alias("_top"), "_up")
+        further = going.join(there, F.col("up") == F.col("_at")).select("id", F.col("_up").alias("up"), F.col("_top").alias("top"), "size")
+        further = further.join(unders[-1], "id", "left").select("id", "up", "top", (F.col("size") + F.coalesce("below", F.lit(0))).alias("size"))
+        further = scratch.keep(further, f"jumps-{turn}-{k + 1}")
+        going, arrived = further.where("up is not null"), arrived.unionByName(further.where("up is null").select("id", "top"))
+    under = reduce(DataFrame.unionByName, unders) if unders else first.where("false").select("id", F.col("size").alias("below"))
+    return steps, arrived, under.groupBy("id").agg(F.sum("below").alias("below"))
+
+
+def _above(starts: DataFrame, steps: list[DataFrame], scratch: Scratch, turn: int) -> DataFrame:
     """(id, at): every node ``at`` on the way from ``id`` to its component's top, ``id`` left out."""
     found = starts
-    for k, table in enumerate(jumps[:-1]):
-        step = table.where("up is not null").select(F.col("id").alias("at"), F.col("up").alias("_up"))
+    for k, step in enumerate(steps):
+        step = step.select(F.col("id").alias("at"), F.col("up").alias("_up"))
         found = scratch.keep(found.unionByName(found.join(step, "at").select("id", F.col("_up").alias("at"))), f"above-{turn}-{k}")
     return found.where("id != at")
 
@@ -111,7 +114,9 @@ def _decomposed(rows: DataFrame, values: Sequence[str]) -> DataFrame:
         return pd.DataFrame({"id": ids, **{v: sums[:, k] for k, v in enumerate(values)}})
 
     schema = "id long, " + ", ".join(f"{v} long" for v in values)
-    return rows.withColumn("up", F.coalesce("up", "id")).groupBy("top").applyInPandas(component, schema)
+    # the work on a component is far more than its bytes tell: as many tasks as the session has partitions
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.withColumn("up", F.coalesce("up", "id")).repartition(tasks, "top").groupBy("top").applyInPandas(component, schema)
 
 
 def decompose(parents: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -132,28 +137,24 @@ def decompose(parents: np.ndarray, own: np.ndarray) -> np.ndarray:
             if up >= 0 and label[up] == mark:
                 size[up] += size[v]
         centroid = next(v for v in reversed(members) if 2 * size[v] >= len(members))
-        # the parts below the centroid, then the one above it
+        # the part above the centroid, and one for each branch below it
         parts: dict[int, list[int]] = {}
-        total = own[centroid].copy()
-        home = {centroid: centroid}
+        home: dict[int, int] = {}
         for v in members:
-            up = parents[v]
-            if v == centroid:
-                continue
-            if up == centroid:
-                home[v] = v
-            elif up in home:
-                home[v] = home[up]
-            at = home.get(v, -1)
-            parts.setdefault(at, []).append(v)
-            if at >= 0:
-                total += own[v]
-        below = total - own[centroid]
-        sums[centroid] += below
-        up = parents[centroid]
+            if v != centroid:
+                up = parents[v]
+                at = v if up == centroid else home.get(up, -1)
+                if at >= 0:
+                    home[v] = at
+                parts.setdefault(at, []).append(v)
+        if home:
+            sums[centroid] += own[list(home)].sum(axis=0)
+        path, up = [], parents[centroid]
         while up >= 0 and label[up] == mark:
-            sums[up] += total
+            path.append(up)
             up = parents[up]
+        if path:
+            sums[path] += own[centroid] + (own[list(home)].sum(axis=0) if home else 0)
         label[centroid] = -1
         for part in parts.values():
             for v in part:
