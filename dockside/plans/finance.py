@@ -8,7 +8,7 @@ and meet only small dimensions after that.
 from pyspark.sql import DataFrame, functions as F
 
 from dockside.functions.dates import month_start
-from dockside.operators import increment
+from dockside.operators import increment, signature
 from dockside.operators.lookup import date_keys, key_lookup, version_lookup
 from dockside.operators.scd import Dimension
 from dockside.sources.overlay import Overlay
@@ -239,21 +239,42 @@ def update_payments(current, s, d) -> DataFrame:
     return increment.append(current, payments(Overlay(s, Payment=fresh), d))
 
 
-def update_billing_snapshot(current, s, d) -> DataFrame:
-    """The latest loaded month, which was still open, is counted anew; later months come in, and so do older rows that are not
-    loaded yet or whose totals a later invoice, line or payment has changed."""
-    keys, days = ["DimCustomerID", "DimDateID", "DimBillingCycleID"], d["DimDate"].select("DimDateID", F.col("FullDate").alias("_month"))
-    latest = current.join(days, "DimDateID").agg(F.coalesce(F.max("_month"), F.lit("0001-01-01").cast("date"))).scalar()
-    period = days.where(F.col("_month") >= latest).select("DimDateID")
-    built = billing_snapshot(s, d)
-    totals = [c for c in built.columns if c not in keys]
-    published = current.select(*keys, F.lit(True).alias("_loaded"), *[F.col(c).alias(f"_{c}") for c in totals])
-    same = F.col("_loaded").isNotNull() & F.col("_month").isNull()
-    for c in totals:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    months = days.where(F.col("_month") >= latest)
-    fresh = built.join(published, keys, "left").join(months, "DimDateID", "left").where(~same).select(*built.columns)
-    return increment.replace_keys(current.join(period, "DimDateID", "left_anti").select(*current.columns), fresh, keys, fresh)
+BILLED = ("DimCustomerID", "DimDateID", "DimBillingCycleID")
+
+
+def billing_inputs(s, d) -> DataFrame:
+    """One row per invoice: the snapshot key that it counts under, and signatures of its lines and payments."""
+    rows = _invoices(s).select("InvoiceID", "InvoiceDate", "CustomerCode", "BillingCycleID").withColumn("SnapshotDate", month_start("InvoiceDate"))
+    rows = rows.join(s["BillingCycle"].select("BillingCycleID", "CycleName"), "BillingCycleID")
+    rows = key_lookup(rows, d["DimBillingCycle"], "CycleName", "DimBillingCycleID")
+    rows = version_lookup(rows, d["DimCustomer"], "CustomerCode", "SnapshotDate", "DimCustomerID")
+    rows = rows.join(date_keys(d["DimDate"], "DimDateID", SnapshotDate="DimDateID")["SnapshotDate"], "SnapshotDate")
+    for table in ("InvoiceLine", "Payment"):
+        rows = rows.join(signature.signed(table, *SIGNED_CHILDREN[table], s), "InvoiceID", "left")
+    return rows
+
+
+def billing_signatures(s, d) -> DataFrame:
+    used = ["InvoiceID", "InvoiceDate", *signature.named("InvoiceLine"), *signature.named("Payment")]
+    return signature.signatures(billing_inputs(s, d), BILLED, used)
+
+
+def update_billing_snapshot(current, s, d, seen=None) -> DataFrame:
+    """The rows of a first load over today's sources, by touching only the keys that an invoice, line or payment has changed, moved
+    to or left. ``seen`` has the signatures published with ``current``; without them all rows are built and compared, and the
+    latest loaded month and later ones count as new."""
+    if seen is None:
+        days = d["DimDate"].select("DimDateID", F.col("FullDate").alias("_month"))
+        latest = current.join(days, "DimDateID").agg(F.coalesce(F.max("_month"), F.lit("0001-01-01").cast("date"))).scalar()
+        built = billing_snapshot(s, d)
+        return signature.follow_rows(current, built, BILLED, built.join(days.where(F.col("_month") >= latest), "DimDateID", "left_semi"))
+    changed = signature.touched(seen, billing_signatures(s, d), BILLED)
+    invoices = billing_inputs(s, d).join(changed, list(BILLED), "left_semi").select("InvoiceID", "SnapshotDate")
+    months = [r[0] for r in invoices.select("SnapshotDate").distinct().collect()]  # as many as there are months
+    ids = invoices.select("InvoiceID")
+    touched = {"Invoice": s["Invoice"].where(signature.in_months("InvoiceDate", months)).join(ids, "InvoiceID", "left_semi")}
+    touched |= {table: s[table].join(ids, "InvoiceID", "left_semi") for table in SIGNED_CHILDREN}
+    return increment.replace_keys(current, billing_snapshot(Overlay(s, **touched), d), BILLED, changed)
 
 
 def update_invoice_lifecycle(current, s, d) -> DataFrame:
@@ -275,3 +296,11 @@ UPDATES = {
     "FactInvoiceLifecycleAccumulating": update_invoice_lifecycle,
     "FactCustomerContractActivationFactless": update_contract_activations,
 }
+
+# Line-level tables whose signatures staging publishes by the invoice they belong to: (key, columns the snapshot uses)
+SIGNED_CHILDREN = {
+    "InvoiceLine": (["InvoiceID"], ["InvoiceLineID", "Quantity", "UnitPrice", "DiscountPercent", "NetAmount", "TaxAmount"]),
+    "Payment": (["InvoiceID"], ["PaymentID", "PaymentDate", "Amount"]),
+}
+SIGNATURES = {"FactCustomerBillingMonthlySnapshot": billing_signatures}
+FOLLOWED = {}

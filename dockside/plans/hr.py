@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from dockside.functions.dates import month_boundaries, year_boundaries
-from dockside.operators import increment
+from dockside.operators import increment, signature
 from dockside.operators.lookup import as_of, date_keys, interval_lookup, key_lookup
 from dockside.operators.scd import CHANGE, Dimension
 from dockside.sources.overlay import Overlay
@@ -277,12 +277,33 @@ def update_attendance(current, s, d, last_load, run_date) -> DataFrame:
     return increment.append(current, attendance(Overlay(s, Attendance=fresh), d))
 
 
-def update_monthly_performance(current, s, d, last_load, run_date) -> DataFrame:
-    """Rebuild the month of the run date; the date filter reaches the attendance scan."""
-    first = F.trunc(F.lit(run_date).cast("date"), "MM")
-    built = monthly_performance(Overlay(s, Attendance=s["Attendance"].where(F.col("AttendanceDate") >= first)), d)
-    period = d["DimDateHR"].where(F.col("FullDate") >= first).select(F.col("DateKey").alias("MonthDateKey"))
-    return increment.replace_period(current, built, "MonthDateKey", period)
+def month_signatures(s, d) -> DataFrame:
+    """One signature per month: of each employee's attendance in it, with the employee version and department in force at its end."""
+    months = signature.signed("Attendance", *SIGNED_CHILDREN["Attendance"], s)
+    rows = as_of(months, d["DimEmployee"], "EmployeeID", "MonthEndDate", "StartDate", "EmployeeKey", ["EmployeeKey"])
+    rows = _history_as_of(_on_day(rows, d, "MonthEndDate", "MonthDateKey"), s, "MonthEndDate", ["DepartmentID"])
+    rows = key_lookup(rows, d["DimDepartment"], "DepartmentID", "DepartmentKey", "left", unknown=True)
+    return signature.signatures(rows, ["MonthDateKey"], ["EmployeeID", "EmployeeKey", "DepartmentKey", *signature.named("Attendance")])
+
+
+def update_monthly_performance(current, s, d, last_load, run_date, seen=None) -> DataFrame:
+    """The months whose attendance has changed are built anew, whatever the run date; the months reach the attendance scan as ranges
+    of days. ``seen`` has the signatures published with ``current``; without them all months are built and compared, and the month
+    of the run date and later ones count as new."""
+    days = d["DimDateHR"].select(F.col("DateKey").alias("MonthDateKey"), "FullDate")
+    if seen is None:
+        later = days.where(F.col("FullDate") >= F.trunc(F.lit(run_date).cast("date"), "MM"))
+        return signature.follow_rows(current, monthly_performance(s, d), ["MonthDateKey"], later)
+    changed = signature.touched(seen, month_signatures(s, d), ["MonthDateKey"])
+    months = [r[0] for r in changed.join(days, "MonthDateKey").select(F.trunc("FullDate", "MM")).collect()]  # as many as there are months
+    attended = s["Attendance"].where(signature.in_months("AttendanceDate", months))
+    return increment.replace_keys(current, monthly_performance(Overlay(s, Attendance=attended), d), ["MonthDateKey"], changed)
+
+
+def follow_employee_lifecycle(current, s, d, last_load, run_date) -> DataFrame:
+    """The rows of a first load over today's sources, one per current employee version: a row that differs is replaced, that of a
+    version no longer current goes. All inputs but the employees' own tables are aggregates by employee."""
+    return signature.follow_rows(current, employee_lifecycle(s, d), ["EmployeeKey"])
 
 
 def update_employee_lifecycle(current, s, d, last_load, run_date) -> DataFrame:
@@ -335,3 +356,9 @@ UPDATES = {
     "FactMonthlyEmployeePerformance": update_monthly_performance,
     "FactEmployeeLifecycle": update_employee_lifecycle,
 }
+
+# Tables whose signatures staging publishes: (key, columns the snapshot uses)
+SIGNED_CHILDREN = {"Attendance": (["EmployeeID", "last_day(AttendanceDate) as MonthEndDate"], ["AttendanceID", "HoursWorked", "Status"])}
+SIGNATURES = {"FactMonthlyEmployeePerformance": month_signatures}
+# Loads keep to the rule of the first load here; ``update_employee_lifecycle`` is the modelled procedure, which leaves new versions blank.
+FOLLOWED = {"FactEmployeeLifecycle": follow_employee_lifecycle}

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession, functions as F
 
-from dockside.operators import calendar as cal, scd
+from dockside.operators import calendar as cal, scd, signature
 from dockside.operators.quality import duplicate_count, missing_values, validation_report
 from dockside.plans import finance, hr, port
 from dockside.plans.staging import STAGES, stage
@@ -68,6 +68,15 @@ class _Staged:
         name = f"{self._area}.{table}"
         return self._run.warehouse.table(name) if self._run.warehouse.has(name) else self._run.sources[table]
 
+    def signatures(self, table):
+        """What staging published of the table's signatures, if it did."""
+        name = _signatures_of(f"{self._area}.{table}")
+        return self._run.warehouse.table(name) if self._run.warehouse.has(name) else None
+
+
+def _signatures_of(table: str) -> str:
+    return f"signatures.{table}"
+
 
 class _Published:
     def __init__(self, warehouse):
@@ -89,6 +98,9 @@ def _staging(area):
 def _stage_one(run, process, table, spec):
     rows, report = stage(run.sources[spec.table], spec, run.run_time)
     run.warehouse.replace(process, table, rows, report)
+    if spec.table in MARTS[spec.area].SIGNED_CHILDREN:
+        by = MARTS[spec.area].SIGNED_CHILDREN[spec.table]
+        run.warehouse.replace(process, _signatures_of(table), signature.by_parent(run.warehouse.table(table), *by))
 
 
 def _span(run: Run, area: str):
@@ -172,28 +184,40 @@ def _facts_first(area):
     def steps(run: Run):
         s, d, w = _Staged(run, area), _Published(run.warehouse), run.warehouse
         for name, build in module.FACTS.items():
-            yield name, lambda p, t, name=name, build=build: w.replace(
-                p, t, build(s, d), _fact_report(name, s), PARTITIONED.get(name)
-            )
+            yield name, lambda p, t, name=name, build=build: first(s, d, w, p, name, build)
         if area == "hr":
             yield HR_CONTROL, lambda p, t: w.advance(HR_CONTROL, run.run_date)
 
+    def first(s, d, w, process, name, build):
+        w.replace(process, name, build(s, d), _fact_report(name, s), PARTITIONED.get(name))
+        _sign(module, w, process, name, s, d)
+
     return steps
 
 
+def _sign(module, w, process, name, s, d):
+    """Publish, beside a snapshot, the signatures of what it was built from."""
+    if name in module.SIGNATURES:
+        w.replace(process, _signatures_of(name), module.SIGNATURES[name](s, d))
+
+
 def _facts_update(area):
     module = MARTS[area]
 
     def steps(run: Run):
         s, d, w = _Staged(run, area), _Published(run.warehouse), run.warehouse
         window = dict(last_load=w.last_load(HR_CONTROL), run_date=run.run_date) if area == "hr" else {}
-        for name, build in module.UPDATES.items():
-            yield name, lambda p, t, name=name, build=build: publish(
-                w, p, t, build(w.table(name), s, d, **window), _fact_report(name, s)
-            )
+        for name, build in (module.UPDATES | module.FOLLOWED).items():
+            yield name, lambda p, t, name=name, build=build: update(s, d, w, p, name, build, window)
         if area == "hr":
             yield HR_CONTROL, lambda p, t: w.advance(HR_CONTROL, run.run_date)
 
+    def update(s, d, w, process, name, build, window):
+        signed = _signatures_of(name)
+        seen = {"seen": w.table(signed)} if name in module.SIGNATURES and w.has(signed) else {}
+        publish(w, process, name, build(w.table(name), s, d, **window, **seen), _fact_report(name, s))
+        _sign(module, w, process, name, s, d)
+
     def publish(w, process, table, rows, report):
         if table in APPENDED:
             w.append(process, table, rows, report)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from dockside.operators import increment
+from dockside.operators import increment, signature
 from dockside.operators.lookup import date_keys, key_lookup, version_lookup
 from dockside.operators.quality import missing_values
 from dockside.operators.scd import Dimension
@@ -142,28 +142,28 @@ def update_container_movements(current, s, d) -> DataFrame:
     return increment.rebuild(container_movements(s, d))
 
 
-def recounted_calls(current, s) -> DataFrame:
-    """PortCallID of the loaded calls whose allocations at a berth or whose operations are no longer as many as published."""
-    zero = F.lit(0).cast("bigint")
-    published = current.select("PortCallID", "BerthID", F.col("AllocationCount").alias("_allocations"), F.col("TotalOps").alias("_ops"))
-    allocations = s["BerthAllocation"].groupBy("PortCallID", "BerthID").agg(F.count("AllocationID").alias("AllocationCount"))
-    operations = s["CargoOperation"].groupBy("PortCallID").agg(F.count("CargoOpID").alias("TotalOps"))
-    counted = current.select("PortCallID").distinct().join(allocations, "PortCallID", "left").join(operations, "PortCallID", "left")
-    counted = counted.withColumn("BerthID", F.coalesce("BerthID", F.lit(-1).cast("bigint")))
-    both = published.join(counted, ["PortCallID", "BerthID"], "full_outer")
-    same = F.col("_allocations").eqNullSafe(F.coalesce("AllocationCount", zero)) & F.col("_ops").eqNullSafe(F.coalesce("TotalOps", zero))
-    return both.where(~same).select("PortCallID").distinct()
+def call_signatures(s, d) -> DataFrame:
+    """One signature per port call, of the call itself, its keys, its allocations and its operations."""
+    rows = s["PortCall"].withColumn("FullDate", F.col("ArrivalDateTime").cast("date"))
+    rows = rows.join(date_keys(d["DimDate"], "DimDateID", FullDate="DateKey")["FullDate"], "FullDate")
+    rows = key_lookup(rows, d["DimPort"], "PortID", "PortSK")
+    for table in SIGNED_CHILDREN:
+        rows = rows.join(signature.signed(table, *SIGNED_CHILDREN[table], s), "PortCallID", "left")
+    used = ["DateKey", "FullDate", "VoyageID", "PortSK", "Status", *(c for table in SIGNED_CHILDREN for c in signature.named(table))]
+    return signature.signatures(rows, ["PortCallID"], used)
 
 
-def update_port_call_snapshot(current, s, d) -> DataFrame:
-    """Calls of the latest loaded day and later ones are counted anew, and so are older calls that are not loaded or whose
-    allocations or operations have changed in number since; the other rows are kept."""
-    day = F.col("ArrivalDateTime").cast("date")
-    calls = increment.open_or_unseen(s["PortCall"], day, "PortCallID", current, "FullDate", recounted_calls(current, s))
-    fresh = {"PortCall": calls}
-    for table in ("BerthAllocation", "CargoOperation"):
-        fresh[table] = s[table].join(calls.select("PortCallID"), "PortCallID", "left_semi")
-    return increment.replace_keys(current, port_call_snapshot(Overlay(s, **fresh), d), ["PortCallID"], calls)
+def update_port_call_snapshot(current, s, d, seen=None) -> DataFrame:
+    """The rows of a first load over today's sources, by touching only calls that have changed, come, gone, or got other allocations
+    or operations. ``seen`` has the signatures published with ``current``; without them all rows are built and compared, and the
+    calls of the latest loaded day and later ones count as new."""
+    if seen is None:
+        latest = current.agg(F.coalesce(F.max("FullDate"), F.lit("0001-01-01").cast("date"))).scalar()
+        built = port_call_snapshot(s, d)
+        return signature.follow_rows(current, built, ["PortCallID"], built.where(F.col("FullDate") >= latest))
+    changed = signature.touched(seen, call_signatures(s, d), ["PortCallID"])
+    fresh = {table: s[table].join(changed, "PortCallID", "left_semi") for table in ("PortCall", *SIGNED_CHILDREN)}
+    return increment.replace_keys(current, port_call_snapshot(Overlay(s, **fresh), d), ["PortCallID"], changed)
 
 
 UPDATES = {
@@ -172,3 +172,8 @@ UPDATES = {
     "FactContainerMovementsAcc": update_container_movements,
     "FactPortCallPeriodicSnapshot": update_port_call_snapshot,
 }
+
+# Tables whose signatures staging publishes by port call: (key, columns the snapshot uses)
+SIGNED_CHILDREN = {"BerthAllocation": (["PortCallID"], ["AllocationID", "BerthID"]), "CargoOperation": (["PortCallID"], ["CargoOpID"])}
+SIGNATURES = {"FactPortCallPeriodicSnapshot": call_signatures}
+FOLLOWED = {}

@@ -617,6 +617,12 @@ def statements() -> dict[str, str]:
         amounts = _AMOUNTS.get(name, "")
         found[f"fact_{FACT_QUERY[name]}_first"] = compose(_show(text(_now), amounts))
         found[f"fact_{FACT_QUERY[name]}_update"] = compose(_show(updates[name], amounts))
+    for name, table, key in [
+        ("FactCustomerBillingMonthlySnapshot", "Invoice", "InvoiceID"), ("FactMonthlyEmployeePerformance", "Attendance", "AttendanceID"),
+        ("FactEmployeeLifecycle", None, None), ("FactPortCallPeriodicSnapshot", "PortCall", "PortCallID"),
+    ]:  # a first load over the corrected sources
+        body = FACT_SQL[name](lambda t, table=table, key=key: f"(select * from a_{t} where {key} % 11 <> 5)" if t == table else f"a_{t}")
+        found[f"fact_{FACT_QUERY[name]}_after_corrections"] = compose(_show(body, _AMOUNTS.get(name, "")))
     found["fact_billing_snapshot_reference_grain"] = compose(
         _show(billing_snapshot(_now, reference_grain=True), _AMOUNTS["FactCustomerBillingMonthlySnapshot"])
     )
