@@ -26,6 +26,13 @@ def signatures(rows: DataFrame, key, columns) -> DataFrame:
     )
 
 
+def added(signed_rows: DataFrame, key) -> DataFrame:
+    """Signatures by a coarser ``key`` from those by a finer one."""
+    return signed_rows.groupBy(*key).agg(
+        F.sum("SignedRows").alias("SignedRows"), F.sum("SignedSum").cast("decimal(38,0)").alias("SignedSum"), F.bit_xor("SignedXor").alias("SignedXor")
+    )
+
+
 def by_parent(rows: DataFrame, by, columns) -> DataFrame:
     """Signatures of line-level ``rows`` by their parent's key: columns, or expressions with names."""
     return signatures(rows.selectExpr(*by, *columns), [b.split(" as ")[-1] for b in by], columns)

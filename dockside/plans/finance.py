@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from dockside.functions.dates import month_start
 from dockside.operators import increment, signature
 from dockside.operators.lookup import date_keys, key_lookup, version_lookup
+from dockside.operators.period import MONTH, Period, month_of
 from dockside.operators.scd import Dimension
 from dockside.sources.overlay import Overlay
 
@@ -79,8 +80,8 @@ def _tax_versions(s, d) -> DataFrame:
     return s["Tax"].select("TaxID", *key).join(d["DimTax"].select(*key, "DimTaxID", "StartDate"), key)
 
 
-def invoice_lines(s, d) -> DataFrame:
-    """Transaction fact, one row per invoice line; a NULL discount is 0."""
+def invoice_lines(s, d, month: bool = False) -> DataFrame:
+    """Transaction fact, one row per invoice line; a NULL discount is 0. ``month`` adds that of the invoice, to lay the fact out by."""
     header = key_lookup(_invoices(s), d["DimInvoice"], "InvoiceNumber", "DimInvoiceID")
     header = version_lookup(header, d["DimCustomer"], "CustomerCode", "InvoiceDate", "DimCustomerID")
     header = header.join(date_keys(d["DimDate"], "DimDateID", InvoiceDate="DimDateID")["InvoiceDate"], "InvoiceDate")
@@ -100,11 +101,12 @@ def invoice_lines(s, d) -> DataFrame:
         F.col("TaxAmount").cast(MONEY).alias("TaxAmount"),
         F.when(quantity == 0, F.lit(0)).otherwise(net / F.when(quantity != 0, quantity)).cast("decimal(29,15)").alias("EffectiveRate"),
         F.col("InvoiceLineID").alias("SourceInvoiceLineID"),
+        *([month_of("InvoiceDate").alias(MONTH)] if month else []),
     )
 
 
-def payments(s, d) -> DataFrame:
-    """Transaction fact, one row per payment; the amount left is measured against that payment alone."""
+def payments(s, d, month: bool = False) -> DataFrame:
+    """Transaction fact, one row per payment; the amount left is measured against that payment alone. ``month`` adds the payment's."""
     header = key_lookup(_invoices(s), d["DimInvoice"], "InvoiceNumber", "DimInvoiceID")
     rows = s["Payment"].join(header.select("InvoiceID", "InvoiceDate", "TotalAmount", "CustomerCode", "DimInvoiceID"), "InvoiceID")
     methods = d["DimPaymentMethod"].withColumnRenamed("PaymentMethodName", "PaymentMethod")
@@ -119,6 +121,7 @@ def payments(s, d) -> DataFrame:
         (F.col("Amount") >= F.col("TotalAmount")).alias("IsFullPayment"),
         F.lit(0).alias("PartialPaymentCount"),
         F.col("PaymentID").alias("SourcePaymentID"),
+        *([month_of("PaymentDate").alias(MONTH)] if month else []),
     )
 
 
@@ -304,3 +307,9 @@ SIGNED_CHILDREN = {
 }
 SIGNATURES = {"FactCustomerBillingMonthlySnapshot": billing_signatures}
 FOLLOWED = {}
+
+# Facts published by the month of their source rows
+PERIODS = {
+    "FactInvoiceLineTransaction": Period("InvoiceLine", "InvoiceLineID", "SourceInvoiceLineID", "InvoiceDate", "Invoice", "InvoiceID"),
+    "FactCustomerPaymentTransaction": Period("Payment", "PaymentID", "SourcePaymentID", "PaymentDate"),
+}

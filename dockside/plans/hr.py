@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from dockside.functions.dates import month_boundaries, year_boundaries
 from dockside.operators import increment, signature
 from dockside.operators.lookup import as_of, date_keys, interval_lookup, key_lookup
+from dockside.operators.period import MONTH, Period, month_of
 from dockside.operators.scd import CHANGE, Dimension
 from dockside.sources.overlay import Overlay
 
@@ -91,8 +92,8 @@ def terminations(s, d) -> DataFrame:
     )
 
 
-def salary_payments(s, d) -> DataFrame:
-    """Transaction fact: gross, net and employer cost per payment."""
+def salary_payments(s, d, month: bool = False) -> DataFrame:
+    """Transaction fact: gross, net and employer cost per payment. ``month`` adds the payment's, to lay the fact out by."""
     rows = interval_lookup(s["SalaryPayment"], d["DimEmployee"], "EmployeeID", "PaymentDate", "EmployeeKey")
     rows = _history_as_of(_on_day(rows, d, "PaymentDate", "PaymentDateKey"), s, "PaymentDate", ["DepartmentID", "JobTitleID"])
     rows = key_lookup(rows, d["DimDepartment"], "DepartmentID", "DepartmentKey", "left", unknown=True)
@@ -107,15 +108,17 @@ def salary_payments(s, d) -> DataFrame:
         F.coalesce(F.col("Deductions"), F.lit(0)).cast(PAY).alias("DeductionsAmount"),
         F.col("NetAmount").cast(PAY).alias("NetAmount"),
         (gross * F.lit(EMPLOYER_CONTRIBUTION_RATE).cast("decimal(5,2)") + gross).cast(PAY).alias("SalaryCostToCompany"),
+        *([month_of("PaymentDate").alias(MONTH)] if month else []),
     )
 
 
-def attendance(s, d) -> DataFrame:
-    """Factless fact with a status, for the last employee version started by that day; -1 where there is none."""
+def attendance(s, d, month: bool = False) -> DataFrame:
+    """Factless fact with a status, for the last employee version started by that day; -1 where there is none. ``month`` adds the day's."""
     rows = as_of(s["Attendance"], d["DimEmployee"], "EmployeeID", "AttendanceDate", "StartDate", "EmployeeKey", ["EmployeeKey"])
     return _on_day(rows, d, "AttendanceDate", "AttendanceDateKey").select(
         F.col("AttendanceID").alias("SourceAttendanceID"), "AttendanceDateKey",
         F.coalesce("EmployeeKey", F.lit(-1)).alias("EmployeeKey"), F.col("Status").alias("AttendanceStatus"),
+        *([month_of("AttendanceDate").alias(MONTH)] if month else []),
     )
 
 
@@ -362,3 +365,9 @@ SIGNED_CHILDREN = {"Attendance": (["EmployeeID", "last_day(AttendanceDate) as Mo
 SIGNATURES = {"FactMonthlyEmployeePerformance": month_signatures}
 # Loads keep to the rule of the first load here; ``update_employee_lifecycle`` is the modelled procedure, which leaves new versions blank.
 FOLLOWED = {"FactEmployeeLifecycle": follow_employee_lifecycle}
+
+# Facts published by the month of their source rows
+PERIODS = {
+    "FactSalaryPayment": Period("SalaryPayment", "SalaryPaymentID", "SourceSalaryPaymentID", "PaymentDate"),
+    "FactEmployeeAttendance": Period("Attendance", "AttendanceID", "SourceAttendanceID", "AttendanceDate"),
+}

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession, functions as F
 
-from dockside.operators import calendar as cal, scd, signature
+from dockside.operators import calendar as cal, period, scd, signature
 from dockside.operators.quality import duplicate_count, missing_values, validation_report
 from dockside.plans import finance, hr, port
 from dockside.plans.staging import STAGES, stage
@@ -101,6 +101,9 @@ def _stage_one(run, process, table, spec):
     if spec.table in MARTS[spec.area].SIGNED_CHILDREN:
         by = MARTS[spec.area].SIGNED_CHILDREN[spec.table]
         run.warehouse.replace(process, _signatures_of(table), signature.by_parent(run.warehouse.table(table), *by))
+    for by in MARTS[spec.area].PERIODS.values():
+        if by.table == spec.table and by.parent:
+            run.warehouse.replace(process, _signatures_of(f"{table}.ids"), by.by_link({by.table: run.warehouse.table(table)}))
 
 
 def _span(run: Run, area: str):
@@ -189,8 +192,11 @@ def _facts_first(area):
             yield HR_CONTROL, lambda p, t: w.advance(HR_CONTROL, run.run_date)
 
     def first(s, d, w, process, name, build):
-        w.replace(process, name, build(s, d), _fact_report(name, s), PARTITIONED.get(name))
+        rows = build(s, d, month=True) if name in module.PERIODS else build(s, d)
+        w.replace(process, name, rows, _fact_report(name, s), _layout(module, name))
         _sign(module, w, process, name, s, d)
+        if name in module.PERIODS:
+            w.replace(process, _signatures_of(name), module.PERIODS[name].carried(w.table(name)))
 
     return steps
 
@@ -201,6 +207,10 @@ def _sign(module, w, process, name, s, d):
         w.replace(process, _signatures_of(name), module.SIGNATURES[name](s, d))
 
 
+def _layout(module, name):
+    return period.MONTH if name in module.PERIODS else None
+
+
 def _facts_update(area):
     module = MARTS[area]
 
@@ -213,14 +223,22 @@ def _facts_update(area):
             yield HR_CONTROL, lambda p, t: w.advance(HR_CONTROL, run.run_date)
 
     def update(s, d, w, process, name, build, window):
-        signed = _signatures_of(name)
-        seen = {"seen": w.table(signed)} if name in module.SIGNATURES and w.has(signed) else {}
-        publish(w, process, name, build(w.table(name), s, d, **window, **seen), _fact_report(name, s))
+        signed, current = _signatures_of(name), w.table(name)
+        seen = w.table(signed) if w.has(signed) else None
+        if name in module.PERIODS and seen is not None and period.MONTH in current.columns:
+            by = module.PERIODS[name]
+            months = period.batch_months(seen, by.signatures(s))
+            if not months:
+                return w.skip(process, name, _fact_report(name, s))
+            publish(w, process, name, period.update(current, s, d, by, module.FACTS[name], months, window.get("run_date")), _fact_report(name, s), period.MONTH)
+            return w.replace(process, signed, period.carried_after(w.table(name), by, seen, months))
+        rows = build(current, s, d, **window, **({"seen": seen} if name in module.SIGNATURES and seen is not None else {}))
+        publish(w, process, name, rows, _fact_report(name, s))
         _sign(module, w, process, name, s, d)
 
-    def publish(w, process, table, rows, report):
+    def publish(w, process, table, rows, report, layout=None):
         if table in APPENDED:
-            w.append(process, table, rows, report)
+            w.append(process, table, rows, report, layout)
         elif table in PARTITIONED:
             w.replace_partitions(process, table, rows, report, partition_by=PARTITIONED[table])
         else:

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from dockside.operators import increment, signature
 from dockside.operators.lookup import date_keys, key_lookup, version_lookup
+from dockside.operators.period import MONTH, Period, month_of
 from dockside.operators.quality import missing_values
 from dockside.operators.scd import Dimension
 from dockside.sources.overlay import Overlay
@@ -49,20 +50,22 @@ def _employee(rows, d, day):
     return rows.withColumn("EmployeeSK", F.coalesce("EmployeeSK", F.lit(-1)))
 
 
-def cargo_operations(s, d) -> DataFrame:
-    """Transaction fact, one row per equipment assignment of a cargo operation; no known employee is key -1."""
+def cargo_operations(s, d, month: bool = False) -> DataFrame:
+    """Transaction fact, one row per equipment assignment of a cargo operation; no known employee is key -1. ``month`` adds that of the
+    assignment, to lay the fact out by."""
     operations = s["CargoOperation"].join(_calls(s, d), "PortCallID")
     operations = operations.withColumn("FullDate", F.col("OperationDateTime").cast("date"))
     operations = operations.join(date_keys(d["DimDate"], "DimDateID", FullDate="DateKey")["FullDate"], "FullDate")
     operations = version_lookup(operations, d["DimShip"], "ShipID", "FullDate", "ShipSK", "EffectiveFrom")
     operations = key_lookup(operations, d["DimContainer"], "ContainerID", "ContainerSK")
-    rows = s["OperationEquipmentAssignment"].select("AssignmentID", "CargoOpID", "EquipmentID", "EmployeeID").join(operations, "CargoOpID")
+    started = [month_of(F.col("StartTime").cast("date")).alias(MONTH)] if month else []
+    rows = s["OperationEquipmentAssignment"].select("AssignmentID", "CargoOpID", "EquipmentID", "EmployeeID", *started).join(operations, "CargoOpID")
     rows = key_lookup(rows, d["DimEquipment"], "EquipmentID", "EquipmentSK")
     rows = _employee(rows, d, "FullDate")
     return rows.select(
         "DateKey", "FullDate", "ShipSK", "PortSK", "ContainerSK", "EquipmentSK", "EmployeeSK", "OperationType", "Quantity",
         F.col("WeightKG").cast("decimal(10,2)").alias("WeightKG"), "OperationDateTime",
-        F.col("AssignmentID").alias("SourceAssignmentID"),
+        F.col("AssignmentID").alias("SourceAssignmentID"), *([MONTH] if month else []),
     )
 
 
@@ -104,8 +107,8 @@ def container_movement_gaps(s) -> DataFrame:
     return missing_values(joined, ["CargoOpID", "OperationType", "Quantity", "CallPortID", "BoxTypeID"])
 
 
-def equipment_assignments(s, d) -> DataFrame:
-    """Factless fact: equipment worked on a day, by whom, where, on which kind of container."""
+def equipment_assignments(s, d, month: bool = False) -> DataFrame:
+    """Factless fact: equipment worked on a day, by whom, where, on which kind of container. ``month`` adds the day's."""
     operations = s["CargoOperation"].select("CargoOpID", "PortCallID", "ContainerID")
     operations = operations.join(_calls(s, d).select("PortCallID", "PortSK"), "PortCallID")
     operations = operations.join(d["DimContainer"].select("ContainerID", "ContainerTypeID"), "ContainerID").select("CargoOpID", "PortSK", "ContainerTypeID")
@@ -113,7 +116,7 @@ def equipment_assignments(s, d) -> DataFrame:
     rows = rows.join(date_keys(d["DimDate"], "DimDateID", WorkDate="DateKey")["WorkDate"], "WorkDate")
     rows = key_lookup(rows, d["DimEquipment"], "EquipmentID", "EquipmentSK").join(operations, "CargoOpID")
     rows = _employee(rows, d, "WorkDate")
-    return rows.select("DateKey", "EquipmentSK", "EmployeeSK", "PortSK", "ContainerTypeID", F.col("AssignmentID").alias("SourceAssignmentID"))
+    return rows.select("DateKey", "EquipmentSK", "EmployeeSK", "PortSK", "ContainerTypeID", F.col("AssignmentID").alias("SourceAssignmentID"), *([month_of("WorkDate").alias(MONTH)] if month else []))
 
 
 FACTS = {
@@ -177,3 +180,7 @@ UPDATES = {
 SIGNED_CHILDREN = {"BerthAllocation": (["PortCallID"], ["AllocationID", "BerthID"]), "CargoOperation": (["PortCallID"], ["CargoOpID"])}
 SIGNATURES = {"FactPortCallPeriodicSnapshot": call_signatures}
 FOLLOWED = {}
+
+# Facts published by the month of their source rows
+_ASSIGNED = Period("OperationEquipmentAssignment", "AssignmentID", "SourceAssignmentID", "StartTime")
+PERIODS = {"FactCargoOperationTransactional": _ASSIGNED, "FactEquipmentAssignment": _ASSIGNED}
