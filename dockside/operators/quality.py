@@ -1,5 +1,7 @@
 """Data-quality checks. Each returns a DataFrame; ``enforce`` is the only place that runs one."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from dockside.functions.compare import any_of, missing
@@ -52,6 +54,28 @@ def orphans(rows: DataFrame, parent: DataFrame, column: str, parent_column: str
     return rows.where(F.col(column).isNotNull()).join(parents, column, "left_anti")
 
 
+def referential_report(links, tables) -> DataFrame:
+    """(ForeignKey, Orphans, OrphanValues) for every link (child, column, parent, parent column): child rows whose key is set but has
+    no parent. Each child is read once, its keys unpivoted and summed by value in the tasks; parents come as distinct values; all
+    links meet in one shuffle. A key of -1 is the unknown member and counts as not set."""
+    children, parents = {}, {}
+    for child, column, parent, parent_column in links:
+        children.setdefault(child, []).append((f"{child}.{column}", column))
+        parents.setdefault((parent, parent_column), []).append(f"{child}.{column}")
+    parts = []
+    for child, keys in children.items():
+        pairs = F.array(*[F.struct(F.lit(name).alias("ForeignKey"), F.col(c).cast("string").alias("Value")) for name, c in keys])
+        rows = tables[child].select(F.explode(pairs).alias("k")).select("k.*").where("Value is not null and Value <> '-1'")
+        parts.append(rows.groupBy("ForeignKey", "Value").agg(F.count(F.lit(1)).alias("n"), F.lit(0).alias("known")))
+    for (parent, column), names in parents.items():
+        values = tables[parent].select(F.col(column).cast("string").alias("Value")).where("Value is not null").distinct()
+        named = values.select(F.explode(F.array(*[F.lit(n) for n in names])).alias("ForeignKey"), "Value")
+        parts.append(named.select("ForeignKey", "Value", F.lit(0).cast("bigint").alias("n"), F.lit(1).alias("known")))
+    met = reduce(DataFrame.unionByName, parts).groupBy("ForeignKey", "Value").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
+    lost = F.when(F.col("known") == 0, F.col("n"))
+    return met.groupBy("ForeignKey").agg(F.coalesce(F.sum(lost), F.lit(0)).alias("Orphans"), F.count(lost).alias("OrphanValues"))
+
+
 def enforce(table: str, report: DataFrame) -> int:
     """Run a report (a handful of rows) and refuse the load if any check found something; gives the row count."""
     found = {(r.CheckName, r.Columns): r.Rows for r in report.collect()}

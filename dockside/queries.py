@@ -8,11 +8,12 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from dockside.operators import calendar as cal, quality, scd
+from dockside.operators import calendar as cal, quality, reconcile, report, scd
 from dockside.operators.increment import in_window
 from dockside.operators.keys import assign_dense_keys
 from dockside.operators.lookup import as_of, interval_lookup
 from dockside.plans import finance, hr, port
+from dockside.plans.links import FACT_KEYS, SOURCE_LINKS
 from dockside.plans.loads import HR_CONTROL, Run, run_load
 from dockside.plans.staging import STAGES, stage
 from dockside.sources import adapter
@@ -198,6 +199,46 @@ def _orphan_report(spark, directory):
     return quality.row_counts(found).withColumnsRenamed({"TableName": "ForeignKey", "RowCount": "Orphans"})
 
 
+def _referential_report(spark, directory):
+    """Orphans of every declared reference between operational tables."""
+    return quality.referential_report(SOURCE_LINKS, Sources(spark, directory))
+
+
+def _fact_references(mart, spark, directory):
+    """Orphans of the facts' dimension keys; facts are built from dimensions that a later load has extended."""
+    s, d, module = Sources(spark, directory), Dimensions(spark, directory, mart), MARTS[mart]
+    tables = {name: build(s, d) for name, build in module.FACTS.items()}
+    links = [(fact, key, dim, key) for fact, rows in tables.items() for key, dim in FACT_KEYS[mart].items() if key in rows.columns]
+    return quality.referential_report(links, tables | {dim: d[dim] for _, _, dim, _ in links})
+
+
+def _reconciliation(spark, directory):
+    """Staged invoices against their source, after some were lost, changed and added in the copy."""
+    source, n = Sources(spark, directory)["Invoice"], F.col("InvoiceID")
+    staged = stage(source, STAGES["invoice"], STAGED_AT)[0].where(n % 97 != 5)
+    amount = F.when(n % 97 == 6, F.col("TotalAmount") + 1).otherwise(F.col("TotalAmount")).cast("decimal(18,4)")
+    added = staged.where(n % 97 == 7).withColumn("InvoiceID", n + 10**9)
+    return reconcile.reconcile(source, staged.withColumn("TotalAmount", amount).unionByName(added), ["InvoiceID"], ignore=("LoadDate",))
+
+
+def _top_lines(spark, directory):
+    rows = finance.FACTS["FactInvoiceLineTransaction"](Sources(spark, directory), Dimensions(spark, directory, "finance"))
+    return flat(report.top_rows(rows, 100, F.desc("NetAmount"), "SourceInvoiceLineID"))
+
+
+def _latest_payments(spark, directory):
+    """Three latest payments of each customer."""
+    rows = finance.FACTS["FactCustomerPaymentTransaction"](Sources(spark, directory), Dimensions(spark, directory, "finance"))
+    rows = rows.select("DimCustomerID", "DimDateID", "PaymentAmount", "SourcePaymentID")
+    return flat(report.top_by(rows, ["DimCustomerID"], 3, F.desc("DimDateID"), "SourcePaymentID"))
+
+
+def _dimension_sizes(spark, directory):
+    """Rows of each dimension of the three marts after both loads, the largest first."""
+    tables = {name: d[name] for mart, module in MARTS.items() for d in [Dimensions(spark, directory, mart)] for name in module.DIMENSIONS}
+    return quality.row_counts(tables).orderBy(F.desc("RowCount"), "TableName")
+
+
 def _duplicate_keys(spark, directory):
     return quality.repeated_keys(spark.read.parquet(f"{directory}/lineitem.parquet"), ["l_orderkey", "l_linenumber"])
 
@@ -340,6 +381,13 @@ def registry() -> dict:
     found["finance_payments_shifted_days"] = _shifted_days
     found["row_counts"] = _row_counts
     found["orphan_report"] = _orphan_report
+    found["referential_report"] = _referential_report
+    for mart in MARTS:
+        found[f"referential_report_{mart}_facts"] = partial(_fact_references, mart)
+    found["staging_reconciliation"] = _reconciliation
+    found["report_top_invoice_lines"] = _top_lines
+    found["report_latest_payments"] = _latest_payments
+    found["report_dimension_sizes"] = _dimension_sizes
     found["duplicate_keys"] = _duplicate_keys
     found["container_movement_gaps"] = _container_gaps
     found["asof_lookup"] = _asof_lookup

@@ -10,6 +10,7 @@ import re
 
 from dockside.operators.keys import BUCKETS
 from dockside.plans import finance, hr, port
+from dockside.plans.links import FACT_KEYS, SOURCE_LINKS
 from dockside.plans.staging import STAGES
 from dockside.queries import _EARLIER, FACT_QUERY, HEADCOUNT_YEAR, HR_LAST_LOAD, HR_RUN_DATE, MARTS, RUN_DATES, STAGED_AT, snake
 from dockside.sources.adapter import CALENDAR_END, CALENDAR_START, SOURCES, with_clause
@@ -584,6 +585,33 @@ def _orphans(child, column, parent, parent_column) -> str:
 where c.{column} is not null and not exists (select 1 from a_{parent} p where p.{parent_column} = c.{column})"""
 
 
+def _references(child, rows, column, parent, parent_column):
+    """One row for a link; a key of -1 is the unknown member."""
+    known = f"(select distinct cast({parent_column} as varchar) as known from {parent})"
+    return f"""select '{child}.{column}' as ForeignKey, count(*) filter (x.v is not null and p.known is null) as Orphans,
+  count(distinct x.v) filter (p.known is null) as OrphanValues from (select nullif(cast({column} as varchar), '-1') as v from {rows}) x
+left join {known} p on x.v = p.known"""
+
+
+# The dimension keys of each fact
+_FACT_KEYS = {
+    "FactInvoiceLineTransaction": "DimInvoiceID DimCustomerID DimServiceTypeID DimTaxID DimDateID",
+    "FactCustomerPaymentTransaction": "DimPaymentMethodID DimInvoiceID DimCustomerID DimDateID",
+    "FactCustomerBillingMonthlySnapshot": "DimCustomerID DimDateID DimBillingCycleID",
+    "FactInvoiceLifecycleAccumulating": "DimInvoiceID DimCustomerID DimContractID",
+    "FactCustomerContractActivationFactless": "DimDateID DimCustomerID DimContractID",
+    "FactTermination": "EmployeeKey DepartmentKey JobTitleKey TerminationReasonKey",
+    "FactSalaryPayment": "EmployeeKey DepartmentKey JobTitleKey",
+    "FactEmployeeAttendance": "EmployeeKey",
+    "FactMonthlyEmployeePerformance": "EmployeeKey DepartmentKey",
+    "FactEmployeeLifecycle": "EmployeeKey TerminationReasonKey",
+    "FactCargoOperationTransactional": "ShipSK PortSK ContainerSK EquipmentSK EmployeeSK",
+    "FactPortCallPeriodicSnapshot": "PortSK",
+    "FactContainerMovementsAcc": "PortSK",
+    "FactEquipmentAssignment": "EquipmentSK EmployeeSK PortSK",
+}
+
+
 def _counts(texts: dict) -> str:
     return compose(" union all ".join(f"select '{name}' as TableName, count(*) as RowCount from ({text})" for name, text in texts.items()))
 
@@ -662,6 +690,25 @@ from ({payments(_now)}) p join d_Days dd on p.DimDateID = dd.DimDateID group by
             ]
         )
     )
+    found["referential_report"] = compose(" union all ".join(_references(c, f"a_{c}", k, f"a_{p}", pk) for c, k, p, pk in SOURCE_LINKS))
+    for mart, module in MARTS.items():
+        keys = FACT_KEYS[mart]
+        dims = {k: "d_Days" if dim == "DimDate" else f"d_{dim}" for k, dim in keys.items()}
+        links = [(fact, k) for fact in module.FACTS for k in _FACT_KEYS[fact].split()]
+        found[f"referential_report_{mart}_facts"] = compose(" union all ".join(_references(f, f"({FACT_SQL[f](_now)})", k, dims[k], k) for f, k in links))
+    found["staging_reconciliation"] = compose(
+        """select InvoiceID, 'missing in staging' as Difference, 1 as SourceRows, 0 as StagedRows from a_Invoice where InvoiceID % 97 = 5
+union all select InvoiceID, 'different', 1, 1 from a_Invoice where InvoiceID % 97 = 6
+union all select InvoiceID + 1000000000, 'not at the source', 0, 1 from a_Invoice where InvoiceID % 97 = 7"""
+    )
+    found["report_top_invoice_lines"] = compose(
+        _show(f"select * from ({invoice_lines(_now)}) order by NetAmount desc, SourceInvoiceLineID limit 100", _AMOUNTS["FactInvoiceLineTransaction"])
+    )
+    found["report_latest_payments"] = compose(
+        f"""select DimCustomerID, DimDateID, cast(PaymentAmount as double) as PaymentAmount, SourcePaymentID, Position from (
+  select *, row_number() over (partition by DimCustomerID order by DimDateID desc, SourcePaymentID) as Position from ({payments(_now)})) where Position <= 3"""
+    )
+    found["report_dimension_sizes"] = compose(" union all ".join(f"select '{n}' as TableName, count(*) as RowCount from d_{n}" for n in MART_OF))
     found["duplicate_keys"] = "select l_orderkey, l_linenumber, count(*) as Occurrences from lineitem group by l_orderkey, l_linenumber having count(*) > 1"
     joined = "from a_CargoOperation co left join a_PortCall_v1 pc on co.PortCallID = pc.PortCallID left join a_Container c on co.ContainerID = c.ContainerID"
     gaps = {"CargoOpID": "co.CargoOpID", "OperationType": "co.OperationType", "Quantity": "co.Quantity", "CallPortID": "pc.PortID", "BoxTypeID": "c.ContainerTypeID"}

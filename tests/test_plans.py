@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from dockside.operators import quality, reconcile, report
 from dockside.operators.lookup import as_of, version_lookup
 from dockside.plans import hr
 from dockside.plans.loads import Run, run_load
@@ -95,3 +96,35 @@ def test_filters_and_columns_reach_the_staged_files(spark, small, tmp_path):
     plan = plan_of(hr.update_attendance(current, tables, tables, "2024-01-15", "2024-01-31"))
     assert re.search(r"PushedFilters: \[[^\]]*LessThanOrEqual\(AttendanceDate,2024-01-31\)", plan)
     assert "HoursWorked" not in plan
+
+
+def test_ordered_reports_limit_before_they_shuffle(spark):
+    rows = spark.range(0, 5000, 1, 8).selectExpr("id", "id % 7 as k", "md5(string(id)) as v")
+    top = report.top_rows(rows, 5, F.desc("v"), "id")
+    assert "TakeOrderedAndProject" in plan_of(top)
+    assert [r.v for r in top.collect()] == sorted((r.v for r in rows.collect()), reverse=True)[:5]
+    by = report.top_by(rows, ["k"], 3, "v", "id")
+    plan = plan_of(by)
+    assert plan.count("WindowGroupLimit") == 2 and by.count() == 21
+
+
+def test_reconciliation_reads_only_the_buckets_that_differ(spark, monkeypatch):
+    source = spark.range(0, 3000, 1, 4).selectExpr("cast(id as int) as id", "cast(id as decimal(9,2)) as amount", "if(id % 5 = 0, null, string(id)) as name")
+    staged = source.selectExpr("cast(id as bigint) as id", "cast(amount as decimal(18,4)) as amount", "name", "current_date() as LoadDate")
+    assert reconcile.reconcile(source, staged, ["id"]).isEmpty() and reconcile.bucket_differences(source, staged, ["id"]).isEmpty()
+    other = staged.where("id not in (10, 11)").withColumn("name", F.expr("if(id = 15, '15', name)")).unionByName(staged.where("id = 20"))
+    assert reconcile.bucket_differences(source, other, ["id"]).count() <= 4
+    found = reconcile.reconcile(source, other, ["id"])
+    assert sorted(tuple(r) for r in found.collect()) == [(10, "missing in staging", 1, 0), (11, "missing in staging", 1, 0), (15, "different", 1, 1), (20, "different", 1, 2)]
+    assert reconcile.reconcile(other, source, ["id"]).where("Difference = 'not at the source'").count() == 2
+
+
+def test_all_references_meet_in_one_shuffle(spark):
+    tables = {
+        "Child": spark.createDataFrame([(1, 5, "a"), (2, 6, "b"), (2, None, "b"), (-1, 7, None), (9, 9, "z")], "p int, q long, r string"),
+        "P": spark.createDataFrame([(1,), (2,), (2,), (None,)], "id long"),
+        "R": spark.createDataFrame([("a",), ("b",)], "r string"),
+    }
+    found = quality.referential_report([("Child", "p", "P", "id"), ("Child", "q", "P", "id"), ("Child", "r", "R", "r")], tables)
+    assert sorted(tuple(r) for r in found.collect()) == [("Child.p", 1, 1), ("Child.q", 4, 4), ("Child.r", 1, 1)]
+    assert "Join" not in plan_of(found)
