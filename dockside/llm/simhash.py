@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dockside.llm.components import roots
 from dockside.llm.storage import Scratch, small_batches
@@ -54,15 +54,21 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp): one row per row of ``docs``; fp is the fingerprint as a signed long."""
+    """(id, digest, fp): one row per row of ``docs``; fp is the fingerprint as a signed long, digest the text's MD5."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(values.view(np.int64))], ["id", "digest", "fp"])
 
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    return small_batches(source).mapInArrow(run, "id long, fp long")
+    text = F.col(text_col).cast("string")
+    source = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t"), digest_of(text).alias("digest"))
+    return small_batches(source).mapInArrow(run, "id long, digest binary, fp long")
+
+
+def digest_of(text: Column) -> Column:
+    """16 bytes of a text; null has none."""
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def covering_masks(bits: list[int], radius: int = RADIUS) -> list[int]:
@@ -134,18 +140,44 @@ def near_duplicates(
     same result; rows that share an id but not a text are classed each by its own text. Other columns are not read.
     """
     scratch = Scratch(spark, "simhash")
+    rows, rooted = _rooted(spark, docs, scratch, id_col, text_col, shingle, radius)
+    least = scratch.keep(rooted.groupBy("root").agg(F.min("least").alias("component")), "least")
+    component = rooted.select("fp", "root").join(least, "root").select("fp", "component")
+    return rows.join(component, "fp").select("id", "fp", "component")
+
+
+def _rooted(spark: SparkSession, docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, rooted): all rows as (id, digest, fp); each fingerprint as (fp, least, root), root being its component."""
     rows = scratch.keep(fingerprints(docs, id_col, text_col, shingle), "rows")
     classes = scratch.keep(rows.groupBy("fp").agg(F.min("id").alias("least")), "classes")
     root = roots(links(classes.select("fp"), radius), scratch)
     rooted = classes.join(root, classes.fp == root.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    rooted = scratch.keep(rooted, "rooted")
-    least = scratch.keep(rooted.groupBy("root").agg(F.min("least").alias("component")), "least")
-    component = rooted.select("fp", "root").join(least, "root").select("fp", "component")
-    return rows.join(component, "fp").select("id", "fp", "component")
+    return rows, scratch.keep(rooted, "rooted")
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each component: that with the smallest id, of equal ids the smallest digest; a null id comes last.
+
+    Rows are told apart by id and text, so a text that shares its id with a near duplicate stays, and copies without ids leave
+    one. Of rows equal in both one stays. Components and their members are summed in part before they are shuffled.
+    """
+    scratch = Scratch(spark, "simhash")
+    rows, rooted = _rooted(spark, docs, scratch, id_col, text_col, SHINGLE, RADIUS)
+    key = F.struct(F.col("id").isNull().alias("unnamed"), F.col("id").alias("id"), F.col("digest").alias("digest"))
+    of_fp = scratch.keep(rows.groupBy("fp").agg(F.min(key).alias("first")).join(rooted.select("fp", "root"), "fp"), "firsts")
+    first = scratch.keep(of_fp.groupBy("root").agg(F.min("first").alias("kept")), "kept")
+    kept = of_fp.join(first, "root").select("fp", "kept")
+    judged = rows.join(kept, "fp").select("id", "digest", (F.col("kept.id").eqNullSafe(F.col("id")) & F.col("kept.digest").eqNullSafe(F.col("digest"))).alias("stays"))
+    judged = judged.groupBy(F.col("id").alias("_id"), F.col("digest").alias("_digest")).agg(F.max("stays").alias("_stays"), F.count(F.lit(1)).alias("_n"))
+    judged = scratch.keep(judged.where("not _stays or _n > 1"), "judged")
+    # a column of the documents may have any name: their row is one value beside the key
+    whole = docs.select(F.col(id_col).cast("long").alias("id"), digest_of(F.col(text_col).cast("string")).alias("digest"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & F.col("digest").eqNullSafe(F.col("_digest"))
+    left = whole.join(judged, same, "left_anti").select("row")
+    repeated = judged.where("_stays")
+    if not repeated.isEmpty():
+        once = whole.join(repeated, same, "left_semi").groupBy("id", "digest").agg(F.any_value("row").alias("row"))
+        left = left.unionByName(once.select("row"))
+    return left.select("row.*")
 
 
-def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents whose id is their component's smallest; rows without an id stay, as nothing can name them."""
-    found = near_duplicates(spark, docs)
-    gone = found.where("id != component").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

@@ -99,7 +99,7 @@ def test_near_duplicates_of_awkward_rows(spark):
 
 def test_one_of_each_group_stays(spark):
     kept = simhash.keep_one(spark, awkward(spark))
-    assert sorted((r.doc_id or 0 for r in kept.collect())) == [0, 0, 1, 3, 6, 7, 8]
+    assert sorted((r.doc_id or 0 for r in kept.collect())) == [0, 1, 3, 6, 7, 8]  # the row without id and text goes with the empty ones
     assert kept.columns == awkward(spark).columns
 
 
