@@ -107,17 +107,20 @@ def redact(spark: SparkSession, docs: DataFrame) -> DataFrame:
     Overlapping spans get one mask. All rows stay; texts without spans, null and empty ones too, are left as they are.
     """
     ledger = Ledger(spark, Scratch(spark, "secrets").path("ledger"))
-    found = ledger.scan(docs, "0").where(F.size("found") > 0).select(F.col("blob").alias("_blob"), F.col("found").alias("_found"))
-    joined = docs.withColumn("_own", blob_of(F.col("text"))).join(found, F.col("_own") == F.col("_blob"), "left")
+    found = ledger.scan(docs, "0").where(F.size("found") > 0).select("blob", "found")
+    # a column of the documents may have any name: their row is one value beside the key
+    rows = docs.select(blob_of(F.col("text")).alias("own"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = rows.join(found, F.col("own") == F.col("blob"), "left")
+    text = F.col("row.text")
 
     def step(done: Column, span: Column) -> Column:
-        gap = F.substring(F.col("text"), done["at"] + 1, span["start"] - done["at"])
+        gap = F.substring(text, done["at"] + 1, span["start"] - done["at"])
         more = F.when(span["start"] >= done["at"], F.concat(gap, F.lit(MASK))).otherwise(F.lit(""))
         return F.struct(F.greatest(done["at"], span["end"]).alias("at"), F.concat(done["out"], more).alias("out"))
 
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda done: F.concat(done["out"], F.substring(F.col("text"), done["at"] + 1, F.length("text")))
-    masked = joined.withColumn("_text", F.when(F.col("_found").isNotNull(), F.aggregate("_found", begin, step, rest)).otherwise(F.col("text")))
-    n_chars = F.when(F.col("_found").isNotNull(), F.length("_text").cast("long")).otherwise(F.col("n_chars"))
-    changed = {"text": F.col("_text"), "n_chars": n_chars}
-    return masked.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    rest = lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
+    masked = joined.select("row", F.when(F.col("found").isNotNull(), F.aggregate("found", begin, step, rest)).alias("masked"))
+    n_chars = F.when(F.col("masked").isNotNull(), F.length("masked").cast("long")).otherwise(F.col("row.n_chars"))
+    changed = {"text": F.coalesce("masked", text), "n_chars": n_chars}
+    return masked.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
