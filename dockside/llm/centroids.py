@@ -12,11 +12,11 @@ it, from which follow the centroids; the stored jumps also give the path from a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from dockside.llm.storage import Scratch
@@ -35,7 +35,7 @@ def subtree_sums(nodes: DataFrame, values: Sequence[str], scratch: Scratch, loca
     while True:
         steps, tops, below = _jumps(open_, scratch, turn)
         placed = scratch.keep(open_.join(tops, "id").join(below, "id", "left").withColumn("below", 1 + F.coalesce("below", F.lit(0))), f"placed-{turn}")
-        sized = placed.join(placed.where("id = top").select("top", F.col("below").alias("_size")), "top")
+        sized = scratch.keep(placed.join(placed.where("id = top").select("top", F.col("below").alias("_size")), "top"), f"sized-{turn}")
         totals.append(scratch.keep(placed.groupBy("top").agg(*[F.sum(v).alias(v) for v in values]), f"totals-{turn}"))
         small = sized.where(F.col("_size") <= local)
         done.append(scratch.keep(_decomposed(small.select("top", "id", "up", *values), values), f"sums-{turn}"))
@@ -104,19 +104,35 @@ def _added(nodes, values, done, paths, cuts, totals, scratch) -> DataFrame:
 
 
 def _decomposed(rows: DataFrame, values: Sequence[str]) -> DataFrame:
-    """(id, *values): the sums of components of bounded size, one at a time."""
-
-    def component(group: pd.DataFrame) -> pd.DataFrame:
-        ids, ups = group["id"].to_numpy(), group["up"].to_numpy()
+    """(id, *values): the sums of components of bounded size; each lies in one task, which takes them as they stream by, sorted."""
+    names = ["top", "id", "up", *values]
+
+    def components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.empty((0, len(names)), np.int64)
+        for batch in batches:
+            held = np.vstack([held, np.column_stack([batch.column(n).to_numpy() for n in names])])
+            if len(held):
+                whole = int(np.searchsorted(held[:, 0], held[-1, 0]))  # the last component may go on
+                yield summed(held[:whole])
+                held = held[whole:]
+        yield summed(held)
+
+    def summed(table: np.ndarray) -> pa.RecordBatch:
+        ids, ups, sums = table[:, 1], table[:, 2], table[:, 3:].copy()
         order = np.argsort(ids)
-        parents = np.where(ups == ids, -1, order[np.searchsorted(ids[order], ups)])
-        sums = decompose(parents, group[list(values)].to_numpy(dtype=np.int64))
-        return pd.DataFrame({"id": ids, **{v: sums[:, k] for k, v in enumerate(values)}})
+        parents = np.where(ups == ids, -1, order[np.searchsorted(ids[order], ups)]) if len(ids) else ids
+        starts = np.flatnonzero(np.diff(table[:, 0], prepend=table[0, 0] - 1)) if len(ids) else ids
+        ends = np.append(starts[1:], len(ids))
+        for start, end in zip(starts[ends - starts > 1], ends[ends - starts > 1]):
+            of = parents[start:end]
+            sums[start:end] = decompose(np.where(of < 0, -1, of - start), sums[start:end])
+        return pa.RecordBatch.from_arrays([pa.array(ids), *[pa.array(c) for c in sums.T]], ["id", *values])
 
     schema = "id long, " + ", ".join(f"{v} long" for v in values)
     # the work on a component is far more than its bytes tell: as many tasks as the session has partitions
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.withColumn("up", F.coalesce("up", "id")).repartition(tasks, "top").groupBy("top").applyInPandas(component, schema)
+    dealt = rows.select("top", "id", F.coalesce("up", "id").alias("up"), *values).repartition(tasks, "top").sortWithinPartitions("top")
+    return dealt.mapInArrow(components, schema)
 
 
 def decompose(parents: np.ndarray, own: np.ndarray) -> np.ndarray:
