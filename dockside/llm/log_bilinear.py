@@ -99,10 +99,15 @@ def _index(names: pa.Array, among: pa.Array) -> np.ndarray:
 
 
 def gather(counts: DataFrame, texts: int) -> Counts:
-    """Lists and totals of ``counts(word, n)``; only the ``HOT`` most frequent words come to the driver, the first of equals by code points."""
+    """Lists and totals of ``counts(word, n)``. The hot words that come to the driver are those of the highest levels of frequency
+    (sixteen to a doubling) that have at most ``HOT`` words together: no task sorts or passes on more than it keeps."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    hot = counts.where(F.length("word") <= HOT_LETTERS).orderBy(F.desc("n"), "word").limit(HOT).toArrow()
-    words, n = hot.column("word").combine_chunks(), hot.column("n").to_numpy()
+    short = counts.where(F.length("word") <= HOT_LETTERS).withColumn("level", F.floor(16 * F.log2("n")))
+    sizes = sorted(short.groupBy("level").count().collect(), reverse=True)
+    full = np.cumsum([r["count"] for r in sizes]) <= HOT
+    least = min((r.level for r, fits in zip(sizes, full) if fits), default=1 << 20)
+    hot = short.where(F.col("level") >= int(least)).select("word", "n").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    words, n = pa.chunked_array(hot.column("word").chunks, pa.string()).combine_chunks(), hot.column("n").to_numpy()
     known = counts.sparkSession.createDataFrame([(w,) for w in words[:WORDS].to_pylist()], "known string")
     rest = counts.join(known, F.col("word") == F.col("known"), "left_anti").groupBy(F.right("word", F.lit(2)).alias("ending"))
     rest = rest.agg(F.count(F.lit(1)).alias("types"), F.sum("n").alias("tokens"))
