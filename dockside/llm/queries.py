@@ -64,7 +64,7 @@ def op6_simhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op7_license_scans(spark: SparkSession, directory: str) -> DataFrame:
-    return licenses.scan(_table(spark, directory, "documents"))
+    return licenses.scan(_table(spark, directory, "documents"), licenses.TEMPLATES + licenses.NOTICES)
 
 
 def op8_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:

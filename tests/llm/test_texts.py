@@ -75,21 +75,12 @@ def test_licenses_are_found_whole_changed_and_nowhere_else(spark, small):
     assert licenses.scan(awkward(spark, [])).count() == 0 and licenses.scan(awkward(spark), [("none", "...")]).count() == 0
 
 
-def test_license_lines_of_the_table(spark, small):
-    got = sorted((r.doc_id, r.start, r.license) for r in registry()["op7_license_scans"](spark, small).collect())
-    want = []
-    for r in spark.read.parquet(f"{small}/documents.parquet").collect():
-        for name in ("Apache-2.0", "MIT", "GPL-3.0", "CC-BY-NC-4.0"):
-            want += [(r.doc_id, m.start(), name) for m in re.finditer(re.escape(dict(licenses.TEMPLATES)[name]), r.text)]
-    assert got == sorted(want)
-
-
 def test_every_notice_of_the_table(spark, small):
-    docs = spark.read.parquet(f"{small}/documents.parquet")
-    got = sorted((r.doc_id, r.start, r.license) for r in licenses.scan(docs, licenses.TEMPLATES + licenses.NOTICES).collect())
+    got = sorted((r.doc_id, r.start, r.license) for r in registry()["op7_license_scans"](spark, small).collect())
     notices = {name: text for name, text in licenses.TEMPLATES + licenses.NOTICES if len(text) < 80 and not name.endswith("-text")}
-    want = [(r.doc_id, m.start(), name) for r in docs.collect() for name, text in notices.items() for m in re.finditer(re.escape(text), r.text)]
-    assert got == sorted(want) and sum(name == "All-rights-reserved" for _, _, name in got) == 3
+    docs = spark.read.parquet(f"{small}/documents.parquet").collect()
+    want = [(r.doc_id, m.start(), name) for r in docs for name, text in notices.items() for m in re.finditer(re.escape(text), r.text)]
+    assert got == sorted(want) and {"All-rights-reserved", "Apache-2.0", "MIT", "GPL-3.0", "CC-BY-NC-4.0"} <= {name for _, _, name in got}
 
 
 @pytest.mark.parametrize("name", ["Apache-2.0", "GPL-3.0", "MPL-2.0"])
