@@ -14,6 +14,8 @@ CHOSEN = [
     "dim_employee_update", "dim_container_update", "dim_job_title_update", "fact_invoice_line_first", "fact_billing_snapshot_reference_grain",
     "fact_invoice_lifecycle_update", "fact_customer_payment_update", "fact_termination_update", "fact_employee_lifecycle_update",
     "fact_monthly_performance_update", "fact_cargo_operation_update", "fact_port_call_snapshot_update", "fact_yearly_headcount", "load_port_facts_update",
+    "fact_billing_snapshot_after_corrections", "fact_employee_lifecycle_after_corrections", "fact_port_call_snapshot_after_corrections",
+    "referential_report", "staging_reconciliation", "report_top_invoice_lines", "report_latest_payments",
     "asof_lookup", "orphan_report", "hr_facts_after_two_nights", "finance_payments_shifted_days",
 ]
 
