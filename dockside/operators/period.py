@@ -5,6 +5,10 @@ of today's staged rows: the months that differ are the batch's, few and known be
 literal filters, on the staged side as ranges of days, on the published side as a list of partitions; the anti-join by
 source id sees nothing else. A staged row that found no dimension keeps its month differing, so it is taken up again, and so
 does a loaded row that has gone at the source, which the fact keeps.
+
+Tables that are updated in place (an accumulating snapshot, a dimension of type 1) can be laid out likewise. The signatures then
+are those of the source, and a night rewrites the months in which it differs from the night before; the log carries over
+the directories of the others.
 """
 
 import datetime as dt
@@ -12,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from dockside.operators import increment, signature
+from dockside.operators import increment, scd, signature
 from dockside.sources.overlay import Overlay
 
 MONTH = "SourceMonth"  # year * 100 + month
@@ -62,6 +66,42 @@ class Period:
         return Overlay(s, **{self.table: rows, self.parent: parents})
 
 
+def laid_out(rows: DataFrame, day: str) -> DataFrame:
+    """``rows`` with the month of ``day``; 0 where it is null."""
+    return rows.withColumn(MONTH, F.coalesce(month_of(F.col(day).cast("date")), F.lit(0)))
+
+
+def dated_in(day: str, months):
+    """``day`` lies in one of the ``months`` as ``laid_out`` numbers them, as ranges that reach the scan."""
+    found = signature.in_months(day, [dt.date(m // 100, m % 100, 1) for m in months if m])
+    return found | F.col(day).isNull() if 0 in months else found
+
+
+def homes(current: DataFrame, wanted: DataFrame, keys, months) -> list[int]:
+    """``months`` and the other ones that hold published rows with the keys of ``wanted``: those that have moved to another month at the
+    source, or gone and come back. Only keys that no row of ``months`` has are looked for, in the key columns of the rest."""
+    inside = F.col(MONTH).isin(months)
+    strangers = wanted.select(*keys).join(current.where(inside).select(*keys), list(keys), "left_anti")
+    found = current.where(~inside).join(strangers, list(keys), "left_semi").select(MONTH).distinct().collect()
+    return sorted({*months, *(r[0] for r in found)})
+
+
+def update_members(current: DataFrame, source: DataFrame, dim: scd.Dimension, day: str, run_date, months) -> tuple[DataFrame, list[int]]:
+    """The next rows of the months that staged members of ``months`` touch, with ``ChangeType``, and these months; all other
+    published rows stay as they are. ``current`` is laid out by ``day``. One row a member, so not for versioned dimensions."""
+    if dim.kind == "versioned":
+        raise ValueError(f"{dim.name} has several rows a member, which may lie in several months")
+    staged = source.where(dated_in(day, months))
+    touched = homes(current, staged, dim.business_key, months)
+    rows = scd.update(current.where(F.col(MONTH).isin(touched)), staged, dim, run_date, among=current)
+    return laid_out(rows, day), touched
+
+
+def member_signatures(source: DataFrame, dim: scd.Dimension, day: str) -> DataFrame:
+    """One signature per month of ``day`` of what the source says of the dimension's members."""
+    return signature.signatures(laid_out(source, day), [MONTH], [*dim.business_key, *dim.attributes])
+
+
 def batch_months(seen: DataFrame, now: DataFrame) -> list[int]:
     """The months whose rows differ; as many as there are months at most."""
     return sorted(r[0] for r in signature.touched(seen, now, [MONTH]).collect() if r[0] is not None)

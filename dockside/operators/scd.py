@@ -82,8 +82,9 @@ def first_load(source: DataFrame, dim: Dimension, run_date) -> DataFrame:
     return with_unknown(table, dim.key, dim.unknown) if dim.unknown else table
 
 
-def update(current: DataFrame, source: DataFrame, dim: Dimension, run_date, compare: bool = True) -> DataFrame:
-    """Next state of the whole dimension plus ``ChangeType``; without ``compare`` only unseen members are added."""
+def update(current: DataFrame, source: DataFrame, dim: Dimension, run_date, compare: bool = True, among: DataFrame | None = None) -> DataFrame:
+    """Next state of the whole dimension plus ``ChangeType``; without ``compare`` only unseen members are added. Where ``current`` is
+    a part of the dimension, ``among`` is the whole, above whose keys new ones start."""
     versioned = dim.kind == "versioned"
     live = current.where(dim.current) if versioned else current
     rows = _paired(live, _members(source, dim, run_date), dim)
@@ -103,7 +104,7 @@ def update(current: DataFrame, source: DataFrame, dim: Dimension, run_date, comp
     steps = {"overwrite": _overwrite, "versioned": _version, "previous_value": _shift, "insert_only": _keep}
     next_value = steps[dim.kind if compare else "insert_only"]
     result = rows.select(
-        F.when(F.col("_fresh"), interleaved(highest_key(current, dim.key), F.col("_rank"))).otherwise(F.col(dim.key)).alias(dim.key),
+        F.when(F.col("_fresh"), interleaved(highest_key(current if among is None else among, dim.key), F.col("_rank"))).otherwise(F.col(dim.key)).alias(dim.key),
         *[F.expr(f"if(_fresh, {_first_value(c, dim, today)}, {next_value(c, dim, today)}) as `{c}`") for c in dim.columns[1:]],
         F.expr(f"case when _fresh then 'inserted' when _expire then 'expired' when _differs then 'updated' else 'kept' end as {CHANGE}"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from dockside.functions.dates import month_start
 from dockside.operators import increment, signature
 from dockside.operators.lookup import date_keys, key_lookup, version_lookup
-from dockside.operators.period import MONTH, Period, month_of
+from dockside.operators.period import MONTH, Period, dated_in, homes, month_of
 from dockside.operators.scd import Dimension
 from dockside.sources.overlay import Overlay
 
@@ -180,23 +180,29 @@ def billing_snapshot(s, d, reference_grain: bool = False) -> DataFrame:
     )
 
 
-def invoice_lifecycle(s, d) -> DataFrame:
-    """Accumulating snapshot, one row per invoice, with its payment milestones."""
+def _lifecycle_keys(s, d) -> DataFrame:
+    """Invoices that find their dimensions, with the keys of these."""
+    rows = key_lookup(_invoices(s), d["DimInvoice"], "InvoiceNumber", "DimInvoiceID")
+    rows = key_lookup(rows, d["DimContract"], "ContractNumber", "DimContractID")
+    rows = version_lookup(rows, d["DimCustomer"], "CustomerCode", "InvoiceDate", "DimCustomerID")
+    for day, lookup in date_keys(d["DimDate"], "DimDateID", InvoiceDate="InvoiceDateID", DueDate="DueDateID").items():
+        rows = rows.join(lookup, day)
+    return rows
+
+
+def invoice_lifecycle(s, d, month: bool = False) -> DataFrame:
+    """Accumulating snapshot, one row per invoice, with its payment milestones. ``month`` adds that of the invoice."""
     paid = s["Payment"].groupBy("InvoiceID").agg(
         F.sum("Amount").alias("_paid"), F.count(F.lit(1)).alias("_count"),
         F.min("PaymentDate").alias("FirstPayDate"), F.max("PaymentDate").alias("LastPayDate"),
     )
-    rows = key_lookup(_invoices(s), d["DimInvoice"], "InvoiceNumber", "DimInvoiceID")
-    rows = key_lookup(rows, d["DimContract"], "ContractNumber", "DimContractID")
-    rows = version_lookup(rows, d["DimCustomer"], "CustomerCode", "InvoiceDate", "DimCustomerID")
-    rows = rows.join(paid, "InvoiceID", "left")
-    roles = dict(InvoiceDate="InvoiceDateID", DueDate="DueDateID", FirstPayDate="FirstPaymentDateID", LastPayDate="FinalPaymentDateID")
-    for day, lookup in date_keys(d["DimDate"], "DimDateID", **roles).items():
-        rows = rows.join(lookup, day, "left" if day.endswith("PayDate") else "inner")
+    rows = _lifecycle_keys(s, d).join(paid, "InvoiceID", "left")
+    for day, lookup in date_keys(d["DimDate"], "DimDateID", FirstPayDate="FirstPaymentDateID", LastPayDate="FinalPaymentDateID").items():
+        rows = rows.join(lookup, day, "left")
     amount = F.coalesce(F.col("_paid"), F.lit(0))
     last = F.date_diff("LastPayDate", "InvoiceDate")
     return rows.select(
-        "DimInvoiceID", "DimCustomerID", "DimContractID", *roles.values(),
+        "DimInvoiceID", "DimCustomerID", "DimContractID", "InvoiceDateID", "DueDateID", "FirstPaymentDateID", "FinalPaymentDateID",
         F.col("TotalAmount").cast(MONEY).alias("TotalAmount"),
         amount.cast(MONEY).alias("PaidAmount"),
         (F.col("TotalAmount") - amount).cast(MONEY).alias("OutstandingAmount"),
@@ -204,6 +210,7 @@ def invoice_lifecycle(s, d) -> DataFrame:
         F.date_diff("FirstPayDate", "InvoiceDate").alias("FirstPaymentDelay"),
         last.alias("FinalPaymentDelay"),
         last.alias("DaysToClose"),
+        *([month_of("InvoiceDate").alias(MONTH)] if month else []),
     )
 
 
@@ -280,12 +287,32 @@ def update_billing_snapshot(current, s, d, seen=None) -> DataFrame:
     return increment.replace_keys(current, billing_snapshot(Overlay(s, **touched), d), BILLED, changed)
 
 
+MILESTONES = (
+    "FirstPaymentDateID", "FinalPaymentDateID", "PaidAmount", "OutstandingAmount",
+    "PaymentCount", "FirstPaymentDelay", "FinalPaymentDelay", "DaysToClose",
+)
+
+
 def update_invoice_lifecycle(current, s, d) -> DataFrame:
-    milestones = (
-        "FirstPaymentDateID", "FinalPaymentDateID", "PaidAmount", "OutstandingAmount",
-        "PaymentCount", "FirstPaymentDelay", "FinalPaymentDelay", "DaysToClose",
-    )
-    return increment.merge(current, invoice_lifecycle(s, d), ["DimInvoiceID"], milestones)
+    return increment.merge(current, invoice_lifecycle(s, d), ["DimInvoiceID"], MILESTONES)
+
+
+def lifecycle_signatures(s, d) -> DataFrame:
+    """One signature per invoice month of the invoices, their keys and their payments."""
+    paid = signature.signed("Payment", *SIGNED_CHILDREN["Payment"], s)
+    rows = _lifecycle_keys(s, d).join(paid, "InvoiceID", "left").withColumn(MONTH, month_of("InvoiceDate"))
+    used = ["DimInvoiceID", "DimCustomerID", "DimContractID", "InvoiceDateID", "DueDateID", "TotalAmount", *signature.named("Payment")]
+    return signature.signatures(rows, [MONTH], used)
+
+
+def merge_invoice_lifecycle(current, s, d, months) -> tuple[DataFrame, list[int]]:
+    """The rows of the months that invoices of ``months`` touch after ``update_invoice_lifecycle``, and these months. A row stays in the
+    month that it was first published in."""
+    invoices = s["Invoice"].where(dated_in("InvoiceDate", months))
+    cut = Overlay(s, Invoice=invoices, Payment=s["Payment"].join(invoices.select("InvoiceID"), "InvoiceID", "left_semi"))
+    touched = homes(current, _lifecycle_keys(cut, d), ["DimInvoiceID"], months)
+    built = invoice_lifecycle(cut, d, month=True)
+    return increment.merge(current.where(F.col(MONTH).isin(touched)), built, ["DimInvoiceID"], MILESTONES), touched
 
 
 def update_contract_activations(current, s, d) -> DataFrame:
@@ -308,6 +335,10 @@ SIGNED_CHILDREN = {
 SIGNATURES = {"FactCustomerBillingMonthlySnapshot": billing_signatures}
 FOLLOWED = {}
 
+# Facts and dimensions updated in place, month by month: (signatures of the sources, rows of the touched months), and the day of a member
+MERGED = {"FactInvoiceLifecycleAccumulating": (lifecycle_signatures, merge_invoice_lifecycle)}
+MEMBER_DAYS = {"DimInvoice": "CreatedDate"}
+
 # Facts published by the month of their source rows
 PERIODS = {
     "FactInvoiceLineTransaction": Period("InvoiceLine", "InvoiceLineID", "SourceInvoiceLineID", "InvoiceDate", "Invoice", "InvoiceID"),

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession, functions as F
 
-from dockside.operators import calendar as cal, period, scd, signature
+from dockside.operators import additive, calendar as cal, period, scd, signature
 from dockside.operators.quality import duplicate_count, missing_values, validation_report
 from dockside.plans import finance, hr, port
 from dockside.plans.staging import STAGES, stage
@@ -101,6 +101,8 @@ def _stage_one(run, process, table, spec):
     if spec.table in MARTS[spec.area].SIGNED_CHILDREN:
         by = MARTS[spec.area].SIGNED_CHILDREN[spec.table]
         run.warehouse.replace(process, _signatures_of(table), signature.by_parent(run.warehouse.table(table), *by))
+    for name, sign in getattr(MARTS[spec.area], "STAGED_SIGNATURES", {}).get(spec.table, {}).items():
+        run.warehouse.replace(process, _signatures_of(f"{table}.{name}"), sign({spec.table: run.warehouse.table(table)}))
     for by in MARTS[spec.area].PERIODS.values():
         if by.table == spec.table and by.parent:
             run.warehouse.replace(process, _signatures_of(f"{table}.ids"), by.by_link({by.table: run.warehouse.table(table)}))
@@ -150,7 +152,11 @@ def _dimensions_first(area):
         if area == "hr" and run.warehouse.has(name):  # safe to repeat: adds what is missing
             rows = scd.update(run.warehouse.table(name), source, dim, run.run_date, compare=False)
             return run.warehouse.replace(process, name, rows, report)
-        run.warehouse.replace(process, name, scd.first_load(source, dim, run.run_date), report)
+        rows, day = scd.first_load(source, dim, run.run_date), getattr(module, "MEMBER_DAYS", {}).get(name)
+        if day is None:
+            return run.warehouse.replace(process, name, rows, report)
+        run.warehouse.replace(process, name, period.laid_out(rows, day), report, period.MONTH)
+        run.warehouse.replace(process, _signatures_of(name), period.member_signatures(source, dim, day))
 
     return steps
 
@@ -165,8 +171,20 @@ def _dimensions_update(area):
             yield name, lambda p, t, name=name, dim=dim: load(run, s, w, p, name, dim)
 
     def load(run, s, w, process, name, dim):
-        source = module.dimension_source(name, s)
-        w.replace(process, name, scd.update(w.table(name), source, dim, run.run_date), _key_report(source, dim))
+        source, current = module.dimension_source(name, s), w.table(name)
+        report, day, signed = _key_report(source, dim), getattr(module, "MEMBER_DAYS", {}).get(name), _signatures_of(name)
+        if day is None:
+            return w.replace(process, name, scd.update(current, source, dim, run.run_date), report)
+        now = period.member_signatures(source, dim, day)
+        if w.has(signed) and period.MONTH in current.columns:
+            months = period.batch_months(w.table(signed), now)
+            if not months:
+                return w.skip(process, name, report)
+            rows, touched = period.update_members(current, source, dim, day, run.run_date, months)
+            w.replace_periods(process, name, rows, touched, report, period.MONTH)
+        else:  # published before it was laid out by month
+            w.replace(process, name, period.laid_out(scd.update(current, source, dim, run.run_date), day), report, period.MONTH)
+        w.replace(process, signed, now)
 
     return steps
 
@@ -192,8 +210,14 @@ def _facts_first(area):
             yield HR_CONTROL, lambda p, t: w.advance(HR_CONTROL, run.run_date)
 
     def first(s, d, w, process, name, build):
-        rows = build(s, d, month=True) if name in module.PERIODS else build(s, d)
-        w.replace(process, name, rows, _fact_report(name, s), _layout(module, name))
+        if name in getattr(module, "ADDITIVE", {}):
+            state, _, by, measures = module.ADDITIVE[name]
+            for part, rows in state(s, d).items():
+                w.replace(process, f"{part}.{name}", rows, partition_by=period.MONTH if part == "entries" else None)
+            w.replace(process, f"totals.{name}", additive.totals(w.table(f"entries.{name}"), by, measures))
+            return w.replace(process, name, w.table(f"totals.{name}").drop(additive.ROWS), _fact_report(name, s))
+        layout = _layout(module, name)
+        w.replace(process, name, build(s, d, month=True) if layout else build(s, d), _fact_report(name, s), layout)
         _sign(module, w, process, name, s, d)
         if name in module.PERIODS:
             w.replace(process, _signatures_of(name), module.PERIODS[name].carried(w.table(name)))
@@ -203,12 +227,17 @@ def _facts_first(area):
 
 def _sign(module, w, process, name, s, d):
     """Publish, beside a snapshot, the signatures of what it was built from."""
-    if name in module.SIGNATURES:
-        w.replace(process, _signatures_of(name), module.SIGNATURES[name](s, d))
+    merged = _merged(module, name)
+    if name in module.SIGNATURES or merged:
+        w.replace(process, _signatures_of(name), (merged[0] if merged else module.SIGNATURES[name])(s, d))
+
+
+def _merged(module, name):
+    return getattr(module, "MERGED", {}).get(name)
 
 
 def _layout(module, name):
-    return period.MONTH if name in module.PERIODS else None
+    return period.MONTH if name in module.PERIODS or _merged(module, name) else None
 
 
 def _facts_update(area):
@@ -223,6 +252,8 @@ def _facts_update(area):
             yield HR_CONTROL, lambda p, t: w.advance(HR_CONTROL, run.run_date)
 
     def update(s, d, w, process, name, build, window):
+        if name in getattr(module, "ADDITIVE", {}) and w.has(f"entries.{name}"):
+            return fold(s, d, w, process, name)
         signed, current = _signatures_of(name), w.table(name)
         seen = w.table(signed) if w.has(signed) else None
         if name in module.PERIODS and seen is not None and period.MONTH in current.columns:
@@ -232,10 +263,35 @@ def _facts_update(area):
                 return w.skip(process, name, _fact_report(name, s))
             publish(w, process, name, period.update(current, s, d, by, module.FACTS[name], months, window.get("run_date")), _fact_report(name, s), period.MONTH)
             return w.replace(process, signed, period.carried_after(w.table(name), by, seen, months))
+        if _merged(module, name) and seen is not None and period.MONTH in current.columns:
+            sign, merge = _merged(module, name)
+            now = sign(s, d)
+            months = period.batch_months(seen, now)
+            if not months:
+                return w.skip(process, name, _fact_report(name, s))
+            rows, touched = merge(current, s, d, months)
+            w.replace_periods(process, name, rows, touched, _fact_report(name, s), period.MONTH)
+            return w.replace(process, signed, now)
         rows = build(current, s, d, **window, **({"seen": seen} if name in module.SIGNATURES and seen is not None else {}))
         publish(w, process, name, rows, _fact_report(name, s))
         _sign(module, w, process, name, s, d)
 
+    def fold(s, d, w, process, name):
+        make, changes, by, measures = module.ADDITIVE[name]
+        now = make(s, d)
+        state = {part: w.table(f"{part}.{name}") for part in now}
+        delta = changes(state, s, d)
+        if delta is None:
+            return w.skip(process, name, _fact_report(name, s))
+        w.replace(process, f"deltas.{name}", delta)  # computed once; the parts and the totals take it from there
+        delta = w.table(f"deltas.{name}")
+        w.replace(process, f"totals.{name}", additive.folded(w.table(f"totals.{name}"), delta, by, measures))
+        w.append(process, f"entries.{name}", delta.withColumn(scd.CHANGE, F.lit("inserted")), partition_by=period.MONTH)
+        w.replace(process, name, w.table(f"totals.{name}").drop(additive.ROWS), _fact_report(name, s))
+        for part in now:
+            if part != "entries":
+                w.replace(process, f"{part}.{name}", now[part])
+
     def publish(w, process, table, rows, report, layout=None):
         if table in APPENDED:
             w.append(process, table, rows, report, layout)

@@ -2,9 +2,9 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from dockside.operators import increment, signature
+from dockside.operators import additive, increment, signature
 from dockside.operators.lookup import date_keys, key_lookup, version_lookup
-from dockside.operators.period import MONTH, Period, month_of
+from dockside.operators.period import MONTH, Period, dated_in, laid_out, month_of
 from dockside.operators.quality import missing_values
 from dockside.operators.scd import Dimension
 from dockside.sources.overlay import Overlay
@@ -99,6 +99,61 @@ def container_movements(s, d) -> DataFrame:
     )
 
 
+# The totals by port and container type are sums of parts by call and month of the operations.
+MOVED = ("TotalLoads", "TotalUnloads", "TotalTEU")
+MOVED_BY, MOVED_KEY = ("PortSK", "ContainerTypeID"), ("PortCallID", MONTH)
+
+
+def movement_entries(s, d) -> DataFrame:
+    quantity, kind = F.col("Quantity"), F.col("OperationType")
+    calls = key_lookup(s["PortCall"].select("PortCallID", "PortID"), d["DimPort"], "PortID", "PortSK").select("PortCallID", "PortSK")
+    moved = laid_out(s["CargoOperation"], "OperationDateTime").select("PortCallID", MONTH, "ContainerID", "OperationType", "Quantity")
+    moved = moved.join(_box_types(s), "ContainerID").join(calls, "PortCallID")
+    loads, unloads = (F.when(kind == k, quantity) for k in ("LOAD", "UNLOAD"))
+    return additive.entries(moved, MOVED_KEY, MOVED_BY, TotalLoads=loads, TotalUnloads=unloads, TotalTEU=quantity)
+
+
+def _box_types(s) -> DataFrame:
+    return s["Container"].select("ContainerID", "ContainerTypeID")
+
+
+def movements_by_call(s) -> DataFrame:
+    """Signatures of the operations by call and month, as staging publishes them."""
+    rows = laid_out(s["CargoOperation"], "OperationDateTime")
+    return signature.signatures(rows, MOVED_KEY, ["CargoOpID", "ContainerID", "OperationType", "Quantity"])
+
+
+def movement_signatures(s, d) -> DataFrame:
+    """One signature per call and month, of its operations and the call's port."""
+    published = s.signatures("CargoOperation.moves") if hasattr(s, "signatures") else None
+    calls = key_lookup(s["PortCall"].select("PortCallID", "PortID"), d["DimPort"], "PortID", "PortSK").select("PortCallID", "PortSK")
+    rows = (movements_by_call(s) if published is None else published).join(calls, "PortCallID")
+    return signature.signatures(rows, MOVED_KEY, ["PortSK", *signature.SIGNED])
+
+
+def movement_state(s, d) -> dict[str, DataFrame]:
+    """What is published beside the totals: their signed parts, the signatures of the sources, and each container's type."""
+    return {"entries": movement_entries(s, d), "signatures": movement_signatures(s, d), "types": _box_types(s)}
+
+
+def movement_deltas(state, s, d) -> DataFrame | None:
+    """Signed parts of the calls that differ from ``state``; None if there are none. Only the months of such operations are read; operations
+    are searched for containers only if some have another type than before."""
+    changed = signature.touched(state["signatures"], movement_signatures(s, d), MOVED_KEY)
+    old, new = state["types"].withColumnRenamed("ContainerTypeID", "_before"), _box_types(s)
+    boxes = old.join(new, "ContainerID", "full_outer").where("not (_before <=> ContainerTypeID)").select("ContainerID")
+    if not boxes.isEmpty():
+        moved = laid_out(s["CargoOperation"], "OperationDateTime").join(boxes, "ContainerID", "left_semi")
+        changed = changed.unionByName(moved.select(*MOVED_KEY)).distinct()
+    months = sorted(r[0] for r in changed.select(MONTH).distinct().collect())  # as many as there are months
+    if not months:
+        return None
+    moved = laid_out(s["CargoOperation"].where(dated_in("OperationDateTime", months)), "OperationDateTime")
+    cut = Overlay(s, CargoOperation=moved.join(changed, list(MOVED_KEY), "left_semi").drop(MONTH))
+    before = state["entries"].where(F.col(MONTH).isin(months)).join(changed, list(MOVED_KEY), "left_semi")
+    return additive.deltas(before, movement_entries(cut, d), MOVED_KEY, MOVED_BY, MOVED)
+
+
 def container_movement_gaps(s) -> DataFrame:
     """Joined validation: operations whose port call or container is missing or incomplete."""
     calls = s["PortCall"].select("PortCallID", F.col("PortID").alias("CallPortID"))
@@ -180,6 +235,10 @@ UPDATES = {
 SIGNED_CHILDREN = {"BerthAllocation": (["PortCallID"], ["AllocationID", "BerthID"]), "CargoOperation": (["PortCallID"], ["CargoOpID"])}
 SIGNATURES = {"FactPortCallPeriodicSnapshot": call_signatures}
 FOLLOWED = {}
+# Totals kept by signed parts: (state beside the totals, parts to add, groups, measures)
+ADDITIVE = {"FactContainerMovementsAcc": (movement_state, movement_deltas, MOVED_BY, MOVED)}
+# Further signatures that staging publishes: {table: {name: function of the staged tables}}
+STAGED_SIGNATURES = {"CargoOperation": {"moves": movements_by_call}}
 
 # Facts published by the month of their source rows
 _ASSIGNED = Period("OperationEquipmentAssignment", "AssignmentID", "SourceAssignmentID", "StartTime")

@@ -8,7 +8,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from dockside.operators import calendar as cal, quality, reconcile, report, scd
+from dockside.operators import additive, calendar as cal, period, quality, reconcile, report, scd
 from dockside.operators.increment import in_window
 from dockside.operators.keys import assign_dense_keys
 from dockside.operators.lookup import as_of, interval_lookup
@@ -156,6 +156,44 @@ def _after_corrections(mart, name, spark, directory):
     return flat(update(module.FACTS[name](before, d), now, d, **options).drop(scd.CHANGE))
 
 
+def _lifecycle_by_month(spark, directory):
+    """The invoice lifecycle after a night that rewrites only the months in which its sources differ; the other rows as published."""
+    s, d = Sources(spark, directory), Dimensions(spark, directory, "finance")
+    loaded = Overlay(s, **{t: adapter.source(spark, directory, f"{t}_v1") for t in _EARLIER["FactInvoiceLifecycleAccumulating"]})
+    current = finance.invoice_lifecycle(loaded, d, month=True)
+    months = period.batch_months(finance.lifecycle_signatures(loaded, d), finance.lifecycle_signatures(s, d))
+    rows, touched = finance.merge_invoice_lifecycle(current, s, d, months)
+    return flat(_with_untouched(current, rows, touched))
+
+
+def _invoice_members_by_month(spark, directory):
+    """The invoice dimension after a night that rewrites only the months in which invoices differ."""
+    dim, day, (run_1, run_2) = finance.DIMENSIONS["DimInvoice"], finance.MEMBER_DAYS["DimInvoice"], RUN_DATES["finance"]
+    earlier, later = (finance.dimension_source("DimInvoice", Sources(spark, directory, *v)) for v in (("v1",), ()))
+    current = period.laid_out(scd.first_load(earlier, dim, run_1), day)
+    months = period.batch_months(*(period.member_signatures(x, dim, day) for x in (earlier, later)))
+    rows, touched = period.update_members(current, later, dim, day, run_2, months)
+    return flat(_with_untouched(current, rows, touched))
+
+
+def _with_untouched(current, rows, touched):
+    others = current.where(~F.col(period.MONTH).isin(touched)).withColumn(scd.CHANGE, F.lit("kept"))
+    return others.unionByName(rows).drop(period.MONTH)
+
+
+def _movements_after_corrections(spark, directory):
+    """Container movements after a first load, a night of corrections and the same night again, kept by signed parts."""
+    (before, now), d = corrected("port", spark, directory), Dimensions(spark, directory, "port")
+    state = port.movement_state(before, d)
+    totals = additive.totals(state["entries"], port.MOVED_BY, port.MOVED)
+    for _ in range(2):
+        delta = port.movement_deltas(state, now, d)
+        if delta is not None:
+            totals = additive.folded(totals, delta, port.MOVED_BY, port.MOVED)
+            state = port.movement_state(now, d) | {"entries": state["entries"].unionByName(delta)}
+    return flat(totals.drop(additive.ROWS))
+
+
 def _calendar_first(key, unknown, spark, directory):
     """Calendar over every date the fact sources hold."""
     s = Sources(spark, directory)
@@ -374,6 +412,9 @@ def registry() -> dict:
     for mart, module in MARTS.items():
         for name in module.SIGNATURES | module.FOLLOWED:
             found[f"fact_{FACT_QUERY[name]}_after_corrections"] = partial(_after_corrections, mart, name)
+    found["fact_invoice_lifecycle_by_month"] = _lifecycle_by_month
+    found["dim_invoice_by_month"] = _invoice_members_by_month
+    found["fact_container_movements_after_corrections"] = _movements_after_corrections
     for area in MARTS:
         for phase in ("staging", "dimensions_first", "dimensions_update", "facts_first", "facts_update"):
             found[f"load_{area}_{phase}"] = partial(_load, area, phase)

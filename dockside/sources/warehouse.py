@@ -20,6 +20,7 @@ AUDIT_SCHEMA = (
     "LogID bigint, ProcessName string, OperationType string, TargetTable string, StartTime timestamp, EndTime timestamp, "
     "RecordsInserted bigint, RecordsUpdated bigint, Status string, Message string, Location string"
 )
+PIECES = 32
 NEVER_LOADED = dt.date(1900, 1, 1)
 
 
@@ -61,6 +62,10 @@ class MemoryWarehouse:
         fresh = rows.where(F.col(CHANGE) == "inserted").drop(CHANGE)
         self._tables[table] = self._tables[table].unionByName(fresh)
 
+    def replace_periods(self, process, table, rows, periods, report=None, partition_by=None):
+        others = self._tables[table].where(~F.col(partition_by).isin(list(periods)))
+        self._tables[table] = others.unionByName(rows.drop(CHANGE))
+
     def clear(self, process, table):
         self._tables.pop(table, None)
 
@@ -175,9 +180,19 @@ class Warehouse:
         ``partition_by`` names the period's key; the periods replaced (not their rows) are listed in the log."""
         fresh, kept = rows.where(F.col(CHANGE) == "inserted"), rows.where(F.col(CHANGE) != "inserted")
         gone = self.table(table).select(partition_by).distinct().join(kept.select(partition_by).distinct(), partition_by, "left_anti")
-        gone = [partition_by, sorted(r[0] for r in gone.collect() if r[0] is not None)]
+        self._supersede(process, table, fresh, [partition_by, sorted(r[0] for r in gone.collect() if r[0] is not None)], report)
+
+    def replace_periods(self, process, table, rows, periods, report=None, partition_by=None):
+        """Publish ``rows``, kept ones too, as all that the table has in ``periods`` of ``partition_by``; what lies in others is not rewritten.
+        A table in ``PIECES`` directories is written as one again, so that reading it stays one short plan."""
+        if len(self._locations[table]) >= PIECES:
+            others = self.table(table).where(~F.col(partition_by).isin(list(periods)))
+            return self.replace(process, table, others.withColumn(CHANGE, F.lit("kept")).unionByName(rows), report, partition_by)
+        self._supersede(process, table, rows, [partition_by, list(periods)], report, partition_by)
+
+    def _supersede(self, process, table, rows, gone, report, partition_by=None):
         location = self._new_location(table)
-        self._load(process, "Partition", table, fresh, report, location, json.dumps(gone))
+        self._load(process, "Partition", table, rows, report, location, json.dumps(gone), partition_by)
         self._locations[table] = self._with(self._locations[table], location, gone)
         self._frames.pop(table, None)
 

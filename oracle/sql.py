@@ -648,9 +648,13 @@ def statements() -> dict[str, str]:
     for name, table, key in [
         ("FactCustomerBillingMonthlySnapshot", "Invoice", "InvoiceID"), ("FactMonthlyEmployeePerformance", "Attendance", "AttendanceID"),
         ("FactEmployeeLifecycle", None, None), ("FactPortCallPeriodicSnapshot", "PortCall", "PortCallID"),
+        ("FactContainerMovementsAcc", "PortCall", "PortCallID"),
     ]:  # a first load over the corrected sources
         body = FACT_SQL[name](lambda t, table=table, key=key: f"(select * from a_{t} where {key} % 11 <> 5)" if t == table else f"a_{t}")
         found[f"fact_{FACT_QUERY[name]}_after_corrections"] = compose(_show(body, _AMOUNTS.get(name, "")))
+    # rewriting the touched months only gives the rows of the whole update
+    found["fact_invoice_lifecycle_by_month"] = found["fact_invoice_lifecycle_update"]
+    found["dim_invoice_by_month"] = found["dim_invoice_update"]
     found["fact_billing_snapshot_reference_grain"] = compose(
         _show(billing_snapshot(_now, reference_grain=True), _AMOUNTS["FactCustomerBillingMonthlySnapshot"])
     )
