@@ -1,5 +1,6 @@
 """Data-quality checks. Each returns a DataFrame; ``enforce`` is the only place that runs one."""
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -48,6 +49,28 @@ def validation_report(rows: DataFrame, key, required, non_blank=()) -> DataFrame
     return missing_values(rows, required, non_blank).unionByName(duplicate_count(rows, key))
 
 
+@dataclass(frozen=True)
+class Checks:
+    """The checks of ``validation_report`` for rows that are written anyway: missing values are counted by the write itself, and only the
+    key columns of what it wrote are read again, to look for repeats."""
+
+    key: tuple
+    required: tuple
+    non_blank: tuple = ()
+
+    def counted(self):
+        """Aggregates to observe while the rows pass by."""
+        missed = [F.count(F.when(missing(c, c in self.non_blank), 1)).alias(f"missing_{c}") for c in self.required]
+        return [F.count(F.lit(1)).alias("rows"), *missed]
+
+    def failures(self, counts: dict, written: DataFrame) -> list[tuple]:
+        """(check, columns, rows) of the checks that found something; repeats are looked for only among rows without missing values."""
+        found = [("missing", c, counts.get(f"missing_{c}", 0)) for c in self.required]
+        if self.key and not any(n for _, _, n in found):
+            found += [tuple(r) for r in duplicate_count(written, self.key).collect()]
+        return [f for f in found if f[2]]
+
+
 def orphans(rows: DataFrame, parent: DataFrame, column: str, parent_column: str | None = None) -> DataFrame:
     """Rows whose foreign key is set but has no parent."""
     parents = parent.select(F.col(parent_column or column).alias(column))

@@ -96,8 +96,8 @@ def _staging(area):
 
 
 def _stage_one(run, process, table, spec):
-    rows, report = stage(run.sources[spec.table], spec, run.run_time)
-    run.warehouse.replace(process, table, rows, report)
+    rows, _ = stage(run.sources[spec.table], spec, run.run_time)
+    run.warehouse.replace(process, table, rows, spec.checks)
     if spec.table in MARTS[spec.area].SIGNED_CHILDREN:
         by = MARTS[spec.area].SIGNED_CHILDREN[spec.table]
         run.warehouse.replace(process, _signatures_of(table), signature.by_parent(run.warehouse.table(table), *by))

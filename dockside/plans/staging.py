@@ -4,7 +4,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-from dockside.operators.quality import validation_report
+from dockside.operators.quality import Checks, validation_report
 
 
 @dataclass(frozen=True)
@@ -22,6 +22,10 @@ class Stage:
     def key(self) -> tuple:
         return self.required[:1]
 
+    @property
+    def checks(self) -> Checks:
+        return Checks(self.key, self.required, self.non_blank)
+
 
 def _stage(area, table, required, non_blank="", load_date=True, **types):
     return Stage(area, table, tuple(required.split()), tuple(non_blank.split()), types, load_date)
@@ -84,7 +88,7 @@ STAGES: dict[str, Stage] = {
 
 
 def stage(source: DataFrame, spec: Stage, run_time=None) -> tuple[DataFrame, DataFrame]:
-    """(rows to write, validation report). Both are lazy; the caller enforces the report before writing."""
+    """(rows to write, validation report). Both are lazy; loads make the same checks with the write (``Stage.checks``)."""
     report = validation_report(source, spec.key, spec.required, spec.non_blank)
     staged = source.withColumns({c: F.col(c).cast(t) for c, t in spec.types.items() if c in source.columns})
     if spec.load_date and run_time is not None:

@@ -13,7 +13,7 @@ import time
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from dockside.operators.quality import enforce
+from dockside.operators.quality import Checks, ValidationError, enforce
 from dockside.operators.scd import CHANGE
 
 AUDIT_SCHEMA = (
@@ -28,7 +28,7 @@ def _counts(seen: Observation) -> dict:
     try:
         return seen.get
     except Py4JJavaError:  # a plan that is known to give no rows is left out whole, and what would have counted them with it
-        return {"inserted": 0, "updated": 0}
+        return {"inserted": 0, "updated": 0, "rows": 0}
 
 
 def _now():
@@ -215,9 +215,10 @@ class Warehouse:
         return f"{self.root}/{table}/load={time.time_ns()}"
 
     def _load(self, process, operation, table, rows, report, location, message="", partition_by=None):
-        started = _now()
+        """``report`` is run before the write; ``Checks`` are made with it, and a directory that fails them is never logged."""
+        started, checks = _now(), report if isinstance(report, Checks) else None
         try:
-            if report is not None:
+            if report is not None and checks is None:
                 enforce(table, report)
             tagged = rows if CHANGE in rows.columns else rows.withColumn(CHANGE, F.lit("inserted"))
             seen = Observation()
@@ -225,6 +226,7 @@ class Warehouse:
                 seen,
                 F.count(F.when(F.col(CHANGE) == "inserted", 1)).alias("inserted"),
                 F.count(F.when(F.col(CHANGE).isin("updated", "expired"), 1)).alias("updated"),
+                *(checks.counted() if checks else []),
             )
             written = counted.drop(CHANGE)
             if partition_by:  # rows of a period go together, a large period to several tasks
@@ -233,6 +235,12 @@ class Warehouse:
             counts = _counts(seen)
             if partition_by and not any(counts.values()):  # no directory of a period was written, so nothing to read the columns from
                 written.drop(partition_by).limit(0).write.parquet(f"{location}/{partition_by}=__HIVE_DEFAULT_PARTITION__")
+            if checks:
+                failures = checks.failures(counts, self.spark.read.schema(written.schema).parquet(location))
+                status = ("Failed", json.dumps(failures)) if failures else ("Success", "")
+                self._log(process, "Validate", table, started, counts["rows"], None, *status, None)
+                if failures:
+                    raise ValidationError(table, failures)
         except Exception as error:
             self._log(process, "Error", table, started, None, None, "Failed", str(error), None)
             raise
