@@ -1,4 +1,6 @@
-"""Declared references: between operational tables, and from facts to their dimensions."""
+"""Declared references: between operational tables, from facts to their dimensions, and on the way from a staged row to its fact."""
+
+from dockside.operators.rejects import Link
 
 # Fixed values: (table, column, referenced table, its key)
 SOURCE_LINKS = [
@@ -53,3 +55,36 @@ FINANCE_KEYS = {
 HR_KEYS = {"EmployeeKey": "DimEmployee", "DepartmentKey": "DimDepartment", "JobTitleKey": "DimJobTitle", "TerminationReasonKey": "DimTerminationReason"}
 PORT_KEYS = {"ShipSK": "DimShip", "PortSK": "DimPort", "ContainerSK": "DimContainer", "EquipmentSK": "DimEquipment", "EmployeeSK": "DimPortEmployee"}
 FACT_KEYS = {"finance": FINANCE_KEYS, "hr": HR_KEYS, "port": PORT_KEYS}
+
+# What a staged row needs to become a fact row, in the order in which a missing link is named; last, what remains if all are there.
+_BILLED = (
+    Link("InvoiceID", "Invoice", "InvoiceID", ("ContractID", "InvoiceNumber", "InvoiceDate")),
+    Link("Invoice_ContractID", "Contract", "ContractID", ("CustomerID",)),
+    Link("Contract_CustomerID", "Customer", "CustomerID", ("CustomerCode",)),
+    Link("Invoice_InvoiceNumber", "DimInvoice", "InvoiceNumber", built=True),
+    Link("Customer_CustomerCode", "DimCustomer", "CustomerCode", built=True),
+)
+_WORKED = (
+    Link("CargoOpID", "CargoOperation", "CargoOpID", ("PortCallID", "ContainerID", "OperationDateTime")),
+    Link("CargoOperation_PortCallID", "PortCall", "PortCallID", ("VoyageID", "PortID")),
+    Link("PortCall_VoyageID", "Voyage", "VoyageID", ("ShipID",)),
+    Link("PortCall_PortID", "DimPort", "PortID", built=True),
+    Link("CargoOperation_ContainerID", "DimContainer", "ContainerID", built=True),
+    Link("EquipmentID", "DimEquipment", "EquipmentID", built=True),
+)
+REJECT_LINKS = {
+    "FactInvoiceLineTransaction": (
+        (*_BILLED, Link("Invoice_InvoiceDate", "DimDate", "FullDate", built=True), Link("ServiceTypeID", "DimServiceType", "SourceServiceTypeID", built=True)), "unexplained",
+    ),
+    "FactCustomerPaymentTransaction": (
+        (*_BILLED, Link("PaymentDate", "DimDate", "FullDate", built=True), Link("PaymentMethod", "DimPaymentMethod", "PaymentMethodName", built=True)), "unexplained",
+    ),
+    "FactSalaryPayment": (
+        (Link("EmployeeID", "DimEmployee", "EmployeeID", built=True), Link("PaymentDate", "DimDateHR", "FullDate", built=True)), "DimEmployee in force on the day",
+    ),
+    "FactEmployeeAttendance": ((Link("AttendanceDate", "DimDateHR", "FullDate", built=True),), "unexplained"),
+    "FactCargoOperationTransactional": (
+        (*_WORKED, Link("cast(CargoOperation_OperationDateTime as date)", "DimDate", "FullDate", built=True), Link("Voyage_ShipID", "DimShip", "ShipID", built=True)), "unexplained",
+    ),
+    "FactEquipmentAssignment": ((*_WORKED, Link("cast(StartTime as date)", "DimDate", "FullDate", built=True)), "unexplained"),
+}

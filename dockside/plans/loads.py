@@ -7,9 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession, functions as F
 
-from dockside.operators import additive, calendar as cal, period, scd, signature
+from dockside.operators import additive, calendar as cal, period, rejects, scd, signature
 from dockside.operators.quality import duplicate_count, missing_values, validation_report
 from dockside.plans import finance, hr, port
+from dockside.plans.links import REJECT_LINKS
 from dockside.plans.staging import STAGES, stage
 
 MARTS = {"finance": finance, "hr": hr, "port": port}
@@ -221,10 +222,18 @@ def _facts_first(area):
         _sign(module, w, process, name, s, d)
         if name in module.PERIODS:
             w.replace(process, _signatures_of(name), module.PERIODS[name].carried(w.table(name)))
+            _reject(module, s, d, w, process, name)
 
     return steps
 
 
+def _reject(module, s, d, w, process, name, upto=None):
+    """Publish the staged rows that the fact does not carry, with the link that fails them."""
+    by, (links, otherwise) = module.PERIODS[name], REJECT_LINKS[name]
+    rows = rejects.uncarried(w.table(name), s, by, w.table(_signatures_of(name)), upto)
+    w.replace(process, f"rejects.{name}", rejects.failed_links(rows, by.source_id, links, s, d, otherwise))
+
+
 def _sign(module, w, process, name, s, d):
     """Publish, beside a snapshot, the signatures of what it was built from."""
     merged = _merged(module, name)
@@ -262,7 +271,8 @@ def _facts_update(area):
             if not months:
                 return w.skip(process, name, _fact_report(name, s))
             publish(w, process, name, period.update(current, s, d, by, module.FACTS[name], months, window.get("run_date")), _fact_report(name, s), period.MONTH)
-            return w.replace(process, signed, period.carried_after(w.table(name), by, seen, months))
+            w.replace(process, signed, period.carried_after(w.table(name), by, seen, months))
+            return _reject(module, s, d, w, process, name, window.get("run_date"))
         if _merged(module, name) and seen is not None and period.MONTH in current.columns:
             sign, merge = _merged(module, name)
             now = sign(s, d)

@@ -4,16 +4,16 @@ Dimension queries run the first load on the earlier snapshot and the update on t
 the later snapshot; their versioned dimensions carry both loads' versions.
 """
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from dockside.operators import additive, calendar as cal, period, quality, reconcile, report, scd
+from dockside.operators import additive, calendar as cal, period, quality, reconcile, rejects, report, scd
 from dockside.operators.increment import in_window
 from dockside.operators.keys import assign_dense_keys
 from dockside.operators.lookup import as_of, interval_lookup
 from dockside.plans import finance, hr, port
-from dockside.plans.links import FACT_KEYS, SOURCE_LINKS
+from dockside.plans.links import FACT_KEYS, REJECT_LINKS, SOURCE_LINKS
 from dockside.plans.loads import HR_CONTROL, Run, run_load
 from dockside.plans.staging import STAGES, stage
 from dockside.sources import adapter
@@ -194,6 +194,25 @@ def _movements_after_corrections(spark, directory):
     return flat(totals.drop(additive.ROWS))
 
 
+# Parents that are left out to see which rows a load would reject: (table, key, divisor, remainder)
+LOST_PARENTS = {
+    "finance": [("Invoice", "InvoiceID", 11, 5), ("Contract", "ContractID", 13, 4)],
+    "port": [("PortCall", "PortCallID", 11, 5), ("Voyage", "VoyageID", 7, 3)],
+}
+
+
+def _rejects(mart, spark, directory):
+    """Staged rows that the transaction facts do not carry when some parents are not staged, with the link that fails them."""
+    s, d, module = Sources(spark, directory), Dimensions(spark, directory, mart), MARTS[mart]
+    s = Overlay(s, **{t: s[t].where(f"{key} % {n} <> {r}") for t, key, n, r in LOST_PARENTS[mart]})
+    parts = []
+    for name, by in module.PERIODS.items():
+        fact, (links, otherwise) = module.FACTS[name](s, d, month=True), REJECT_LINKS[name]
+        rows = rejects.uncarried(fact, s, by, by.carried(fact))
+        parts.append(rejects.failed_links(rows, by.source_id, links, s, d, otherwise).select(F.lit(name).alias("Fact"), "SourceID", "FailedLink"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _calendar_first(key, unknown, spark, directory):
     """Calendar over every date the fact sources hold."""
     s = Sources(spark, directory)
@@ -412,6 +431,8 @@ def registry() -> dict:
     for mart, module in MARTS.items():
         for name in module.SIGNATURES | module.FOLLOWED:
             found[f"fact_{FACT_QUERY[name]}_after_corrections"] = partial(_after_corrections, mart, name)
+    for mart in LOST_PARENTS:
+        found[f"rejects_{mart}"] = partial(_rejects, mart)
     found["fact_invoice_lifecycle_by_month"] = _lifecycle_by_month
     found["dim_invoice_by_month"] = _invoice_members_by_month
     found["fact_container_movements_after_corrections"] = _movements_after_corrections

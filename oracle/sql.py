@@ -652,6 +652,19 @@ def statements() -> dict[str, str]:
     ]:  # a first load over the corrected sources
         body = FACT_SQL[name](lambda t, table=table, key=key: f"(select * from a_{t} where {key} % 11 <> 5)" if t == table else f"a_{t}")
         found[f"fact_{FACT_QUERY[name]}_after_corrections"] = compose(_show(body, _AMOUNTS.get(name, "")))
+    lost = "select '{0}' as Fact, cast(r.{1} as varchar) as SourceID, case when {2} then '{3}' else '{4}' end as FailedLink from {5} where {2} or {6}"
+    billed = """{0} r left join (select * from a_Invoice where InvoiceID % 11 <> 5) i on r.InvoiceID = i.InvoiceID
+  left join (select * from a_Contract where ContractID % 13 <> 4) c on i.ContractID = c.ContractID"""
+    worked = """a_OperationEquipmentAssignment r join a_CargoOperation o on r.CargoOpID = o.CargoOpID
+  left join (select * from a_PortCall where PortCallID % 11 <> 5) i on o.PortCallID = i.PortCallID left join (select * from a_Voyage where VoyageID % 7 <> 3) c on i.VoyageID = c.VoyageID"""
+    found["rejects_finance"] = compose(" union all ".join(
+        lost.format(fact, key, "i.InvoiceID is null", "Invoice.InvoiceID", "Contract.ContractID", billed.format(table), "c.ContractID is null")
+        for fact, key, table in [("FactInvoiceLineTransaction", "InvoiceLineID", "a_InvoiceLine"), ("FactCustomerPaymentTransaction", "PaymentID", "a_Payment")]
+    ))
+    found["rejects_port"] = compose(" union all ".join(
+        lost.format(fact, "AssignmentID", "i.PortCallID is null", "PortCall.PortCallID", "Voyage.VoyageID", worked, "c.VoyageID is null")
+        for fact in ("FactCargoOperationTransactional", "FactEquipmentAssignment")
+    ))
     # rewriting the touched months only gives the rows of the whole update
     found["fact_invoice_lifecycle_by_month"] = found["fact_invoice_lifecycle_update"]
     found["dim_invoice_by_month"] = found["dim_invoice_update"]
