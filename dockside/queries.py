@@ -8,17 +8,19 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from dockside.operators import additive, calendar as cal, period, quality, reconcile, rejects, report, scd
+from dockside.operators import additive, calendar as cal, declared, period, quality, reconcile, rejects, report, scd
 from dockside.operators.increment import in_window
 from dockside.operators.keys import assign_dense_keys
 from dockside.operators.lookup import as_of, interval_lookup
-from dockside.plans import finance, hr, port
+from dockside.plans import declarations, finance, hr, port
 from dockside.plans.links import FACT_KEYS, REJECT_LINKS, SOURCE_LINKS
 from dockside.plans.loads import HR_CONTROL, Run, run_load
 from dockside.plans.staging import STAGES, stage
 from dockside.sources import adapter
 from dockside.sources.adapter import CALENDAR_END, CALENDAR_START, FINANCE_RUN_1, FINANCE_RUN_2, HR_RUN_1, HR_RUN_2, Sources
 from dockside.sources.overlay import Overlay
+from dockside.sources.readers import read_quarantined
+from dockside.sources.shared import shared_folder
 from dockside.sources.warehouse import MemoryWarehouse
 
 HR_LAST_LOAD, HR_RUN_DATE, HEADCOUNT_YEAR = "2024-01-15", "2024-01-31", 2026
@@ -278,6 +280,46 @@ def _reconciliation(spark, directory):
     return reconcile.reconcile(source, staged.withColumn("TotalAmount", amount).unionByName(added), ["InvoiceID"], ignore=("LoadDate",))
 
 
+def _planted(s):
+    """Sources with values that their declared columns cannot hold."""
+    n, c = F.col("InvoiceID") % 97, F.col("CustomerID") % 7
+    amount = F.when(n == 5, F.col("TotalAmount") * 10**12).when(n == 6, F.col("TotalAmount") + F.lit("0.00005").cast("decimal(18,5)"))
+    day = F.when(n == 7, F.lit("2024-02-30")).when(n == 8, F.lit(None)).otherwise(F.col("DueDate").cast("string"))
+    invoices = s["Invoice"].withColumns({"TotalAmount": amount.otherwise(F.col("TotalAmount")).cast("decimal(38,9)"), "DueDate": day})
+    code = F.when(c == 3, F.repeat("CustomerCode", 10)).otherwise(F.col("CustomerCode"))
+    return Overlay(s, Invoice=invoices, Customer=s["Customer"].withColumn("CustomerCode", code))
+
+
+def _declared_staging(spark, directory):
+    """What the declared columns of the staged finance tables could not hold of sources with planted faults."""
+    s = _planted(Sources(spark, directory))
+    parts = [declared.report(s[t], columns).select(F.lit(t).alias("TableName"), "*") for t, columns in declarations.STAGED.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _declared_marts(spark, directory):
+    """The same of the finance dimensions and facts."""
+    s, d = Sources(spark, directory), Dimensions(spark, directory, "finance")
+    tables = [(n, d[n], c) for n, c in declarations.DIMENSIONS.items()] + [(n, finance.FACTS[n](s, d), c) for n, c in declarations.FACTS.items()]
+    return reduce(DataFrame.unionByName, [declared.report(rows, c).select(F.lit(n).alias("TableName"), "*") for n, rows, c in tables])
+
+
+def _bulk_load_payments(spark, directory):
+    """Payments written as delimited text, some lines broken, and read again: loaded rows and the quarantine."""
+    path, rows, n = shared_folder(spark, "bulk"), Sources(spark, directory)["Payment"], F.col("InvoiceID") % 97
+    fields = {c: F.col(c).cast("string") for c in rows.columns}
+    fields["PaymentDate"] = F.when(n == 5, F.lit("soon")).otherwise(fields["PaymentDate"])
+    fields["Amount"] = F.when(n == 6, F.lit("123456789012345.5")).when(n == 7, F.lit(None)).otherwise(fields["Amount"])
+    fields["PaymentMethod"] = F.when(n == 8, F.repeat("PaymentMethod", 30)).otherwise(fields["PaymentMethod"])
+    line = F.to_csv(F.struct(*[v.alias(c) for c, v in fields.items()]))
+    line = F.when(n == 9, F.concat(line, F.lit(",surplus"))).when(n == 10, F.concat_ws(",", "PaymentID", "InvoiceID")).otherwise(line)
+    rows.select(line.alias("value")).write.text(path)
+    loaded, quarantine = read_quarantined(spark, path, declarations.STAGED["Payment"], header=False)
+    loaded = loaded.withColumns({"Line": F.lit(None).cast("string"), "Problems": F.lit(None).cast("string")})
+    refused = quarantine.select("Line", F.array_join("Problems", "; ").alias("Problems"))
+    return flat(loaded.unionByName(refused, allowMissingColumns=True))
+
+
 def _top_lines(spark, directory):
     rows = finance.FACTS["FactInvoiceLineTransaction"](Sources(spark, directory), Dimensions(spark, directory, "finance"))
     return flat(report.top_rows(rows, 100, F.desc("NetAmount"), "SourceInvoiceLineID"))
@@ -447,6 +489,9 @@ def registry() -> dict:
     for mart in MARTS:
         found[f"referential_report_{mart}_facts"] = partial(_fact_references, mart)
     found["staging_reconciliation"] = _reconciliation
+    found["declared_types_finance_staging"] = _declared_staging
+    found["declared_types_finance_marts"] = _declared_marts
+    found["bulk_load_payments"] = _bulk_load_payments
     found["report_top_invoice_lines"] = _top_lines
     found["report_latest_payments"] = _latest_payments
     found["report_dimension_sizes"] = _dimension_sizes

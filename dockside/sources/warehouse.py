@@ -13,6 +13,7 @@ import time
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from dockside.operators.declared import enforced
 from dockside.operators.quality import Checks, ValidationError, enforce
 from dockside.operators.scd import CHANGE
 
@@ -83,8 +84,10 @@ class MemoryWarehouse:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    """``declared`` gives the columns of published tables by name: they are written in those types, or the load is refused."""
+
+    def __init__(self, spark: SparkSession, root: str, declared: dict | None = None):
+        self.spark, self.root, self.declared = spark, root.rstrip("/"), declared or {}
         self._pending: list | None = None
         self._locations = self._read_locations()
         self._frames: dict[str, DataFrame] = {}
@@ -220,6 +223,7 @@ class Warehouse:
         try:
             if report is not None and checks is None:
                 enforce(table, report)
+            rows = enforced(rows, self.declared[table]) if table in self.declared else rows
             tagged = rows if CHANGE in rows.columns else rows.withColumn(CHANGE, F.lit("inserted"))
             seen = Observation()
             counted = tagged.observe(

@@ -9,7 +9,7 @@ types, ``d_`` dimensions as the facts see them, ``v_`` a versioned dimension by
 import re
 
 from dockside.operators.keys import BUCKETS
-from dockside.plans import finance, hr, port
+from dockside.plans import declarations, finance, hr, port
 from dockside.plans.links import FACT_KEYS, SOURCE_LINKS
 from dockside.plans.staging import STAGES
 from dockside.queries import _EARLIER, FACT_QUERY, HEADCOUNT_YEAR, HR_LAST_LOAD, HR_RUN_DATE, MARTS, RUN_DATES, STAGED_AT, snake
@@ -165,6 +165,25 @@ def _cte(name: str) -> str:
     return _versions(table, _spec(table).start)
 
 
+def _declared(table: str, relation: str, columns: str, lacking=()) -> str:
+    """Counts of values that the declared columns of ``relation`` cannot hold, one row per column."""
+    parts = []
+    for text in re.split(r", (?=[A-Z])", columns):
+        name, kind = text.removesuffix(" not null").split(" ", 1)
+        value = "null" if name in lacking else name
+        as_kind = "varchar" if kind.startswith("varchar") else {"timestamp_ntz": "timestamp"}.get(kind, kind)
+        held = f"try_cast({value} as {as_kind})"
+        long = f"length({held}) > {kind[8:-1]}" if as_kind == "varchar" else "false"
+        inexact = f"cast({held} as decimal(38,9)) <> try_cast({value} as decimal(38,9))" if as_kind in ("bigint", "int") or "decimal" in as_kind else "false"
+        missing = f"{value} is null" if text.endswith("not null") else "false"
+        parts.append(
+            f"""select '{table}' as TableName, '{name}' as ColumnName, '{kind}' as DeclaredType, count(*) filter ({missing}) as Missing,
+  count(*) filter ({value} is not null and {held} is null) as Unreadable, count(*) filter ({long}) as TooLong, count(*) filter ({inexact}) as Inexact
+from ({relation})"""
+        )
+    return " union all ".join(parts)
+
+
 def compose(body: str) -> str:
     """Prepend every common table expression the text refers to, directly or not."""
     ordered: list[str] = []
@@ -718,6 +737,35 @@ from ({payments(_now)}) p join d_Days dd on p.DimDateID = dd.DimDateID group by
 union all select InvoiceID, 'different', 1, 1 from a_Invoice where InvoiceID % 97 = 6
 union all select InvoiceID + 1000000000, 'not at the source', 0, 1 from a_Invoice where InvoiceID % 97 = 7"""
     )
+    planted = {
+        "Invoice": """select * replace (cast(case InvoiceID % 97 when 5 then cast(TotalAmount as decimal(38,9)) * 1000000000000 when 6 then cast(TotalAmount as decimal(38,9)) + 0.00005
+  else TotalAmount end as decimal(38,9)) as TotalAmount, case InvoiceID % 97 when 7 then '2024-02-30' when 8 then null else cast(DueDate as varchar) end as DueDate) from a_Invoice""",
+        "Customer": "select * replace (case CustomerID % 7 when 3 then repeat(CustomerCode, 10) else CustomerCode end as CustomerCode) from a_Customer",
+    }
+    found["declared_types_finance_staging"] = compose(
+        " union all ".join(_declared(t, planted.get(t, f"select * from a_{t}"), c) for t, c in declarations.STAGED.items())
+    )
+    found["declared_types_finance_marts"] = compose(
+        " union all ".join(
+            [_declared(n, f"select * from d_{n}", c) for n, c in declarations.DIMENSIONS.items()]
+            + [_declared(n, FACT_SQL[n](_now), c) for n, c in declarations.FACTS.items()]
+        )
+    )
+    line = "concat_ws(',', PaymentID, InvoiceID, {day}, {amount}, {method})"
+    plain = {"day": "PaymentDate", "amount": "Amount", "method": "PaymentMethod"}
+    broken = {
+        5: (line.format(**plain | {"day": "'soon'"}), "PaymentDate: unreadable"),
+        6: (line.format(**plain | {"amount": "'123456789012345.5'"}), "Amount: unreadable"),
+        7: (line.format(**plain | {"amount": "''"}), "Amount: missing"),
+        8: (line.format(**plain | {"method": "repeat(PaymentMethod, 30)"}), "PaymentMethod: too long"),
+        9: (f"{line.format(**plain)} || ',surplus'", "line: fields"),
+        10: ("concat_ws(',', PaymentID, InvoiceID)", "line: fields"),
+    }
+    found["bulk_load_payments"] = compose(
+        "select PaymentID, InvoiceID, cast(PaymentDate as varchar) as PaymentDate, cast(Amount as double) as Amount, PaymentMethod, null as Line, null as Problems "
+        "from a_Payment where InvoiceID % 97 not between 5 and 10"
+        + "".join(f" union all select null, null, null, null, null, {text}, '{why}' from a_Payment where InvoiceID % 97 = {n}" for n, (text, why) in broken.items())
+    )
     found["report_top_invoice_lines"] = compose(
         _show(f"select * from ({invoice_lines(_now)}) order by NetAmount desc, SourceInvoiceLineID limit 100", _AMOUNTS["FactInvoiceLineTransaction"])
     )

@@ -16,6 +16,7 @@ CHOSEN = [
     "fact_monthly_performance_update", "fact_cargo_operation_update", "fact_port_call_snapshot_update", "fact_yearly_headcount", "load_port_facts_update",
     "fact_billing_snapshot_after_corrections", "fact_employee_lifecycle_after_corrections", "fact_port_call_snapshot_after_corrections",
     "referential_report", "staging_reconciliation", "report_top_invoice_lines", "report_latest_payments",
+    "declared_types_finance_staging", "declared_types_finance_marts", "bulk_load_payments",
     "asof_lookup", "orphan_report", "hr_facts_after_two_nights", "finance_payments_shifted_days",
 ]
 
