@@ -1,15 +1,18 @@
 """Main text of web pages from the standard library's parser events, read as a stream.
 
-A page becomes lines: the texts between block tags, each with the tags met in it. Lines inside menus, headers, footers,
-sidebars, notices, adverts, forms and comments (known by element, role or class) have ratio 0. The text-to-tag ratios of the
-page's lines are smoothed by a Gaussian, lines at or above one standard deviation form the content clusters, and the clusters
-choose the content region: the article (or main element) that holds them, else the innermost container that holds nearly all
-their text. The region's lines are the text, short ones too; what lies in a menu, form and so on inside it stays out.
+A page becomes lines: the texts between block tags, each with the tags met in it. A line's text-to-tag ratio is weighted by
+where it stands (0 inside menus, headers, footers, sidebars, notices, adverts, forms and comments; half under a class that
+may mean such; more inside an article or main element), then smoothed by a Gaussian. Runs of lines at or above one standard
+deviation are the content clusters. A cluster's lines are kept from its first to its last line that reaches the threshold
+by itself, and choose a content region: the innermost container with most of them, or the article it lies in. A region's
+short lines are text too, as are headings right before it; runs of link lines that the clusters leave out are menus.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -20,7 +23,8 @@ from pyspark.sql import DataFrame, functions as F
 from dockside.llm.storage import small_batches, text_slices
 
 SIGMA, REACH = 1.0, 2  # of the Gaussian, in lines
-HOLDS = 0.9  # share of the clusters' text that the innermost element must hold
+DOUBTFUL, FAVOURED = 0.5, 3.0  # weights of a class that may mark what is no content, and of an article
+MENU = 3  # link lines in a row that make a menu
 _FEED = 1 << 16  # characters given to the parser at once
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,6 +46,8 @@ OUT_WORDS = set(
     breadcrumbs pagination pager footer share sharing social related recommended recommendations subscribe subscription
     newsletter signup login search widget widgets copyright disclaimer toolbar skip""".split()
 )
+#: Those that mean it whatever stands beside them; of the others half the words of a class must be such, else it is doubtful.
+CLEAR_WORDS = set("ad ads adv advert adverts advertisement cookie cookies gdpr consent sidebar navbar breadcrumb breadcrumbs newsletter sponsored".split())
 COMMENT_WORDS = set("comment comments commentlist disqus reply replies respond discussion".split())
 HEADER_WORDS = set("header masthead topbar".split())
 OUT_ROLES = set("navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog toolbar".split())
@@ -55,45 +61,63 @@ ENDED_BY = {
 _SCOPE = set("html body article main section div td th table ul ol dl nav aside header footer form".split())
 
 
-def _marks(attrs: dict[str, str | None]) -> set[str]:
-    """The first and the last word of each class and of the id, but for such as has-sidebar."""
-    found = set()
+def _names(attrs: dict[str, str | None]) -> list[list[str]]:
+    """The words of each class and of the id, but for such as has-sidebar."""
+    found = []
     for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split():
         words = re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower())
         if words and not NOT_REALLY & set(words[:-1]):
-            found |= {words[0], words[-1]}
+            found.append(words)
     return found
 
 
+def _meant(names: list[list[str]], marking: set[str]) -> float:
+    """0 where a class says one of ``marking``, ``DOUBTFUL`` where it may, else 1."""
+    weight = 1.0
+    for words in names:
+        share = sum(w in marking for w in words) / len(words)
+        if share >= 0.5 or marking & CLEAR_WORDS & set(words):
+            return 0.0
+        if share:
+            weight = DOUBTFUL
+    return weight
+
+
 class Page(HTMLParser):
     """Elements by number, with their parent; lines with the element that they stand in."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tag, self.parent, self.out, self.home = [""], [-1], [False], [-1]  # home: the outermost article or main around an element
+        self.tag, self.parent, self.weight, self.link = [""], [-1], [1.0], [False]
+        self.home = [-1]  # the outermost article or main around an element
         self.stack: list[tuple[str, int]] = [("", 0)]
-        self.lines: list[tuple[int, str, int]] = []  # element, text, tags
-        self.parts, self.tags, self.at = [], 0, None
+        self.open: Counter[str] = Counter()
+        self.lines: list[tuple[int, str, int, bool]] = []  # element, text, tags, whether links hold the text
+        self.parts, self.tags, self.at, self.plain = [], 0, None, False
 
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
-        if self.at is not None and (text or self.out[self.at]):
-            self.lines.append((self.at, text, self.tags))
+        if self.at is not None and (text or not self.weight[self.at]):
+            self.lines.append((self.at, text, self.tags, not self.plain))
             self.tags = 0
-        self.parts, self.at = [], None
+        self.parts, self.at, self.plain = [], None, False
 
-    def _excluded(self, tag: str, attrs: dict[str, str | None]) -> bool:
+    def _own_weight(self, tag: str, attrs: dict[str, str | None]) -> float:
         inside = self.home[self.stack[-1][1]] >= 0
-        marks, role = _marks(attrs), (attrs.get("role") or "").lower()
+        names, role = _names(attrs), (attrs.get("role") or "").lower()
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style") or ""):
-            return True
-        if marks & COMMENT_WORDS and tag not in ("html", "body", "main"):
-            return True
-        if tag in ("html", "body", "main", "article"):
-            return False
-        if tag in OUT or marks & OUT_WORDS or role in OUT_ROLES - ({"banner"} if inside else set()):
-            return True
-        return not inside and (tag == "header" or bool(marks & HEADER_WORDS))  # an article's own header holds its title
+            return 0.0
+        if tag in ("html", "body", "main"):
+            return 1.0
+        if any(COMMENT_WORDS & {words[0], words[-1]} for words in names):
+            return 0.0
+        if tag == "article":
+            return 1.0
+        if tag in OUT or role in OUT_ROLES - ({"banner"} if inside else set()):
+            return 0.0
+        if not inside and tag == "header":  # an article's own header holds its title
+            return 0.0
+        return min(_meant(names, OUT_WORDS), 1.0 if inside else _meant(names, HEADER_WORDS))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCK:
@@ -110,12 +134,14 @@ class Page(HTMLParser):
         number = len(self.parent)
         self.tag.append(tag)
         self.parent.append(above)
-        self.out.append(self.out[above] or self._excluded(tag, own))
+        self.weight.append(self.weight[above] and min(self.weight[above], self._own_weight(tag, own)))
+        self.link.append(self.link[above] or tag == "a")
         home = self.home[above]
-        if home < 0 and not self.out[number] and (tag in ("article", "main") or (own.get("role") or "").lower() in ("main", "article")):
+        if home < 0 and self.weight[number] and (tag in ("article", "main") or (own.get("role") or "").lower() in ("main", "article")):
             home = number
         self.home.append(home)
         self.stack.append((tag, number))
+        self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -131,9 +157,12 @@ class Page(HTMLParser):
 
     def _close(self, tag: str, within: bool = False) -> None:
         """Close the innermost open ``tag`` and what it holds; ``within``: only if no element that bounds it lies between."""
+        if not self.open[tag]:
+            return
         for k in range(len(self.stack) - 1, 0, -1):
             name = self.stack[k][0]
             if name == tag:
+                self.open.subtract(name for name, _ in self.stack[k:])
                 del self.stack[k:]
                 return
             if within and name in _SCOPE:
@@ -141,13 +170,14 @@ class Page(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         element = self.stack[-1][1]
-        if self.out[element]:
+        if not self.weight[element]:
             if not self.parts and data.strip():
                 self.at = element
             return
-        if self.at is None or (not self.parts and self.out[self.at]):
+        if self.at is None or (not self.parts and not self.weight[self.at]):
             self.at = element
         self.parts.append(data)
+        self.plain = self.plain or (not self.link[element] and not data.isspace())
 
     def read(self, html: str) -> "Page":
         for start in range(0, len(html), _FEED):
@@ -168,36 +198,94 @@ def smoothed(values: np.ndarray) -> np.ndarray:
 def main_text(html: str | None) -> str:
     """The page's main text: its blocks in order, joined by one space; empty for null, for empty and for pages without one."""
     page = Page().read(html or "")
-    usable = np.array([bool(text) and not page.out[e] for e, text, _ in page.lines], bool)
+    weight = np.array([page.weight[e] for e, *_ in page.lines])
+    usable = np.array([bool(text) for _, text, *_ in page.lines], bool) & (weight > 0)
     if not usable.any():
         return ""
-    size = np.array([len(text) for _, text, _ in page.lines], float)
-    ratio = smoothed(np.where(usable, size / np.maximum([tags for _, _, tags in page.lines], 1), 0))
-    chosen = usable & (ratio >= ratio.std())
-    chosen = chosen if chosen.any() else usable
-    weight = np.where(chosen, size, 0)
-    home = np.array([page.home[e] for e, _, _ in page.lines])
-    if weight[home >= 0].sum() >= 0.5 * weight.sum():
-        held = np.isin(home, np.unique(home[chosen & (home >= 0)]))
+    home = np.array([page.home[e] for e, *_ in page.lines])
+    size = np.array([len(text) for _, text, *_ in page.lines], float)
+    own = ratios(size, np.array([tags for _, _, tags, _ in page.lines])) * np.where(usable, weight, 0) * np.where(home >= 0, FAVOURED, 1)
+    kept = _selected(page, usable, weight, home, own, size)
+    return " ".join(line[1] for line, ok in zip(page.lines, kept) if ok)
+
+
+def ratios(size: np.ndarray, tags: np.ndarray) -> np.ndarray:
+    """Text-to-tag ratio of each line."""
+    return size / np.maximum(tags, 1)
+
+
+def _selected(page: Page, usable: np.ndarray, weight: np.ndarray, home: np.ndarray, own: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The lines that the content clusters keep, by themselves and through their regions."""
+    even = smoothed(own)
+    threshold = min(even.std(), even[usable].max())
+    above = usable & (even >= threshold)
+    strong = above & (own >= min(threshold, own[above].max()))
+    cluster = np.cumsum(np.diff(above, prepend=False) & above)  # number of the run that a line above the threshold is in
+    kept, held = np.zeros(len(own), bool), np.zeros(len(own), bool)
+    for c in np.unique(cluster[strong]).tolist():
+        lines = np.nonzero(strong & (cluster == c))[0]
+        kept[lines[0] : lines[-1] + 1] |= above[lines[0] : lines[-1] + 1]
+    if (home[kept] >= 0).any():  # every article that is not itself a comment or a sidebar's is text
+        held |= home >= 0
     else:
-        held = _below(page, _region(page, weight))
-    return " ".join(text for (_, text, _), ok in zip(page.lines, usable & held) if ok)
+        held |= _below(page, _regions(page, kept & strong, cluster, size))
+    links = np.array([line[3] for line in page.lines]) & usable & (own < threshold)
+    kept |= held & usable & ((weight == 1) | above) & ~_menus(links, usable)
+    return kept | _headings(page, kept, usable)
+
+
+def _regions(page: Page, strong: np.ndarray, cluster: np.ndarray, size: np.ndarray) -> set[int]:
+    """For each cluster the innermost container with over half of its strong lines' text. A container's number is below those of what it
+    holds, so the first one found from the highest number down is the innermost; nothing above it is visited."""
+    found = set()
+    for c in np.unique(cluster[strong]).tolist():
+        total: Counter[int] = Counter()
+        for k in np.nonzero(strong & (cluster == c))[0].tolist():
+            total[page.lines[k][0]] += size[k]
+        enough, queue = sum(total.values()) / 2, [-e for e in total]
+        heapq.heapify(queue)
+        while queue:
+            e = -heapq.heappop(queue)
+            if page.tag[e] in CONTAINER and total[e] > enough:
+                found.add(e)
+                break
+            above = page.parent[e]
+            if above not in total:
+                heapq.heappush(queue, -above)
+            total[above] += total[e]
+    return found
+
+
+def _menus(links: np.ndarray, usable: np.ndarray) -> np.ndarray:
+    """Runs of ``MENU`` or more such lines, with no other usable line in between."""
+    at = np.nonzero(usable)[0]
+    run = np.cumsum(np.diff(links[at], prepend=False) != 0)
+    long = np.bincount(run, minlength=run.max() + 1)[run] >= MENU
+    found = np.zeros(len(links), bool)
+    found[at] = links[at] & long
+    return found
 
 
-def _region(page: Page, weight: np.ndarray) -> int:
-    """The innermost container that holds ``HOLDS`` of the weight; those that do lie in one another."""
-    total = np.zeros(len(page.parent))
-    np.add.at(total, [e for e, _, _ in page.lines], weight)
-    for e in range(len(total) - 1, 0, -1):  # children come after their parents
-        total[page.parent[e]] += total[e]
-    return max(e for e in np.nonzero(total >= HOLDS * total[0])[0].tolist() if page.tag[e] in CONTAINER)
+_HEADING = re.compile("h[1-6]")
+
+
+def _headings(page: Page, kept: np.ndarray, usable: np.ndarray) -> np.ndarray:
+    """Headings that stand right before a kept line."""
+    found, follows = np.zeros(len(kept), bool), False
+    for k in range(len(kept) - 1, -1, -1):
+        if kept[k]:
+            follows = True
+        elif usable[k]:
+            follows = found[k] = follows and _HEADING.fullmatch(page.tag[page.lines[k][0]]) is not None
+    return found
 
 
-def _below(page: Page, region: int) -> np.ndarray:
+def _below(page: Page, regions: set[int]) -> np.ndarray:
+    """The lines inside one of the regions."""
     inside = np.zeros(len(page.parent), bool)
-    for e in range(region, len(inside)):
-        inside[e] = e == region or (page.parent[e] >= 0 and inside[page.parent[e]])
-    return np.array([inside[e] for e, _, _ in page.lines])
+    for e, above in enumerate(page.parent):
+        inside[e] = e in regions or (above >= 0 and inside[above])
+    return inside[[e for e, *_ in page.lines]]
 
 
 def extract(pages: DataFrame) -> DataFrame:

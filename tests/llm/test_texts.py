@@ -4,6 +4,7 @@ import collections
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -258,6 +259,44 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+PLAIN = "one two three four five six seven eight nine ten " * 6
+MENU = "".join(f"<div><a href=/{w}>{w}</a></div>" for w in "home news shop about".split())
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # no element or class says what is what: the ratio does
+        (f"<body><div>{MENU}</div><div><p>{PLAIN}</p><p>Short.</p><p>{PLAIN}</p></div><div><span>(c)</span> <b>Firm</b> <i>2020</i></div></body>", f"{PLAIN}Short. {PLAIN}".strip()),
+        (f"<body><div><h1>Title</h1></div><div><p>{PLAIN}</p></div></body>", f"Title {PLAIN}".strip()),
+        (f"<body><div>{MENU}<p>{PLAIN}</p><ul><li>x<li>y</ul></div></body>", f"{PLAIN}x y"),
+        (f"<div><p>{PLAIN}</p></div><div>{MENU * 3}</div><div><p>{PLAIN}</p></div>", f"{PLAIN}{PLAIN}".strip()),
+        # several articles, one of them short; an article in a reader's comment
+        (f"<article><p>{PLAIN}</p></article><div class=ad>Buy now</div><article><p>Tiny.</p></article>", f"{PLAIN}Tiny."),
+        (f"<article><p>{PLAIN}</p></article><div class=comments><article><p>{PLAIN}</p></article></div>", PLAIN.strip()),
+        # classes that may mean what is no content only weight it; clear ones leave it out
+        (f"<article><p>{PLAIN}</p><div class=notice-of-results><p>{PLAIN}</p></div><div class=newsletter-signup-box><p>{PLAIN}</p></div></article>", f"{PLAIN}{PLAIN}".strip()),
+    ],
+)
+def test_main_text_by_ratio(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_the_ratio_decides_where_nothing_is_marked(monkeypatch):
+    page = f"<body><div><div>a</div> <div>b</div></div><div><p>{PLAIN}</p></div><div><b>c</b><i>d</i></div></body>"
+    assert html_text.main_text(page) == PLAIN.strip()
+    monkeypatch.setattr(html_text, "ratios", lambda size, tags: size * 0 + 1)
+    assert html_text.main_text(page) != PLAIN.strip()
+
+
+def test_stray_tags_take_time_in_proportion():
+    html_text.main_text("<p>x")
+    started = time.process_time()
+    assert html_text.main_text("<b>" * 20_000 + "x" + "</i>" * 20_000 + "<p>y") == "x y"
+    assert html_text.main_text("<div>" * 20_000 + "x" + "<p>y " * 2000) == ("x" + " y" * 2000)
+    assert time.process_time() - started < 10
+
+
 def test_pages_table_of_awkward_rows(spark):
     rows = [(1, "u", "<article>x</article>", 3), (1, "u", "<article>x</article>", 3), (None, None, None, None), (2, "v", "<p>" * 3000 + LONG, 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars long")
