@@ -298,8 +298,8 @@ def _adam(p: dict, g: dict, moments: dict, step: int, rate: float) -> None:
 
 
 def held_out(id_column) -> F.Column:
-    """Rows that are never learnt from: crc32 of the id's text, mod 5, is 0."""
-    return F.crc32(id_column.cast("string").cast("binary")) % 5 == 0
+    """Rows that are never learnt from: crc32 of the id's text, mod 5, is 0. A null id counts as the empty text, which is held out."""
+    return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -310,6 +310,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """
     known = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # labels of texts that are not among ``docs`` must not use up the sample
+    known = known.join(docs.where(f"text is not null and length(text) <= {SAMPLE_CHARS}").select("doc_id"), "doc_id", "left_semi")
     chosen = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample) for k in (0, 1)]
     chosen = chosen[0].unionByName(chosen[1]).withColumnRenamed("doc_id", "_id")
     found = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text")).where(f"_text is not null and length(_text) <= {SAMPLE_CHARS}")

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from dockside.llm import pieces, toxicity
 from tables import LONG, awkward
@@ -76,6 +77,19 @@ def test_scores_of_awkward_rows(spark, fitted):
     assert toxicity.score(awkward(spark, []), model).count() == 0
 
 
+def test_labels_of_other_texts_do_not_use_up_the_sample(spark, monkeypatch):
+    docs = awkward(spark, [(k, f"text {k}") for k in range(200)])
+    labels = spark.sql("select id as doc_id, cast(id % 2 as int) as toxic from range(20000)")
+    monkeypatch.setattr(toxicity, "train", lambda texts, wanted: (texts, wanted))
+    texts, wanted = toxicity.fit(docs, labels, sample=50)
+    assert len(texts) == len(set(texts)) == 100 and sum(wanted) == 50
+
+
+def test_every_id_is_held_out_or_not(spark):
+    rows = spark.sql("select cast(null as bigint) as doc_id union all select 1 union all select 5").select(toxicity.held_out(F.col("doc_id")).alias("h"))
+    assert [r.h for r in rows.collect()] == [True, zlib.crc32(b"1") % 5 == 0, zlib.crc32(b"5") % 5 == 0]
+
+
 def test_fit_without_labels_or_with_one(spark):
     docs = awkward(spark)
     assert set(np.round(toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int")).scores(pa.array(["a", ""])), 2)) == {0.01}
