@@ -1,8 +1,11 @@
 """Work that a query needs several times is done once, and small keys are shuffled in the place of whole rows."""
 
+from pyspark.sql import functions as F
+
 from dockside import queries
 from dockside.operators import period, rejects, signature
 from dockside.operators.rejects import Link, failed_links
+from dockside.plans import finance
 from dockside.sources import shared
 
 
@@ -66,3 +69,18 @@ def test_rejects_build_each_fact_and_dimension_once(spark, small, monkeypatch):
     assert len(written) == len(set(written)) and {"FactInvoiceLineTransaction", "FactCustomerPaymentTransaction", "DimInvoice", "DimCustomer"} <= set(written)
     assert "Window" not in plan_of(found)  # no dimension is numbered again for the links
     assert not found.isEmpty()
+
+
+def test_signature_sums_are_those_of_long_decimals(spark):
+    rows = spark.createDataFrame([(i % 3 or None, i) for i in range(500)], "k int, v long").unionByName(spark.range(1).selectExpr("9 k", "null v"))
+    found = signature.signatures(rows, ["k"], ["v"])
+    wanted = rows.groupBy("k").agg(F.count(F.lit(1)), F.sum(signature.row_hash(["v"]).cast("decimal(38,0)")), F.bit_xor(signature.row_hash(["v"])))
+    assert found.schema["SignedSum"].dataType.simpleString() == "decimal(38,0)"
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, map(tuple, wanted.collect())))
+
+
+def test_billing_inputs_are_found_once_a_night(spark, small, monkeypatch):
+    built, inputs = [], finance.billing_inputs
+    monkeypatch.setattr(finance, "billing_inputs", lambda s, d: built.append(1) or inputs(s, d))
+    found = queries.registry()["fact_billing_snapshot_after_corrections"](spark, small)
+    assert len(built) == 2 and not found.isEmpty()  # those published with the first load, and the night's
