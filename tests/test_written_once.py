@@ -7,6 +7,7 @@ from dockside.operators import period, rejects, signature
 from dockside.operators.rejects import Link, failed_links
 from dockside.plans import finance
 from dockside.sources import shared
+from dockside.sources.adapter import Sources
 
 
 def plan_of(df):
@@ -84,3 +85,21 @@ def test_billing_inputs_are_found_once_a_night(spark, small, monkeypatch):
     monkeypatch.setattr(finance, "billing_inputs", lambda s, d: built.append(1) or inputs(s, d))
     found = queries.registry()["fact_billing_snapshot_after_corrections"](spark, small)
     assert len(built) == 2 and not found.isEmpty()  # those published with the first load, and the night's
+
+
+def test_invoices_are_not_shuffled_by_contract_number_or_customer(spark, small):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(finance.invoice_lifecycle(Sources(spark, small), queries.Dimensions(spark, small, "finance")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    by_invoice = [line for line in plan.splitlines() if "Project" in line and "InvoiceNumber" in line]
+    assert by_invoice and not any("ContractNumber" in line or "CustomerCode" in line for line in by_invoice)
+
+
+def test_the_lifecycle_by_month_builds_the_first_load_once(spark, small, monkeypatch):
+    written = []
+    monkeypatch.setattr(queries, "stored", lambda rows, name: written.append(name) or shared.stored(rows, name))
+    found = queries.registry()["fact_invoice_lifecycle_by_month"](spark, small)
+    assert len(written) == len(set(written)) and {"FactInvoiceLifecycleAccumulating", "DimInvoice"} <= set(written) and not found.isEmpty()
