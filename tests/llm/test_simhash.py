@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from dockside.llm import components, simhash
 from dockside.llm.storage import Scratch
@@ -116,3 +117,16 @@ def test_registered_query_matches_all_pairs(spark, small):
     root = brute_components([f for _, f in rows])
     assert {i: (f"{f:016x}", rows[r][0]) for (i, f), r in zip(rows, root)} == {i: (r.fingerprint, r.component_id) for i, r in got.items()}
     assert np.unique([r.component_id for r in got.values()]).size < len(got)
+
+
+def test_the_exploded_fingerprints_are_not_broadcast(spark):
+    """Spark sizes them as one row a fingerprint; 31 rows each are held by the driver before they are sent."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        found = simhash.links(spark.range(2000).select(F.xxhash64("id").alias("fp")))
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
