@@ -47,3 +47,9 @@ def test_the_line_update_looks_invoices_up_once(spark, small, monkeypatch):
     names = _writes(monkeypatch)
     queries.registry()["fact_invoice_line_update"](spark, small)
     assert names == ["header", "taxes"]
+
+
+def test_declared_marts_build_each_dimension_once(spark, small, monkeypatch):
+    names = _writes(monkeypatch)
+    queries.registry()["declared_types_finance_marts"](spark, small)
+    assert len(names) == len(set(names)) and "DimInvoice" in names and "Contract" in names
